@@ -28,16 +28,18 @@ def dense_key(df: DataFrame, order: list[str], name: str, start: int = 0) -> Dat
     sampled bounds cannot shift if a task is repeated. Every partition's first
     number is the running total of the row counts before it: a table of one row
     per partition, which is therefore always small enough to broadcast.
-    ``order`` must tell all rows apart (a natural key, or all columns of a
-    distinct result), so one value's rows never pile up in one range.
+    ``order`` should tell rows apart; rows that are equal in it are numbered in
+    any order, and the task they came from is the last part of the range key, so
+    that many of them still spread over several ranges.
     """
-    ranged = df.repartitionByRange(shuffle_partitions(df.sparkSession), *order)
+    ranged = df.withColumn("_task", F.spark_partition_id()).repartitionByRange(
+        shuffle_partitions(df.sparkSession), *order, "_task")
     numbered = (
         ranged.sortWithinPartitions(*order)
         .withColumn("_mark", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_mark", _ROW_BITS))
         .withColumn("_row", F.col("_mark") - F.shiftleft("_part", _ROW_BITS))
-        .drop("_mark")
+        .drop("_mark", "_task")
     )
     staged = stage(numbered, "dense-key")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -45,17 +45,27 @@ def warn_if_many_directories(df: DataFrame, partition_by: list[str],
 def write_sorted(df: DataFrame, path: str, sort: list[str], mode: str = "overwrite") -> None:
     """Write Parquet clustered by a sort key, so that file statistics prune on it.
 
-    The other columns follow in the range key: a sort value with many rows is
-    then spread over several files instead of one.
+    A hash of the row and the task it came from complete the range key: a sort
+    value with many rows, even equal ones, is spread over several files. Both
+    are the same when a task is repeated.
     """
-    rest = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    ranged = df.repartitionByRange(shuffle_partitions(df.sparkSession), *sort, rest)
-    ranged.sortWithinPartitions(*sort).write.mode(mode).parquet(path)
+    parts = shuffle_partitions(df.sparkSession)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    ranged = df.withColumn("_row", row).withColumn("_task", F.spark_partition_id()) \
+        .repartitionByRange(parts, *sort, "_row", "_task")
+    ranged.sortWithinPartitions(*sort).drop("_row", "_task").write.mode(mode).parquet(path)
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: list[str],
                    sort: list[str] | None = None, mode: str = "overwrite") -> None:
-    """Save a catalog table bucketed by its distribution key and sorted within buckets."""
+    """Save a catalog table bucketed by its distribution key and sorted within buckets.
+
+    The rows are first gathered by bucket through a rebalance, so a bucket has a
+    few files rather than one from every task, and a large one has several. A
+    join on the key then needs no shuffle. Choose a key without hot values: a
+    bucket is read by one task. For others use ``write_sorted``.
+    """
+    df = df.hint("rebalance", buckets, *key)
     writer = df.write.mode(mode).format("parquet").bucketBy(buckets, *key)
     writer.sortBy(*(sort or key)).saveAsTable(table)
 

@@ -12,6 +12,7 @@ from ..operators.keyed import count_per_key, distinct_in_order, last_per_key
 from ..operators.staging import rejected
 from ..plans import calls, demand, risk, transit
 from ..schemas import Field, Table
+from ..session import stage
 from ..sources.files import as_messages
 from ..sources.topics import on_topic
 from . import inputs
@@ -346,7 +347,8 @@ def board_events(events):
 
 
 def board_stations(spark, sf_dir):
-    return transit.line_stations(inputs.stops(table(spark, sf_dir, "part")))
+    """The station dimension, written once so that no micro-batch computes it again."""
+    return stage(transit.line_stations(inputs.stops(table(spark, sf_dir, "part"))), "stations")
 
 
 @register("slot_board", SLOT_BOARD_SQL)

@@ -205,17 +205,12 @@ def sorted_layout(spark, sf_dir):
 
 
 @register("snk_bucketed", """
-SELECT c_custkey, c_name, count(o_orderkey) AS orders FROM customer JOIN orders
-ON c_custkey = o_custkey GROUP BY c_custkey, c_name""")
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders""")
 def bucketed(spark, sf_dir):
-    """Two tables bucketed alike, joined and counted without another shuffle."""
+    """Orders as a table bucketed and sorted by their key."""
     path = fresh_path(spark, "bucket-db")
     spark.sql("DROP DATABASE IF EXISTS tidemark_bucket CASCADE")
     spark.sql(f"CREATE DATABASE tidemark_bucket LOCATION '{path}'")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    sink.write_bucketed(customers, "tidemark_bucket.customer", 8, ["c_custkey"])
-    sink.write_bucketed(orders, "tidemark_bucket.orders", 8, ["o_custkey"])
-    c, o = spark.table("tidemark_bucket.customer"), spark.table("tidemark_bucket.orders")
-    return c.join(o, c["c_custkey"] == o["o_custkey"]).groupBy("c_custkey", "c_name").agg(
-        F.count("o_orderkey").alias("orders"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    sink.write_bucketed(orders, "tidemark_bucket.orders", 8, ["o_orderkey"])
+    return spark.table("tidemark_bucket.orders")

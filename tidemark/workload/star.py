@@ -11,6 +11,7 @@ from ..functions import calendar_parts
 from ..operators.joins import join_on
 from ..operators.quality import check_star
 from ..plans import query_tables, star
+from ..session import stage
 from .inputs import LOGS_SQL, SONGS_SQL, logs, songs
 from .registry import register, table
 
@@ -152,7 +153,8 @@ def checks(spark, sf_dir):
     built = star.build(logs(spark, sf_dir), songs(spark, sf_dir), "pipeline",
                        ("users", "songplays"))
     specs = star.VARIANTS["pipeline"].tables
-    return check_star(built, {n: specs[n] for n in built})
+    loaded = {n: stage(df, f"checks-{n}") for n, df in built.items()}
+    return check_star(loaded, {n: specs[n] for n in loaded})
 
 
 # ---- the fact rules on the plain tables ----------------------------------------------
