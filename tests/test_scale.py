@@ -67,16 +67,17 @@ def test_null_left_keys_are_spread(spark, conf):
         F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
     right = spark.range(100).select(F.col("id").alias("j"))
     joined = join_on(left, right, [(left["k"], right["j"])], "left", spread_nulls=True)
-    nulls = joined.filter("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
-    assert len(nulls) == 4 and max(r["count"] for r in nulls) < 2000
+    per_task = joined.groupBy(F.spark_partition_id().alias("p"), F.col("k").isNull().alias("n"))
+    nulls = [r["count"] for r in per_task.count().collect() if r["n"]]
+    assert len(nulls) == 4 and max(nulls) < 2000
     assert joined.count() == 8000
 
 
 def test_last_per_key_reduces_before_the_shuffle(spark, plan):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     text = plan(last_per_key(df, ["k"], ["id"]))
-    assert text.count("max_by") == 2 and text.count("Exchange") == 1
-    assert text.index("partial_max_by") > text.index("Exchange")
+    assert text.count("Exchange") == 1
+    assert text.index("partial_max") > text.index("Exchange")
 
 
 def test_dense_key_has_no_one_task_sort_of_the_rows(spark, plan):

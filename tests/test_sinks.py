@@ -37,7 +37,14 @@ def test_rebalance_splits_a_hot_directory(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 200000
 
 
-def test_sorted_write_spreads_equal_rows(spark, tmp_path):
+@pytest.fixture
+def small_files(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_sorted_write_spreads_equal_rows(spark, tmp_path, small_files):
     df = spark.range(0, 60000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("k"))
     sink.write_sorted(df, str(tmp_path / "t"), ["k"])
@@ -108,7 +115,7 @@ def test_keyed_write_and_merge(spark, tmp_path, rows, plan):
     assert "EqualTo(song,s)" in plan(table.filter("song = 's'"))
 
 
-def test_keyed_table_spans_files_for_a_hot_partition_key(spark, tmp_path):
+def test_keyed_table_spans_files_for_a_hot_partition_key(spark, tmp_path, small_files):
     df = spark.range(0, 40000, 1, 8).select(
         F.lit("hit").alias("song"), F.col("id").alias("user"), F.lit(1).alias("at"))
     sink.write_keyed(df, str(tmp_path / "t"), ["song"], ["user"], ["at"])

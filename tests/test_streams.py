@@ -25,6 +25,14 @@ def call(at, kind="Theft", disposition="ABA"):
                        "disposition": disposition})
 
 
+@pytest.fixture(autouse=True)
+def state_rows(spark):
+    key = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    spark.conf.set(key, "true")
+    yield
+    spark.conf.set(key, "false")
+
+
 LATE = ["2024-01-01T12:00:00", "2024-01-02T00:00:00", "2024-01-02T00:01:00",
         "2024-01-01T12:01:00"]
 

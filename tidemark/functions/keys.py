@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions, stage
+from ..session import stage
 
 # monotonically_increasing_id() keeps the row number of a partition in its low 33 bits.
 _ROW_BITS = 33
@@ -32,8 +32,7 @@ def dense_key(df: DataFrame, order: list[str], name: str, start: int = 0) -> Dat
     any order, and the task they came from is the last part of the range key, so
     that many of them still spread over several ranges.
     """
-    ranged = df.withColumn("_task", F.spark_partition_id()).repartitionByRange(
-        shuffle_partitions(df.sparkSession), *order, "_task")
+    ranged = df.withColumn("_task", F.spark_partition_id()).repartitionByRange(*order, "_task")
     numbered = (
         ranged.sortWithinPartitions(*order)
         .withColumn("_mark", F.monotonically_increasing_id())

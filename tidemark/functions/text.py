@@ -17,7 +17,8 @@ LINES = ("blue", "green", "red")
 
 def none_if_blank(text: Column) -> Column:
     """Null for empty and white-space-only text; other text is unchanged."""
-    return F.when(F.trim(text, F.lit(WHITE_SPACE)) != "", text)
+    # Trimming the left end suffices, and stops at the first other character.
+    return F.when(F.ltrim(text, F.lit(WHITE_SPACE)) != "", text)
 
 
 def typed(value: Column, source: str, target: str, width: int | None = None,
@@ -35,7 +36,8 @@ def typed(value: Column, source: str, target: str, width: int | None = None,
     if target == "timestamp" and epoch_millis and source != "timestamp":
         return F.timestamp_millis(typed(value, source, "bigint"))
     if source == "string" and target in ("int", "bigint"):
-        value = value.try_cast("decimal(38,6)")
+        return F.coalesce(value.try_cast(target),
+                          value.try_cast("decimal(38,6)").try_cast(target))
     return value.try_cast(target)
 
 

@@ -42,14 +42,16 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[tuple[Column, Column]]
     splits the partitions of hot keys at run time. ``spread_nulls`` is for left
     joins in which many left keys are null: such rows match nothing, yet would
     all be hashed to one partition, so they get an extra key part that differs
-    by row. The right side always carries part 0, which no null row matches.
+    by row. For all other rows of both sides that part is 0.
     """
     pairs = list(keys)
     if how == "left" and spread_nulls:
         any_null = reduce(Column.__or__, [l.isNull() for l, _ in pairs])
-        spread = F.when(any_null, F.xxhash64(*left.columns)).otherwise(F.lit(0))
-        left = left.withColumn("_spread", spread)
-        right = right.withColumn("_zero", F.lit(0).cast("bigint"))
+        own = F.xxhash64(*left.columns, F.spark_partition_id())
+        spread = F.when(any_null, own).otherwise(F.lit(0))
+        # Computed, as a literal would be folded and leave the partitioning.
+        zero = F.pmod(F.xxhash64(*[r for _, r in pairs]), F.lit(1).cast("bigint"))
+        left, right = left.withColumn("_spread", spread), right.withColumn("_zero", zero)
         pairs.append((F.col("_spread"), F.col("_zero")))
     on = reduce(Column.__and__, [l == r for l, r in pairs])
     return left.join(right, on, how).drop("_spread", "_zero")
@@ -59,14 +61,15 @@ def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
                 salts: int) -> DataFrame:
     """Inner join with every key of the left side split over ``salts`` partitions.
 
-    The left salt comes from the row itself, so a repeated task gives the same
-    one; the right side is repeated once per salt. Meant for stream-stream
+    The left salt comes from the row and the task that read it, so a repeated
+    task gives the same one, and copies of a row still spread; the right side is repeated once per salt. Meant for stream-stream
     joins, where nothing re-plans a hot key at run time. The result is the plain
     join's.
     """
     if salts <= 1:
         return left.join(right, F.col(left_key) == F.col(right_key), "inner")
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
+    own = F.xxhash64(*left.columns, F.spark_partition_id())
+    salted = left.withColumn("_salt", F.pmod(own, F.lit(salts)))
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     repeated = right.withColumn("_copy", copies)
     on = (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_copy"))

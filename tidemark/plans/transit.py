@@ -96,10 +96,9 @@ def entry_events(entries: DataFrame, time: str = "timestamp",
 
 
 def _slot_state(slot: str) -> Column:
-    """The last (train, status) of a slot. A cleared slot holds a struct of nulls."""
-    here = F.col("slot") == slot
-    order = F.struct("event_time", "event_offset", "kind")
-    return F.max_by(F.when(here, F.struct("train_id", "status")), F.when(here, order))
+    """The last event of a slot. One that cleared it has no train."""
+    event = F.struct("event_time", "event_offset", "kind", "train_id", "status")
+    return F.max(F.when(F.col("slot") == slot, event))
 
 
 def board(events: DataFrame, stations: DataFrame) -> DataFrame:

@@ -21,8 +21,13 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Counting state rows costs a read before every write; set it to true to
+    # see them in ``streaming.sinks.progress_report``.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _own_scratch: dict[str, str] = {}
 
 
@@ -45,22 +50,21 @@ def is_local(spark: SparkSession) -> bool:
 def tune(spark: SparkSession) -> SparkSession:
     """Apply ``SETTINGS`` to a session someone else made.
 
-    The number of shuffle partitions is the cluster's to choose; only the
-    stock value on a local master is lowered to the number of cores.
+    A chosen number of shuffle partitions is left alone. Where it is the stock
+    200, a local master gets one per core, and a cluster starts each shuffle
+    with several per core; at run time small ones are merged to the advised size.
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    if is_local(spark) and spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        spark.conf.set(
-            "spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism)
-        )
+    if spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        cores = spark.sparkContext.defaultParallelism
+        if is_local(spark):
+            spark.conf.set("spark.sql.shuffle.partitions", str(cores))
+        elif spark.conf.get(INITIAL_PARTITIONS, None) is None:
+            spark.conf.set(INITIAL_PARTITIONS, str(max(200, 4 * cores)))
     return spark
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..operators.keyed import last_per_key
 from ..schemas import Table
-from ..session import shuffle_partitions
 
 #: Directory counts above which a partitioned write is reported.
 MANY_DIRECTORIES = 50_000
@@ -49,10 +48,9 @@ def write_sorted(df: DataFrame, path: str, sort: list[str], mode: str = "overwri
     value with many rows, even equal ones, is spread over several files. Both
     are the same when a task is repeated.
     """
-    parts = shuffle_partitions(df.sparkSession)
     row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     ranged = df.withColumn("_row", row).withColumn("_task", F.spark_partition_id()) \
-        .repartitionByRange(parts, *sort, "_row", "_task")
+        .repartitionByRange(*sort, "_row", "_task")
     ranged.sortWithinPartitions(*sort).drop("_row", "_task").write.mode(mode).parquet(path)
 
 
@@ -134,7 +132,7 @@ def write_keyed(df: DataFrame, path: str, partition_key: list[str], clustering_k
     spark = df.sparkSession
     key = [*partition_key, *clustering_key]
     last = last_per_key(df, key, order)
-    last.repartitionByRange(shuffle_partitions(spark), *key).sortWithinPartitions(*key) \
+    last.repartitionByRange(*key).sortWithinPartitions(*key) \
         .write.mode("overwrite").parquet(path)
     return spark.read.schema(last.schema).parquet(path)
 
