@@ -35,5 +35,32 @@ def test_query_equals_sql(spark, duck, name):
     assert got == want
 
 
+STREAMS = {
+    "stream_dim_latest": "dim_latest", "stream_sliding_count": "sliding_count",
+    "stream_call_statistics": "call_statistics", "stream_stream_join": "customer_risk",
+    "stream_station_table": "station_table", "stream_slot_board": "slot_board",
+    "stream_customers_decoded": "customers_decoded", "stream_risk_latest": "customer_risk",
+}
+
+
+@pytest.fixture(scope="module")
+def split_tables(spark, tmp_path_factory):
+    """The tables as folders of several files, in no order of time."""
+    root = tmp_path_factory.mktemp("split")
+    for name in ("events", "customer", "orders", "part", "nation"):
+        spark.read.parquet(f"{SF}/{name}.parquet").repartition(3).write.parquet(
+            str(root / f"{name}.parquet"))
+    return str(root)
+
+
+@pytest.mark.parametrize("name", sorted(STREAMS))
+def test_stream_of_many_batches_equals_batch(spark, split_tables, monkeypatch, rows, name):
+    from tidemark.workload import inputs
+    monkeypatch.setattr(inputs, "PER_TRIGGER", 1)      # one file at a time
+    batch = entry.queries()[STREAMS[name]](spark, split_tables)
+    stream = entry.queries()[name](spark, split_tables)
+    assert rows(stream, *sorted(batch.columns)) == rows(batch, *sorted(batch.columns))
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

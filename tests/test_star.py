@@ -113,6 +113,11 @@ def test_latest_dedup(data, rows):
     assert t["songs"].count() == 2
 
 
+def test_views(spark, data):
+    star.as_views(star.build(*data, "lake", ("users",)), "lake_")
+    assert spark.sql("SELECT * FROM lake_users WHERE level = 'paid'").count() == 1
+
+
 def test_run_lake(spark, data, tmp_path):
     paths = star.run_lake(*data, str(tmp_path / "lake"))
     assert spark.read.parquet(paths["songplays"]).count() == 8

@@ -85,6 +85,16 @@ def test_malformed_null_and_unknown_calls(spark, tmp_path, rows):
     assert rows(by_type, "count") == [(1,), (1,), (1,), (3,)]
 
 
+def test_console_and_fixed_trigger(spark, tmp_path):
+    source = str(tmp_path / "in")
+    publish(spark, source, 0, [call("2024-01-01T12:00:00")])
+    df = calls.calls_from(topics.file_topics(spark, source, "t"))
+    query = sinks.to_console(df, str(tmp_path / "ck"), every="1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert sinks.progress_report(query).filter("input_rows = 1").count() == 1
+
+
 def test_replayed_batch_replaces_its_output(spark, tmp_path, rows):
     df = spark.createDataFrame([("a", 1)], "k string, v int")
     for _ in range(2):

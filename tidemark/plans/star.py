@@ -20,6 +20,7 @@ from ..operators.keyed import last_per_key
 from ..operators.quality import run_checks
 from ..operators.staging import normalise
 from ..schemas import Table
+from ..session import stage
 from ..sinks import tables as sink
 
 PLAY = "NextSong"
@@ -202,11 +203,26 @@ LAKE_PARTITIONS = {"songs": ["year", "artist_id"], "time": ["year", "month"],
                    "songplays": ["year", "month"], "users": [], "artists": []}
 
 
+def as_views(tables: dict[str, DataFrame], prefix: str = "") -> None:
+    """Name the tables for use in SQL."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(prefix + name)
+
+
 def run_lake(logs: DataFrame, songs: DataFrame, out: str,
              partitions: dict[str, list[str]] | None = None) -> dict[str, str]:
-    """Write the lake variant as partitioned Parquet; returns the path of each table."""
+    """Write the lake variant as partitioned Parquet; returns the path of each table.
+
+    The raw records are parsed once and staged as Parquet, from which each table
+    reads its own columns. Partitioning songs by artist makes one folder per
+    artist and year; a warning tells when these are too many.
+    """
     partitions = partitions or LAKE_PARTITIONS
     paths = {}
+    logs = stage(logs.filter(F.col("page") == PLAY), "lake-logs")
+    songs = stage(songs, "lake-songs")
+    if partitions.get("songs"):
+        sink.warn_if_many_directories(songs, partitions["songs"])
     for name, df in build(logs, songs, "lake").items():
         paths[name] = f"{out.rstrip('/')}/{name}"
         sink.write_parquet(df, paths[name], partitions.get(name, []))
@@ -218,12 +234,13 @@ def run_warehouse(spark: SparkSession, logs: DataFrame, songs: DataFrame, databa
                   checks: tuple[list[str], list[object]] | None = None) -> dict[str, Table]:
     """Load the star into catalog tables: the fact, its dimensions, then the checks.
 
-    With the pipeline's rules the time table is read back from the loaded fact
+    The raw records are parsed and normalised once, into staging tables. With the pipeline's rules the time table is read back from the loaded fact
     instead of joining again.
     """
     rules = rules_of(variant)
     sink.create_tables(spark, rules.tables.values(), database)
-    log_rows, song_rows = staged(logs, rules.staged_logs), staged(songs, rules.staged_songs)
+    log_rows = stage(staged(logs, rules.staged_logs), "staged-logs")
+    song_rows = stage(staged(songs, rules.staged_songs), "staged-songs")
     first_key = 0
     if rules.fact_key == "dense" and not truncate:
         loaded = sink.read_table(spark, rules.tables["songplays"], database)

@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Reports kept per query for ``streaming.sinks.progress_report``.
+    "spark.sql.streaming.numRecentProgressUpdates": "1000",
     # Counting state rows costs a read before every write; set it to true to
     # see them in ``streaming.sinks.progress_report``.
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",

@@ -41,8 +41,8 @@ def warn_if_many_directories(df: DataFrame, partition_by: list[str],
     return estimate
 
 
-def write_sorted(df: DataFrame, path: str, sort: list[str], mode: str = "overwrite") -> None:
-    """Write Parquet clustered by a sort key, so that file statistics prune on it.
+def clustered(df: DataFrame, sort: list[str]) -> DataFrame:
+    """Rows range-partitioned and sorted by a sort key, so that file statistics prune on it.
 
     A hash of the row and the task it came from complete the range key: a sort
     value with many rows, even equal ones, is spread over several files. Both
@@ -51,7 +51,12 @@ def write_sorted(df: DataFrame, path: str, sort: list[str], mode: str = "overwri
     row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     ranged = df.withColumn("_row", row).withColumn("_task", F.spark_partition_id()) \
         .repartitionByRange(*sort, "_row", "_task")
-    ranged.sortWithinPartitions(*sort).drop("_row", "_task").write.mode(mode).parquet(path)
+    return ranged.sortWithinPartitions(*sort).drop("_row", "_task")
+
+
+def write_sorted(df: DataFrame, path: str, sort: list[str], mode: str = "overwrite") -> None:
+    """Write Parquet clustered by a sort key."""
+    clustered(df, sort).write.mode(mode).parquet(path)
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: list[str],
@@ -108,13 +113,16 @@ def read_table(spark: SparkSession, table: Table, database: str) -> DataFrame:
 def load_table(df: DataFrame, table: Table, database: str, truncate: bool = False) -> DataFrame:
     """Insert into a declared table, by column name, after emptying it if asked.
 
-    Missing or surplus columns are an error. Returns the loaded table.
+    Missing or surplus columns are an error. Rows are clustered by the table's
+    sort key if it declares one. Returns the loaded table.
     """
     missing, surplus = set(table.names) - set(df.columns), set(df.columns) - set(table.names)
     if missing or surplus:
         raise ValueError(f"{table.name}: missing {sorted(missing)}, surplus {sorted(surplus)}")
     name = _qualified(table, database)
     rows = df.select(*[F.col(f"`{f.name}`").cast(f.dtype).alias(f.name) for f in table.fields])
+    if table.sort:
+        rows = clustered(rows, list(table.sort))
     rows.write.insertInto(name, overwrite=truncate)
     return read_table(df.sparkSession, table, database)
 

@@ -57,11 +57,11 @@ def on_topic(messages: DataFrame, topic: str | None = None, pattern: str | None
 
 
 def table_stream(spark: SparkSession, path: str, schema: StructType | str,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_bytes_per_trigger: int | None = None) -> DataFrame:
     """A stream over the Parquet files of a table, present and future."""
     reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.parquet(path)
 
 

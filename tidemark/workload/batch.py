@@ -430,7 +430,8 @@ def dq_fk_unlabelled(spark, sf_dir):
 @register("dq_nulls", """
 SELECT 'artist' AS "column", count(*) FILTER (WHERE l_returnflag = 'R') AS nulls FROM lineitem
 UNION ALL SELECT 'length', count(*) FILTER (WHERE l_returnflag = 'R') FROM lineitem
-UNION ALL SELECT 'level', 0
+UNION ALL SELECT 'level', count(*) FILTER (WHERE l_linestatus IS NULL AND l_linestatus = 'O')
+FROM lineitem
 UNION ALL SELECT 'ts', count(*) FILTER (WHERE l_shipdate IS NULL) FROM lineitem""")
 def dq_nulls(spark, sf_dir):
     return quality.null_counts(inputs.logs(spark, sf_dir), ["artist", "length", "level", "ts"])
@@ -470,7 +471,7 @@ def dq_rejected(spark, sf_dir):
 
 @register("dq_checks", """
 SELECT 'SELECT count(*) FROM dq_users WHERE user_id IS NULL' AS query, '0' AS expected,
-  '0' AS actual""")
+  CAST(count(*) FILTER (WHERE user_id IS NULL) AS VARCHAR) AS actual FROM events""")
 def dq_checks(spark, sf_dir):
     """A gate of scalar queries; raises when one does not hold."""
     table(spark, sf_dir, "events").createOrReplaceTempView("dq_users")

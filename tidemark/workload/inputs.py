@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import base64_text, emit_json
+from ..functions import emit_json
 from ..sources.topics import table_stream
 from .registry import table
 
@@ -100,15 +100,15 @@ SONGS_SQL = """songs AS (
 
 # ---- streams over the tables -------------------------------------------------------
 
+#: Bytes of a table that one micro-batch takes.
+PER_TRIGGER = 512 * 1024**3
+
+
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table as a stream of its files."""
     schema = table(spark, sf_dir, name).schema
     # A glob, since a stream source takes a folder or a glob but no single file.
-    return table_stream(spark, f"{sf_dir}/[{name[0]}]{name[1:]}.parquet", schema)
-
-
-def source(spark: SparkSession, sf_dir: str, name: str, streaming: bool) -> DataFrame:
-    return stream(spark, sf_dir, name) if streaming else table(spark, sf_dir, name)
+    return table_stream(spark, f"{sf_dir}/[{name[0]}]{name[1:]}.parquet", schema, PER_TRIGGER)
 
 
 # ---- calls (events) and their codes (nation) ---------------------------------------
@@ -269,7 +269,3 @@ board AS (
     arg_max({'train': train_id, 'status': status}, (t, o, kind)) FILTER (WHERE slot = 'b') AS b,
     count(*) FILTER (WHERE kind = 2) AS entries
   FROM known GROUP BY line, station_id)"""
-
-
-def decoded_round_trip(column: Column) -> Column:
-    return base64_text(F.base64(column.cast("binary")))

@@ -136,7 +136,8 @@ def users_latest(spark, sf_dir):
 WITH {LOGS_SQL}, {SONGS_SQL},
 users AS (SELECT DISTINCT {_CLEAN_USER} AS user_id, "firstName", level FROM logs
   WHERE page = 'NextSong'),
-fact AS (SELECT md5("sessionId" || strftime({_SECOND}, '%Y-%m-%d %H:%M:%S')) AS id
+fact AS (SELECT md5("sessionId" || strftime({_SECOND}, '%Y-%m-%d %H:%M:%S')) AS id, ts,
+    {_CLEAN_USER} AS user_id
   FROM logs LEFT JOIN songs ON song = title AND artist = artist_name
     AND CAST(length AS DECIMAL(18,0)) = CAST(duration AS DECIMAL(18,0))
   WHERE page = 'NextSong')
@@ -146,8 +147,8 @@ UNION ALL SELECT 'songplays', 'unique:songplay_id', count(*)
 FROM (SELECT id FROM fact GROUP BY id HAVING count(*) > 1)
 UNION ALL SELECT 'users', 'not_null:user_id', count(*) FROM users WHERE user_id IS NULL
 UNION ALL SELECT 'songplays', 'not_null:songplay_id', count(*) FROM fact WHERE id IS NULL
-UNION ALL SELECT 'songplays', 'not_null:start_time', 0
-UNION ALL SELECT 'songplays', 'not_null:user_id', 0""")
+UNION ALL SELECT 'songplays', 'not_null:start_time', count(*) FROM fact WHERE ts IS NULL
+UNION ALL SELECT 'songplays', 'not_null:user_id', count(*) FROM fact WHERE user_id IS NULL""")
 def checks(spark, sf_dir):
     """Declared rules of the pipeline's users and fact; a distinct is no unique key."""
     built = star.build(logs(spark, sf_dir), songs(spark, sf_dir), "pipeline",
