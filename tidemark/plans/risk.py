@@ -6,17 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import base64_text, first_of, leading_part, parse_json, text_of
+from ..functions import base64_text, first_of, leading_part, text_of
 from ..operators.joins import salted_join
 from ..operators.keyed import last_per_key
+from ..operators.messages import json_fields
 
 OUTPUT = ["customer", "score", "email", "birthYear"]
 
 
 def envelopes_from(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    return messages.select(
-        *keep, parse_json(text_of(F.col("value")), schemas.SORTED_SET).alias("set")
-    ).select(*keep, "set.*")
+    return json_fields(messages, text_of(F.col("value")), schemas.SORTED_SET, keep)
 
 
 def customers_from(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -26,16 +25,13 @@ def customers_from(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     that decodes to a customer and fall to the not-null filter.
     """
     entry = base64_text(first_of(F.col("zSetEntries"), "element"))
-    parsed = envelopes_from(messages, keep).select(
-        *keep, parse_json(entry, schemas.CUSTOMER).alias("c")).select(*keep, "c.*")
+    parsed = json_fields(envelopes_from(messages, keep), entry, schemas.CUSTOMER, keep)
     present = parsed.filter(F.col("email").isNotNull() & F.col("birthDay").isNotNull())
     return present.withColumn("birthYear", leading_part(F.col("birthDay")))
 
 
 def risks_from(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    return messages.select(
-        *keep, parse_json(text_of(F.col("value")), schemas.RISK).alias("r")
-    ).select(*keep, "r.*")
+    return json_fields(messages, text_of(F.col("value")), schemas.RISK, keep)
 
 
 def customer_risk(customers: DataFrame, risks: DataFrame, salts: int = 1) -> DataFrame:

@@ -185,15 +185,23 @@ def build(logs: DataFrame, songs: DataFrame, variant: str | Rules,
           only: tuple[str, ...] = TABLES) -> dict[str, DataFrame]:
     """The star's tables from raw logs and songs."""
     rules = rules_of(variant)
-    log_rows, song_rows = staged(logs, rules.staged_logs), staged(songs, rules.staged_songs)
+    song_rows = staged(songs, rules.staged_songs)
+
+    def rows_for(name: str) -> DataFrame:
+        # The raw page is compared before it is normalised, so the filter reaches the scan.
+        raw = logs.filter(F.col("page") == PLAY) if name in rules.plays_only else logs
+        return staged(raw, rules.staged_logs)
+
+    def fact() -> DataFrame:
+        return songplays(rows_for("songplays"), song_rows, rules)
+
     make = {
-        "songplays": lambda: songplays(log_rows, song_rows, rules),
-        "users": lambda: users(log_rows, rules),
+        "songplays": fact,
+        "users": lambda: users(rows_for("users"), rules),
         "songs": lambda: songs_dimension(song_rows, rules),
         "artists": lambda: artists(song_rows, rules),
         "time": lambda: time(
-            songplays(log_rows, song_rows, rules) if rules.time_from == "songplays" else log_rows,
-            rules),
+            fact() if rules.time_from == "songplays" else rows_for("time"), rules),
     }
     return {name: make[name]() for name in only}
 

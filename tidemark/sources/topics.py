@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import parse_json, text_of
+from ..operators.messages import fields_of
 from ..schemas import ENVELOPE
 
 _AVRO_HEADER = 5    # a magic byte and a four-byte schema number
@@ -96,10 +97,7 @@ def decode(value: Column, schema: StructType | str, encoding: str = "json",
 def decoded(messages: DataFrame, schema: StructType | str, key_schema: str | None = None,
             encoding: str = "json", keep: tuple[str, ...] = (), **avro) -> DataFrame:
     """Messages with the value's fields, the key's fields and the ``keep`` columns."""
-    columns = [decode(F.col("value"), schema, encoding, **avro).alias("_value")]
+    structs = [decode(F.col("value"), schema, encoding, **avro)]
     if key_schema:
-        columns.append(decode(F.col("key"), key_schema, encoding, name="key").alias("_key")
-                       if encoding == "avro" else
-                       decode(F.col("key"), key_schema).alias("_key"))
-    parsed = messages.select(*keep, *columns)
-    return parsed.select(*keep, *(["_key.*"] if key_schema else []), "_value.*")
+        structs.insert(0, decode(F.col("key"), key_schema, encoding))
+    return fields_of(messages, structs, keep)

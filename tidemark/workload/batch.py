@@ -100,7 +100,7 @@ def typed_casts(spark, sf_dir):
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
 def json_parse(spark, sf_dir):
     return table(spark, sf_dir, "events").select(
-        "event_id", parse_json(F.col("props"), "k int").alias("p")).select("event_id", "p.*")
+        "event_id", parse_json(F.col("props"), "k int").alias("p")).select("event_id", "p.k")
 
 
 @register("json_emit", """
