@@ -119,6 +119,12 @@ def test_dense_key_is_dense_and_ordered(spark):
     assert [r["v"] for r in got] == sorted(r["v"] for r in got)
 
 
+def test_identity_without_order(spark):
+    df = spark.range(0, 3000, 1, 7)
+    got = fn.dense_key(df, None, "key", start=5)
+    assert sorted(r["key"] for r in got.collect()) == list(range(5, 3005))
+
+
 def test_dense_key_spreads_equal_rows(spark):
     """A third of all rows alike must not end in one range."""
     same = spark.range(0, 20000, 1, 8).select(F.lit(5).alias("v"))

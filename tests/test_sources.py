@@ -112,6 +112,18 @@ def test_kafka_needs_one_subscription(spark):
         topics.kafka_topics(spark, "host:9092", topic="a", pattern="b")
 
 
+def test_kafka_options_are_accepted_up_to_the_missing_connector(spark, tmp_path):
+    from pyspark.errors import AnalysisException, StreamingQueryException
+    from tidemark.streaming import sinks
+    with pytest.raises(AnalysisException, match="kafka"):
+        topics.kafka_topics(spark, "host:9092", pattern=r"^station\.arrivals\.\w*",
+                            earliest=False, max_per_trigger=400)
+    spark.range(1).write.parquet(str(tmp_path / "in"))
+    rows = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in"))
+    with pytest.raises((AnalysisException, StreamingQueryException), match="kafka"):
+        sinks.to_kafka(rows, "id", "host:9092", "out", str(tmp_path / "ck"))
+
+
 def test_avro_schema():
     got = json.loads(topics.avro_schema(
         schemas.ARRIVAL, nullable=("prev_station_id", "prev_direction")))

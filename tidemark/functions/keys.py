@@ -21,24 +21,29 @@ def sparse_key() -> Column:
     return F.monotonically_increasing_id()
 
 
-def dense_key(df: DataFrame, order: list[str], name: str, start: int = 0) -> DataFrame:
-    """Number the rows ``start, start + 1, …`` by ``order`` without a one-task sort.
-
-    Rows are range-partitioned and sorted in parallel, then written once so the
-    sampled bounds cannot shift if a task is repeated. Every partition's first
-    number is the running total of the row counts before it: a table of one row
-    per partition, which is therefore always small enough to broadcast.
-    ``order`` should tell rows apart; rows that are equal in it are numbered in
-    any order, and the task they came from is the last part of the range key, so
-    that many of them still spread over several ranges.
+def dense_key(df: DataFrame, order: list[str] | None, name: str, start: int = 0) -> DataFrame:
+    """Number the rows ``start, start + 1, …`` without a one-task sort.
+
+    With ``order`` the rows are first range-partitioned and sorted in parallel.
+    Rows equal in it are numbered in any order, and the task they came from is
+    the last part of the range key, so that many of them still spread over
+    several ranges. Without ``order`` rows are numbered as they lie, which
+    saves that shuffle.
+
+    The rows are written once, so that neither sampled bounds nor row positions
+    can shift if a task is repeated. A partition's first number is the running
+    total of the row counts before it: a table of one row per partition, which
+    is therefore always small enough to broadcast.
     """
-    ranged = df.withColumn("_task", F.spark_partition_id()).repartitionByRange(*order, "_task")
+    rows = df
+    if order:
+        rows = df.withColumn("_task", F.spark_partition_id()) \
+            .repartitionByRange(*order, "_task").sortWithinPartitions(*order).drop("_task")
     numbered = (
-        ranged.sortWithinPartitions(*order)
-        .withColumn("_mark", F.monotonically_increasing_id())
+        rows.withColumn("_mark", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_mark", _ROW_BITS))
         .withColumn("_row", F.col("_mark") - F.shiftleft("_part", _ROW_BITS))
-        .drop("_mark", "_task")
+        .drop("_mark")
     )
     staged = stage(numbered, "dense-key")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.keyed import last_per_key
 from ..sinks.tables import write_keyed, write_quoted_csv
 
-#: Columns of the projected event set, in file order.
+# Columns of the projected event set, in file order.
 EVENT_COLUMNS = ["artist", "firstName", "gender", "itemInSession", "lastName", "length",
                  "level", "location", "sessionId", "song", "userId"]
 

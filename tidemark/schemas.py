@@ -51,6 +51,7 @@ def _table(name: str, columns: str, width: int | None = None, **rest) -> Table:
 
 
 # ---- activity logs and songs -------------------------------------------------
+# Names and types of the fields in the files.
 
 LOG_JSON = (
     "artist string, auth string, firstName string, gender string, itemInSession int, "
@@ -144,6 +145,7 @@ LAKE = {t.name: t for t in (
 )}
 
 # ---- messages ----------------------------------------------------------------
+# Names and types of the fields in the messages.
 
 ENVELOPE = (
     "key binary, value binary, topic string, partition int, offset bigint, "

@@ -140,5 +140,9 @@ def read_songs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def read_activity_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Daily activity files with the file name, whose date orders the days."""
-    return read_csv(spark, paths, schemas.LOG_CSV, source_file="source_file")
+    """Daily activity files with the file name, whose date orders the days.
+
+    Blanks around names are part of them here and stay.
+    """
+    return read_csv(spark, paths, schemas.LOG_CSV, source_file="source_file",
+                    ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
