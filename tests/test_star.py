@@ -127,6 +127,36 @@ def test_run_lake(spark, data, tmp_path):
     assert spark.read.parquet(paths["songplays"]).count() == 8
 
 
+@pytest.mark.parametrize("variant", ["warehouse", "pipeline"])
+def test_run_pipeline_from_files(spark, data, tmp_path, variant):
+    import datetime
+    from tidemark.__main__ import main
+    logs, songs = data
+    logs.write.json(str(tmp_path / "2018/11/24/log_data/a/b"))
+    songs.write.json(str(tmp_path / "song_data/A/B/C"))
+    database = f"files_{variant}"
+    star.run_pipeline(spark, str(tmp_path), database, variant, datetime.date(2018, 11, 24))
+    want = star.build(logs, songs, variant)
+    for name in ("users", "songs", "artists", "time"):
+        assert spark.table(f"{database}.{name}").count() == want[name].count()
+    assert spark.table(f"{database}.songplays").drop("songplay_id").exceptAll(
+        want["songplays"].drop("songplay_id")).count() == 0
+    # The same through the command line, replacing what is there.
+    main(["load", "--root", str(tmp_path), "--database", database, "--variant", variant,
+          "--run-date", "2018-11-24"])
+    assert spark.table(f"{database}.songplays").count() == want["songplays"].count()
+
+
+def test_staging_formats(spark, tmp_path):
+    (tmp_path / "songs").mkdir()
+    (tmp_path / "songs/s.csv").write_text("a,b\n1,x\n2,\n")
+    spec = schemas.Table("csv_stage", (schemas.Field("n", "int"), schemas.Field("t", "string")))
+    rows = star.stage_table(spark, spec, "fmt", str(tmp_path), "songs", file_format="CSV")
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, "x"), (2, None)]
+    with pytest.raises(ValueError):
+        star.stage_table(spark, spec, "fmt", str(tmp_path), "songs", file_format="xml")
+
+
 def test_run_warehouse_and_gate(spark, data):
     checks = (["SELECT count(*) FROM wh.users WHERE user_id IS NULL"], [0])
     star.run_warehouse(spark, *data, "wh", checks=checks)

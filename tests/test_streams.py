@@ -71,6 +71,14 @@ def test_update_mode_drops_late_calls(spark, tmp_path):
     assert sum(r["rows_dropped_late"] for r in report) == 2
 
 
+def test_append_mode_emits_closed_windows(spark, tmp_path):
+    query = run_files(spark, tmp_path, "append")
+    result = spark.read.parquet(str(tmp_path / "out/calls")).collect()
+    counts = {r["window"]["start"]: r["count"] for r in result}
+    assert counts == {dt.datetime(2024, 1, 1, 11, 55): 1, dt.datetime(2024, 1, 1, 12): 1}
+    assert sum(r["rows_dropped_late"] for r in sinks.progress_report(query).collect()) == 2
+
+
 def test_malformed_null_and_unknown_calls(spark, tmp_path, rows):
     source = str(tmp_path / "in")
     publish(spark, source, 0, [

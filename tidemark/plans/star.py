@@ -7,6 +7,7 @@ states each choice, so a caller may also mix them with ``dataclasses.replace``.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from ..operators.staging import normalise
 from ..schemas import Table
 from ..session import stage
 from ..sinks import tables as sink
+from ..sources import files
 
 PLAY = "NextSong"
 TABLES = ("songplays", "users", "songs", "artists", "time")
@@ -238,21 +240,33 @@ def run_lake(logs: DataFrame, songs: DataFrame, out: str,
     return paths
 
 
-def run_warehouse(spark: SparkSession, logs: DataFrame, songs: DataFrame, database: str,
-                  variant: str | Rules = "warehouse", truncate: bool = True,
-                  checks: tuple[list[str], list[object]] | None = None) -> dict[str, Table]:
-    """Load the star into catalog tables: the fact, its dimensions, then the checks.
+def stage_table(spark: SparkSession, table: Table, database: str, root: str, key: str,
+                run_date: dt.date | None = None, file_format: str = "json",
+                mapping: dict[str, str] | None = None) -> DataFrame:
+    """Replace a staging table by the files below ``root/key``, or below a run date's folder."""
+    path = files.dated_path(root, key, run_date)
+    if file_format.lower() == "csv":
+        rows = files.stage_csv(spark, path, table)
+    elif file_format.lower() == "json":
+        rows = files.stage_json(spark, path, table, mapping)
+    else:
+        raise ValueError(f"unknown file format {file_format!r}")
+    sink.create_tables(spark, [table], database)
+    return sink.load_table(rows, table, database, truncate=True)
+
+
+def load_star(spark: SparkSession, log_rows: DataFrame, song_rows: DataFrame, rules: Rules,
+              database: str, truncate: bool = True,
+              checks: tuple[list[str], list[object]] | None = None) -> dict[str, Table]:
+    """Load the star from staged rows: the fact, its dimensions, then the checks.
 
-    The raw records are parsed and normalised once, into staging tables. With the pipeline's rules the time table is read back from the loaded fact
+    With the pipeline's rules the time table is read back from the loaded fact
     instead of joining again.
     """
-    rules = rules_of(variant)
     if rules.fact_key == "dense":
         # An identity column promises no order; loading sorts the rows in its own way.
         rules = replace(rules, fact_key="identity")
     sink.create_tables(spark, rules.tables.values(), database)
-    log_rows = stage(staged(logs, rules.staged_logs), "staged-logs")
-    song_rows = stage(staged(songs, rules.staged_songs), "staged-songs")
     first_key = 0
     if rules.fact_key == "identity" and not truncate:
         loaded = sink.read_table(spark, rules.tables["songplays"], database)
@@ -270,3 +284,30 @@ def run_warehouse(spark: SparkSession, logs: DataFrame, songs: DataFrame, databa
     if checks:
         run_checks(spark, *checks)
     return rules.tables
+
+
+def run_warehouse(spark: SparkSession, logs: DataFrame, songs: DataFrame, database: str,
+                  variant: str | Rules = "warehouse", truncate: bool = True,
+                  checks: tuple[list[str], list[object]] | None = None) -> dict[str, Table]:
+    """Load the star into catalog tables from raw records, which are staged once."""
+    rules = rules_of(variant)
+    log_rows = stage(staged(logs, rules.staged_logs), "staged-logs")
+    song_rows = stage(staged(songs, rules.staged_songs), "staged-songs")
+    return load_star(spark, log_rows, song_rows, rules, database, truncate, checks)
+
+
+#: The pipeline's quality gate: users and songs without a key.
+GATE = ("SELECT count(*) FROM `{db}`.users WHERE user_id IS NULL",
+        "SELECT count(*) FROM `{db}`.songs WHERE song_id IS NULL")
+
+
+def run_pipeline(spark: SparkSession, root: str, database: str, variant: str = "pipeline",
+                 run_date: dt.date | None = None, log_mapping: dict[str, str] | None = None,
+                 log_key: str = "log_data", song_key: str = "song_data") -> dict[str, Table]:
+    """Stage both sources from files, load the star, and run the quality gate."""
+    rules = rules_of(variant)
+    logs = stage_table(spark, rules.staged_logs, database, root, log_key, run_date,
+                       mapping=log_mapping)
+    songs = stage_table(spark, rules.staged_songs, database, root, song_key)
+    gate = [query.format(db=database) for query in GATE]
+    return load_star(spark, logs, songs, rules, database, checks=(gate, [0] * len(gate)))

@@ -105,14 +105,16 @@ def stage_json(spark: SparkSession, paths: str | list[str], table: Table,
     """
     mapped = with_mapping(table, mapping) if mapping else table
     raw = _raw_struct([f.source or f.name for f in mapped.fields])
-    return normalise(spark.read.schema(raw).json(paths), mapped)
+    reader = spark.read.schema(raw).option("recursiveFileLookup", True)
+    return normalise(reader.json(paths), mapped)
 
 
 def stage_csv(spark: SparkSession, paths: str | list[str], table: Table,
               delimiter: str = ",", skip_header: bool = True) -> DataFrame:
     """Read delimited files into a declared table; fields are taken in file order."""
     raw = ", ".join(f"`{n}` string" for n in table.names)
-    df = read_csv(spark, paths, raw, sep=delimiter, header=skip_header, enforceSchema=True)
+    df = read_csv(spark, paths, raw, sep=delimiter, header=skip_header, enforceSchema=True,
+                  recursiveFileLookup=True)
     return normalise(df, table)
 
 
