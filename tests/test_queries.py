@@ -23,8 +23,10 @@ def duck():
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_query_equals_sql(spark, duck, name):
+def test_query_equals_sql(spark, duck, plan, name):
     df = entry.queries()[name](spark, SF)
+    for word in ("Python", "ArrowEval", "CartesianProduct", "NestedLoopJoin"):
+        assert word not in plan(df)
     columns = sorted(df.columns)
     got = sorted(repr(tuple(r[c] for c in columns)) for r in df.collect())
     cursor = duck.execute(entry.oracle_sql()[name])

@@ -87,13 +87,6 @@ def test_dense_key_has_no_one_task_sort_of_the_rows(spark, plan):
     assert text.index("SinglePartition") < text.index("HashAggregate(keys=[_part")
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
-def test_no_python_in_plans(spark, plan, name):
-    text = plan(QUERIES[name].run(spark, SF))
-    for word in ("Python", "ArrowEval", "CartesianProduct", "NestedLoopJoin"):
-        assert word not in text, f"{word} in {name}"
-
-
 def test_fact_scan_reads_only_what_it_needs(spark, plan):
     text = plan(QUERIES["fact_inner"].run(spark, SF))
     assert "EqualTo(l_returnflag,R)" in text

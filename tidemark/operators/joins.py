@@ -64,7 +64,7 @@ def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     The left salt comes from the row and the task that read it, so a repeated
     task gives the same one, and copies of a row still spread; the right side is repeated once per salt. Meant for stream-stream
     joins, where nothing re-plans a hot key at run time. The result is the plain
-    join's.
+    join's. A stream must keep its number of salts for the life of its checkpoint.
     """
     if salts <= 1:
         return left.join(right, F.col(left_key) == F.col(right_key), "inner")

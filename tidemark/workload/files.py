@@ -146,6 +146,14 @@ def lake(spark, sf_dir):
     return _naive(back.drop("songplay_id"))
 
 
+def _own_database(spark, label: str) -> str:
+    """A new database in the scratch folder."""
+    path = fresh_path(spark, label)
+    name = "tidemark_" + path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    return name
+
+
 @register("snk_load_table", """
 SELECT s_suppkey, s_name, CAST(s_acctbal AS DECIMAL(18,0)) AS s_acctbal FROM supplier
 UNION ALL SELECT s_suppkey, s_name, CAST(s_acctbal AS DECIMAL(18,0)) FROM supplier""")
@@ -155,13 +163,12 @@ def load_table(spark, sf_dir):
         Field("s_suppkey", "bigint", required=True), Field("s_name", "string"),
         Field("s_acctbal", "decimal(18,0)")), key=("s_suppkey",))
     rows = table(spark, sf_dir, "supplier").select("s_acctbal", "s_name", "s_suppkey")
-    path = fresh_path(spark, "load-db")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS tidemark_load LOCATION '{path}'")
-    sink.drop_tables(spark, [spec], "tidemark_load")
-    sink.create_tables(spark, [spec], "tidemark_load")
-    sink.load_table(rows, spec, "tidemark_load", truncate=True)
-    sink.load_table(rows, spec, "tidemark_load", truncate=True)
-    return sink.load_table(rows, spec, "tidemark_load")
+    database = _own_database(spark, "load")
+    sink.drop_tables(spark, [spec], database)
+    sink.create_tables(spark, [spec], database)
+    sink.load_table(rows, spec, database, truncate=True)
+    sink.load_table(rows, spec, database, truncate=True)
+    return sink.load_table(rows, spec, database)
 
 
 @register("snk_csv_quoted", """
@@ -208,9 +215,7 @@ def sorted_layout(spark, sf_dir):
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders""")
 def bucketed(spark, sf_dir):
     """Orders as a table bucketed and sorted by their key."""
-    path = fresh_path(spark, "bucket-db")
-    spark.sql("DROP DATABASE IF EXISTS tidemark_bucket CASCADE")
-    spark.sql(f"CREATE DATABASE tidemark_bucket LOCATION '{path}'")
+    database = _own_database(spark, "bucket")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    sink.write_bucketed(orders, "tidemark_bucket.orders", 8, ["o_orderkey"])
-    return spark.table("tidemark_bucket.orders")
+    sink.write_bucketed(orders, f"{database}.orders", 8, ["o_orderkey"])
+    return spark.table(f"{database}.orders")
