@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +26,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def per_worker(key: tuple, make: Callable[[], Any]) -> Any:
+    """``make()``, once for each Python worker: the package's own globals come with every task."""
+    kept = sys.__dict__.setdefault("_tidemark_kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def parts(df: DataFrame, floor: int = 64) -> int:
     """Into how many parts a group's rows are dealt: four for every shuffle partition."""
     return max(floor, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

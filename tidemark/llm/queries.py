@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import exact_dedup, mixing, packing, sharding
+from .common import staged
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -38,3 +41,30 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.norm) AS
 FROM d JOIN g ON d.norm = g.norm""")
 def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+@register("op7_shuffle_shards")
+def op7_shuffle_shards(spark, sf_dir):
+    """Law ``rows``: the shards are stretches of one random order, with counts at most one apart."""
+    shards = sharding.shuffled_shards(table(spark, sf_dir, "documents"), shards=24, seed=7)
+    text = F.col("row.text").cast("binary")
+    return shards.select(
+        F.col("row.doc_id").alias("doc_id"),
+        (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long").alias("size"),
+        F.crc32(F.coalesce(text, F.lit(b""))).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op8_best_fit_packing")
+def op8_best_fit_packing(spark, sf_dir):
+    """Ids come by default from the vocabulary's rank file; ``tokens`` says why they are the same."""
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                  public_tokenizers.PATTERN)
+    narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.packed(staged(narrow, "pieces"))
+
+
+@register("op9_source_mix")
+def op9_source_mix(spark, sf_dir):
+    return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents"), seed=9))
