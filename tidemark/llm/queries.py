@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, sharding
+from ..session import fresh_path
+from . import exact_dedup, language, mixing, packing, sharding, warc, wordpiece
 from .common import staged
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +44,31 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+@register("op2_token_counts")
+def op2_token_counts(spark, sf_dir):
+    return wordpiece.token_counts(table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@register("op3_warc")
+def op3_warc(spark, sf_dir):
+    """Archives every page, then reads the archives back, unpacking and verifying each payload."""
+    path = fresh_path(spark, "warc")
+    warc.write_archives(warc.planned_records(table(spark, sf_dir, "pages")), path)
+    columns = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+    return warc.read_archives(spark, path, columns, verify=True)
+
+
+@register("op5_language")
+def op5_language(spark, sf_dir):
+    """Learns from the rows that are not held out, and predicts all rows from their text alone."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    net = language.fit(docs.filter(~held_out))
+    rows = docs.select(F.struct("doc_id", held_out.alias("held_out")).alias("row"), "text")
+    return language.predicted(rows, net).select("row.*", "lang_pred", "score")
+
+
 @register("op7_shuffle_shards")
 def op7_shuffle_shards(spark, sf_dir):
     """Law ``rows``: the shards are stretches of one random order, with counts at most one apart."""
