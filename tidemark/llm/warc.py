@@ -255,7 +255,7 @@ class WarcWriter(DataSourceArrowWriter):
             for batch in iterator:
                 if file is None and len(batch):
                     where.create_dir(f"{path}/_pending", recursive=True)
-                    file = where.open_output_stream(f"{path}/_pending/{name}")
+                    file = where.open_output_stream(f"{path}/_pending/{name}", compression=None)
                 for row in zip(*(batch[c].to_pylist() for c in ("page_id", "url", "payload", "refers_to", "revisit"))):
                     file.write(member(record(row[0], row[1], row[2] or b"", row[3], row[4], self.date)))
         finally:
