@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import exact_dedup, language, mixing, packing, sharding, warc, wordpiece
+from . import exact_dedup, language, minhash, mixing, packing, sharding, vectors, warc, wordpiece
 from .common import staged
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,11 @@ def op5_language(spark, sf_dir):
     return language.predicted(rows, net).select("row.*", "lang_pred", "score")
 
 
+@register("op6_near_dedup")
+def op6_near_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register("op7_shuffle_shards")
 def op7_shuffle_shards(spark, sf_dir):
     """Law ``rows``: the shards are stretches of one random order, with counts at most one apart."""
@@ -94,3 +99,8 @@ def op8_best_fit_packing(spark, sf_dir):
 @register("op9_source_mix")
 def op9_source_mix(spark, sf_dir):
     return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents"), seed=9))
+
+
+@register("op10_vector_links")
+def op10_vector_links(spark, sf_dir):
+    return vectors.linked_vectors(table(spark, sf_dir, "embeddings"))
