@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import exact_dedup, language, minhash, mixing, packing, sharding, vectors, warc, wordpiece
+from . import exact_dedup, language, minhash, mixing, packing, sharding, substrings, vectors, warc, wordpiece
 from .common import staged
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,12 @@ def op3_warc(spark, sf_dir):
     return warc.read_archives(spark, path, columns, verify=True)
 
 
+@register("op4_repeated_passages")
+def op4_repeated_passages(spark, sf_dir):
+    cut = substrings.without_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @register("op5_language")
 def op5_language(spark, sf_dir):
     """Learns from the rows that are not held out, and predicts all rows from their text alone."""
