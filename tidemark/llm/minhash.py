@@ -177,7 +177,8 @@ def _sweeper(limit: int, percent: int, most: int) -> Callable:
         key, pieces = None, []
         for batch in batches:
             rows = {c: batch[c].to_numpy(zero_copy_only=False) for c in ("rep", "component", "hub", "n_shingles")}
-            rows["sketch"] = batch["sketch"].flatten().to_numpy().reshape(len(batch), BITS // 64)
+            rows["sketch"] = batch["sketch"].flatten().to_numpy().view(np.uint64).reshape(
+                len(batch), BITS // 64)
             keys = np.stack([batch["bucket"].to_numpy(), batch["salt"].to_numpy()], 1)
             cuts = np.flatnonzero((np.diff(keys, axis=0) != 0).any(1)) + 1
             for start, stop in zip([0, *cuts], [*cuts, len(batch)]):
