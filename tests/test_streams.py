@@ -37,13 +37,18 @@ LATE = ["2024-01-01T12:00:00", "2024-01-02T00:00:00", "2024-01-02T00:01:00",
         "2024-01-01T12:01:00"]
 
 
+def codes(spark):
+    """A few codes, two with one description."""
+    return spark.createDataFrame([("ABA", "Abated"), ("A2", "Abated"), ("CIT", "Cited")], schemas.CODE)
+
+
 def run_files(spark, tmp_path, mode):
     """Four messages, one per micro-batch, the last one twelve hours late."""
     source = str(tmp_path / "in")
     for n, at in enumerate(LATE):
         publish(spark, source, n, [call(at)])
         out = topics.file_topics(spark, source, "t", max_files_per_trigger=1)
-        query = jobs.call_statistics(out, calls.disposition_codes(spark), str(tmp_path / "out"),
+        query = jobs.call_statistics(out, codes(spark), str(tmp_path / "out"),
                                      mode, every=None)
         query.awaitTermination()
     return query
@@ -71,6 +76,19 @@ def test_update_mode_drops_late_calls(spark, tmp_path):
     assert sum(r["rows_dropped_late"] for r in report) == 2
 
 
+def test_update_mode_keeps_codes_of_one_description_apart(spark, tmp_path, rows):
+    source = str(tmp_path / "in")
+    for n, kinds in enumerate((["ABA", "A2"], ["A2", "CIT"])):
+        publish(spark, source, n, [call("2024-01-01T12:01:00", disposition=k) for k in kinds])
+        jobs.call_statistics(topics.file_topics(spark, source, "t"), codes(spark), str(tmp_path / "out"),
+                             "update", every=None).awaitTermination()
+    result = sinks.read_updates(spark, str(tmp_path / "out/calls"), jobs.CALL_KEYS)
+    batch = calls.call_statistics(spark.read.schema(schemas.ENVELOPE).parquet(source), codes(spark))
+    assert rows(result, *batch.columns) == rows(batch)
+    assert rows(result.filter("window.start = '2024-01-01 12:00:00'"), "disposition", "count") == [
+        ("A2", 2), ("ABA", 1), ("CIT", 1)]
+
+
 def test_append_mode_emits_closed_windows(spark, tmp_path):
     query = run_files(spark, tmp_path, "append")
     result = spark.read.parquet(str(tmp_path / "out/calls")).collect()
@@ -85,7 +103,7 @@ def test_malformed_null_and_unknown_calls(spark, tmp_path, rows):
         call("2024-01-01T12:00:00"), '{"bad', call("2024-01-01T12:01:00", disposition=None),
         call("2024-01-01T12:02:00", disposition="???"), call(None), call("2024-01-01T12:03:00")])
     batch = spark.read.schema(schemas.ENVELOPE).parquet(source)
-    counts = calls.call_statistics(batch, calls.disposition_codes(spark))
+    counts = calls.call_statistics(batch, codes(spark))
     assert rows(counts, "window.start", "description", "count") == sorted([
         (dt.datetime(2024, 1, 1, 11, 55), "Abated", 2), (dt.datetime(2024, 1, 1, 12), "Abated", 2)],
         key=repr)
@@ -112,15 +130,65 @@ def test_replayed_batch_replaces_its_output(spark, tmp_path, rows):
     assert rows(sinks.read_complete(spark, str(tmp_path))) == [("a", 2)]
 
 
-ENCODED = ("eyJjdXN0b21lck5hbWUiOiJTYW0gVGVzdCIsImVtYWlsIjoic2FtLnRlc3RAdGVzdC5jb20iLCJwaG9uZSI6"
-           "IjgwMTU1NTEyMTIiLCJiaXJ0aERheSI6IjIwMDEtMDEtMDMifQ==")
+def test_reading_does_not_grow_with_old_batches(spark, tmp_path, rows):
+    path = str(tmp_path / "out")
+    def batches(low, high):
+        for n in range(low, high):
+            spark.createDataFrame([("all", n), (f"k{n % 3}", n)], "k string, v int").coalesce(1).write.parquet(
+                f"{path}/batch_id={n}")
+    def want(n):
+        return sorted([("all", n), *[(f"k{i}", max(x for x in range(n + 1) if x % 3 == i)) for i in range(3)]], key=repr)
+    batches(0, 6)
+    assert sinks.compact_updates(spark, path, ["k"]) == 5
+    assert sinks.compact_updates(spark, path, ["k"]) == 0
+    first = sinks.read_updates(spark, path, ["k"])
+    assert rows(first) == want(5)
+    files = len(first.inputFiles())
+    batches(6, 12)
+    assert rows(sinks.read_updates(spark, path, ["k"])) == want(11)
+    assert sinks.compact_updates(spark, path, ["k"]) == 6
+    again = sinks.read_updates(spark, path, ["k"])
+    assert rows(again) == want(11) and len(again.inputFiles()) <= files
+
+
+def test_unfinished_fold_counts_for_nothing(spark, tmp_path, rows):
+    path = str(tmp_path / "out")
+    spark.createDataFrame([("a", 1)], "k string, v int").write.parquet(f"{path}/batch_id=0")
+    spark.createDataFrame([("a", 9)], "k string, v int").write.parquet(f"{path}/_base/batch_id=0")
+    (tmp_path / "out/_base/batch_id=0/_SUCCESS").unlink()
+    assert rows(sinks.read_updates(spark, path, ["k"])) == [("a", 1)]
+
+
+def test_progress_log_keeps_all_reports(spark, tmp_path):
+    source = str(tmp_path / "in")
+    for n in range(5):
+        publish(spark, source, n, [call("2024-01-01T12:00:00")] * (n + 1))
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    log = sinks.ProgressLog(spark, str(tmp_path / "reports"), "logged")
+    spark.streams.addListener(log)
+    try:
+        df = calls.calls_from(topics.file_topics(spark, source, "t", max_files_per_trigger=1))
+        query = sinks.to_batches(df, str(tmp_path / "o"), str(tmp_path / "ck"), "append", name="logged")
+        query.awaitTermination()
+        assert log.read().agg({"input_rows": "sum"}).first()[0] == 15
+        assert sinks.progress_report(query).count() <= 2
+    finally:
+        spark.streams.removeListener(log)
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+
+
+def test_untracked_state_is_null(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
+    query = run_files(spark, tmp_path, "complete")
+    assert {r["state_rows"] for r in sinks.progress_report(query).collect()} == {None}
 
 
-def customer(email="sam.test@test.com", birth="2001-01-03"):
+def customer(email="ada@test.com", birth="1999-12-31"):
     import base64
-    record = {"customerName": "Sam Test", "email": email, "phone": "8015551212", "birthDay": birth}
+    record = {"customerName": "Ada Example", "email": email, "phone": "5550100", "birthDay": birth}
     element = base64.b64encode(json.dumps(record).encode()).decode()
-    return json.dumps({"key": "Q3VzdG9tZXI=", "existType": "NONE", "ch": False, "incr": False,
+    return json.dumps({"key": "Q3VzdA==", "existType": "NONE", "ch": False, "incr": False,
                        "zSetEntries": [{"element": element, "score": 0.0}]})
 
 
@@ -131,7 +199,7 @@ def score(email, value):
 def test_customer_golden(spark, tmp_path, rows):
     source = str(tmp_path / "in")
     publish(spark, source, 0, [
-        json.dumps({"key": "Q3VzdG9tZXI=", "zSetEntries": [{"element": ENCODED, "score": "0.0"}]}),
+        customer("ada@test.com", "1999-12-31"),
         json.dumps({"key": "x", "zSetEntries": []}),            # no entry
         json.dumps({"key": "x", "value": "other"}),             # another type
         json.dumps({"key": "x", "zSetEntries": [{"element": "not base64!"}]}),
@@ -139,7 +207,7 @@ def test_customer_golden(spark, tmp_path, rows):
         customer(email=None), customer(birth=None), '{"bad'])
     got = risk.customers_from(spark.read.schema(schemas.ENVELOPE).parquet(source))
     assert got.columns == ["customerName", "email", "phone", "birthDay", "birthYear"]
-    assert rows(got) == [("Sam Test", "sam.test@test.com", "8015551212", "2001-01-03", "2001")]
+    assert rows(got) == [("Ada Example", "ada@test.com", "5550100", "1999-12-31", "1999")]
 
 
 def test_risk_date(spark):

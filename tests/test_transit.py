@@ -95,7 +95,7 @@ def test_board_over_micro_batches_equals_replay(spark, stops, tmp_path, rows):
             continue
         messages.append(("station.arrivals.x", arrival(
             rng.choice([100, 200, 300, 999]), f"T{rng.randrange(6)}", rng.choice("abc"),
-            rng.choice(["red", "blue", "green", "pink"]), rng.choice(schemas.TRAIN_STATES),
+            rng.choice(["red", "blue", "green", "pink", None]), rng.choice(schemas.TRAIN_STATES),
             rng.choice([None, 100, 200, 999]), rng.choice([None, "a", "b"]))))
     messages.append(("station.arrivals.x", arrival(300, "LAST", "a", "red")))
     messages.append(("station.arrivals.x", arrival(999, "LAST", "a", "red", prev=300, prev_dir="a")))

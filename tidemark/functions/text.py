@@ -26,7 +26,8 @@ def typed(value: Column, source: str, target: str, width: int | None = None,
     """Cast a staged field to its declared type; what cannot be read becomes null.
 
     ``source`` and ``target`` are Spark type names. Text is cut to ``width``
-    characters. Whole numbers may be written with a fraction (``"83.0"``).
+    characters. Whole numbers may be written with a fraction of zeros (``"83.0"``); any other
+    fraction can't be read as one.
     """
     if source == "string":
         value = none_if_blank(value)
@@ -36,8 +37,8 @@ def typed(value: Column, source: str, target: str, width: int | None = None,
     if target == "timestamp" and epoch_millis and source != "timestamp":
         return F.timestamp_millis(typed(value, source, "bigint"))
     if source == "string" and target in ("int", "bigint"):
-        return F.coalesce(value.try_cast(target),
-                          value.try_cast("decimal(38,6)").try_cast(target))
+        exact = value.try_cast("decimal(38,18)")
+        return F.coalesce(value.try_cast(target), F.when(exact == F.floor(exact), exact.try_cast(target)))
     return value.try_cast(target)
 
 

@@ -58,19 +58,26 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[tuple[Column, Column]]
 
 
 def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                salts: int) -> DataFrame:
-    """Inner join with every key of the left side split over ``salts`` partitions.
-
-    The left salt comes from the row and the task that read it, so a repeated
-    task gives the same one, and copies of a row still spread; the right side is repeated once per salt. Meant for stream-stream
-    joins, where nothing re-plans a hot key at run time. The result is the plain
-    join's. A stream must keep its number of salts for the life of its checkpoint.
+                salts: int, right_salts: int = 1) -> DataFrame:
+    """Inner join with every key split over ``salts`` parts of the left side's rows and
+    ``right_salts`` parts of the right side's.
+
+    A row's salt comes from the row and the task that read it, so a repeated task gives the same
+    one, and copies of a row still spread; each side is repeated once per part of the other.
+    Meant for stream-stream joins, where nothing re-plans a hot key at run time. The result is
+    the plain join's. A stream must keep its numbers of salts for the life of its checkpoint.
     """
-    if salts <= 1:
+    if salts * right_salts <= 1:
         return left.join(right, F.col(left_key) == F.col(right_key), "inner")
-    own = F.xxhash64(*left.columns, F.spark_partition_id())
-    salted = left.withColumn("_salt", F.pmod(own, F.lit(salts)))
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    repeated = right.withColumn("_copy", copies)
-    on = (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_copy"))
-    return salted.join(repeated, on, "inner").drop("_salt", "_copy")
+
+    def own(df: DataFrame, n: int) -> Column:
+        return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(n))
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+
+    one = left.withColumn("_l1", own(left, salts)).withColumn("_r1", every(right_salts))
+    two = right.withColumn("_r2", own(right, right_salts)).withColumn("_l2", every(salts))
+    on = ((F.col(left_key) == F.col(right_key)) & (F.col("_l1") == F.col("_l2"))
+          & (F.col("_r1") == F.col("_r2")))
+    return one.join(two, on, "inner").drop("_l1", "_l2", "_r1", "_r2")

@@ -21,7 +21,7 @@ from ..operators.keyed import last_per_key
 from ..operators.quality import run_checks
 from ..operators.staging import normalise
 from ..schemas import Table
-from ..session import stage
+from ..session import stage, staging
 from ..sinks import tables as sink
 from ..sources import files
 
@@ -210,7 +210,7 @@ def build(logs: DataFrame, songs: DataFrame, variant: str | Rules,
 
 
 #: Partition columns of each lake table.
-LAKE_PARTITIONS = {"songs": ["year", "artist_id"], "time": ["year", "month"],
+LAKE_PARTITIONS = {"songs": ["year"], "time": ["year", "month"],
                    "songplays": ["year", "month"], "users": [], "artists": []}
 
 
@@ -225,18 +225,20 @@ def run_lake(logs: DataFrame, songs: DataFrame, out: str,
     """Write the lake variant as partitioned Parquet; returns the path of each table.
 
     The raw records are parsed once and staged as Parquet, from which each table
-    reads its own columns. Partitioning songs by artist makes one folder per
-    artist and year; a warning tells when these are too many.
+    reads its own columns, until the tables are written. Songs have a folder per year, sorted by
+    artist within its files. ``{"songs": ["year", "artist_id"]}`` makes one folder per artist and
+    year; a warning tells when these are too many.
     """
-    partitions = partitions or LAKE_PARTITIONS
-    paths = {}
-    logs = stage(logs.filter(F.col("page") == PLAY), "lake-logs")
-    songs = stage(songs, "lake-songs")
-    if partitions.get("songs"):
-        sink.warn_if_many_directories(songs, partitions["songs"])
-    for name, df in build(logs, songs, "lake").items():
-        paths[name] = f"{out.rstrip('/')}/{name}"
-        sink.write_parquet(df, paths[name], partitions.get(name, []))
+    partitions = LAKE_PARTITIONS | (partitions or {})
+    paths = {name: f"{out.rstrip('/')}/{name}" for name in TABLES}
+    with staging(logs.sparkSession):
+        logs = stage(logs.filter(F.col("page") == PLAY), "lake-logs")
+        songs = stage(songs, "lake-songs")
+        if len(partitions["songs"]) > 1:
+            sink.warn_if_many_directories(songs, partitions["songs"])
+        for name, df in build(logs, songs, "lake").items():
+            sort = ["artist_id"] if name == "songs" and partitions[name] == ["year"] else []
+            sink.write_parquet(df, paths[name], partitions[name], sort=sort)
     return paths
 
 
@@ -291,9 +293,10 @@ def run_warehouse(spark: SparkSession, logs: DataFrame, songs: DataFrame, databa
                   checks: tuple[list[str], list[object]] | None = None) -> dict[str, Table]:
     """Load the star into catalog tables from raw records, which are staged once."""
     rules = rules_of(variant)
-    log_rows = stage(staged(logs, rules.staged_logs), "staged-logs")
-    song_rows = stage(staged(songs, rules.staged_songs), "staged-songs")
-    return load_star(spark, log_rows, song_rows, rules, database, truncate, checks)
+    with staging(spark):
+        log_rows = stage(staged(logs, rules.staged_logs), "staged-logs")
+        song_rows = stage(staged(songs, rules.staged_songs), "staged-songs")
+        return load_star(spark, log_rows, song_rows, rules, database, truncate, checks)
 
 
 #: The pipeline's quality gate: users and songs without a key.

@@ -52,47 +52,65 @@ def of_line(messages: DataFrame, topic_part: str, line: str) -> DataFrame:
 
 def routed(messages: DataFrame, topic_part: str) -> DataFrame:
     """Messages for any displayed line; those of other lines are discarded."""
-    return messages.filter(F.col("topic").contains(topic_part) & F.col("line").isin(*LINES))
+    return messages.filter(F.col("topic").contains(topic_part) & _displayed())
+
+
+def _displayed() -> Column:
+    return F.coalesce(F.col("line").isin(*LINES), F.lit(False))
 
 
 def _slot(direction: Column) -> Column:
     return F.when(direction == "a", "a").otherwise("b")
 
 
+def _event(station: Column, slot: Column, kind: int, train: Column | None = None,
+           status: Column | None = None) -> Column:
+    nothing = F.lit(None).cast("string")
+    return F.struct(
+        station.alias("station_id"), slot.alias("slot"), F.lit(kind).alias("kind"),
+        (nothing if train is None else train).alias("train_id"),
+        (nothing if status is None else status).alias("status"))
+
+
+def _moves() -> Column:
+    """An arrival as events: it clears the slot it left, if that is known, and sets the one it took."""
+    left = _event(F.col("prev_station_id"), _slot(F.col("prev_direction")), CLEAR)
+    taken = _event(F.col("station_id"), _slot(F.col("direction")), SET, F.col("train_id"),
+                   spaced(F.col("train_status")))
+    known = F.col("prev_station_id").isNotNull() & F.col("prev_direction").isNotNull()
+    return F.when(known, F.array(left, taken)).otherwise(F.array(taken))
+
+
+def board_events(messages: DataFrame, entry: Column, time: str = "timestamp",
+                 offset: str = "offset") -> DataFrame:
+    """Arrivals and turnstile entries, told apart by ``entry``, as board events in one pass.
+
+    An entry counts on every line of its station and has no line of its own. An arrival is an
+    event of its line; one without line, or of a line not displayed, is discarded.
+    """
+    # An entry has no fields but the station's, which its moves would leave unread.
+    entered = F.array(_event(F.col("station_id"), F.lit(None).cast("string"), ENTRY))
+    kept = messages.filter(entry | _displayed())
+    return kept.select(
+        F.when(~entry, F.col("line")).alias("line"), F.col(time).alias("event_time"),
+        F.col(offset).alias("event_offset"), F.explode(F.when(entry, entered).otherwise(_moves())).alias("e"),
+    ).select("line", "event_time", "event_offset", "e.*")
+
+
 def arrival_events(arrivals: DataFrame, time: str = "timestamp",
                    offset: str = "offset") -> DataFrame:
-    """Each arrival as two board events: clear the slot it left, set the slot it took."""
-    left = F.struct(
-        F.col("prev_station_id").alias("station_id"),
-        _slot(F.col("prev_direction")).alias("slot"),
-        F.lit(CLEAR).alias("kind"),
-        F.lit(None).cast("string").alias("train_id"),
-        F.lit(None).cast("string").alias("status"),
-    )
-    taken = F.struct(
-        F.col("station_id").alias("station_id"),
-        _slot(F.col("direction")).alias("slot"),
-        F.lit(SET).alias("kind"),
-        F.col("train_id").alias("train_id"),
-        spaced(F.col("train_status")).alias("status"),
-    )
-    known_previous = F.col("prev_station_id").isNotNull() & F.col("prev_direction").isNotNull()
-    events = F.when(known_previous, F.array(left, taken)).otherwise(F.array(taken))
-    return arrivals.select(
-        "line", F.col(time).alias("event_time"), F.col(offset).alias("event_offset"),
-        F.explode(events).alias("e"),
-    ).select("line", "event_time", "event_offset", "e.*")
+    """Each arrival as one or two board events."""
+    return board_events(arrivals, F.lit(False), time, offset)
 
 
 def entry_events(entries: DataFrame, time: str = "timestamp",
                  offset: str = "offset") -> DataFrame:
-    """Each turnstile entry as one board event; it counts on every line of its station."""
-    nothing = F.lit(None).cast("string")
+    """Each turnstile entry as one board event."""
     return entries.select(
-        nothing.alias("line"), F.col(time).alias("event_time"),
-        F.col(offset).alias("event_offset"), "station_id", nothing.alias("slot"),
-        F.lit(ENTRY).alias("kind"), nothing.alias("train_id"), nothing.alias("status"),
-    )
+        F.lit(None).cast("string").alias("line"), F.col(time).alias("event_time"),
+        F.col(offset).alias("event_offset"),
+        _event(F.col("station_id"), F.lit(None).cast("string"), ENTRY).alias("e"),
+    ).select("line", "event_time", "event_offset", "e.*")
 
 
 def _slot_state(slot: str) -> Column:
@@ -109,7 +127,7 @@ def board(events: DataFrame, stations: DataFrame) -> DataFrame:
     """
     members = stations.select(F.col("line").alias("on_line"), "station_id")
     known = events.join(members, "station_id", "inner").filter(
-        F.col("line").isNull() | (F.col("line") == F.col("on_line")))
+        (F.col("kind") == ENTRY) | (F.col("line") == F.col("on_line")))
     state = known.groupBy(F.col("on_line").alias("line"), "station_id").agg(
         _slot_state("a").alias("a"), _slot_state("b").alias("b"),
         F.count_if(F.col("kind") == ENTRY).alias("entries"),

@@ -41,12 +41,11 @@ class Table:
 
 
 def _table(name: str, columns: str, width: int | None = None, **rest) -> Table:
-    """``columns`` lists ``name type`` pairs; a trailing ``!`` marks NOT NULL."""
+    """``columns`` are declared as in SQL: ``name type [NOT NULL]``, parted by a comma and a blank."""
     fields = []
-    for entry in columns.split(";"):
-        column, dtype = entry.split()
-        text = dtype.rstrip("!")
-        fields.append(Field(column, text, width if text == "string" else None, dtype.endswith("!")))
+    for entry in columns.split(", "):
+        column, dtype, *required = entry.split()
+        fields.append(Field(column, dtype, width if dtype == "string" else None, bool(required)))
     return Table(name, tuple(fields), **rest)
 
 
@@ -77,71 +76,72 @@ _TEXT = 256
 STAGED_LOGS = Table("stage_events", tuple(
     Field("ts", "timestamp", epoch_millis=True) if f.name == "ts" else f
     for f in _table(
-        "", "artist string;auth string;firstName string;gender string;itemInSession int;"
-        "lastName string;length double;level string;location string;method string;page string;"
-        "registration bigint;sessionId int;song string;status int;ts bigint;userAgent string;"
+        "", "artist string, auth string, firstName string, gender string, itemInSession int, "
+        "lastName string, length double, level string, location string, method string, page string, "
+        "registration bigint, sessionId int, song string, status int, ts bigint, userAgent string, "
         "userId int", _TEXT).fields
 ))
 STAGED_SONGS = _table(
-    "stage_songs", "song_id string;num_songs int;title string;artist_name string;"
-    "artist_latitude double;year int;duration double;artist_id string;"
-    "artist_longitude double;artist_location string", _TEXT, key=("song_id",))
+    "stage_songs", "song_id string, num_songs int, title string, artist_name string, "
+    "artist_latitude double, year int, duration double, artist_id string, "
+    "artist_longitude double, artist_location string", _TEXT, key=("song_id",))
 
 #: Staged logs and songs of the pipeline variant: whole-number decimals, raw epoch.
 ROUNDED_LOGS = _table(
-    "staging_events", "artist string;auth string;firstName string;gender string;"
-    "itemInSession int;lastName string;length decimal(18,0);level string;location string;"
-    "method string;page string;registration decimal(18,0);sessionId int;song string;status int;"
-    "ts bigint;userAgent string;userId int", _TEXT)
+    "staging_events", "artist string, auth string, firstName string, gender string, "
+    "itemInSession int, lastName string, length decimal(18,0), level string, location string, "
+    "method string, page string, registration decimal(18,0), sessionId int, song string, status int, "
+    "ts bigint, userAgent string, userId int", _TEXT)
 ROUNDED_SONGS = _table(
-    "staging_songs", "num_songs int;artist_id string;artist_name string;"
-    "artist_latitude decimal(18,0);artist_longitude decimal(18,0);artist_location string;"
-    "song_id string;title string;duration decimal(18,0);year int", _TEXT)
+    "staging_songs", "num_songs int, artist_id string, artist_name string, "
+    "artist_latitude decimal(18,0), artist_longitude decimal(18,0), artist_location string, "
+    "song_id string, title string, duration decimal(18,0), year int", _TEXT)
 
 # ---- star schema -------------------------------------------------------------
+# Names and types of the output tables' columns.
 
-_CALENDAR = "start_time timestamp!;hour int;day int;week int;month int;year int;weekday int"
+_CALENDAR = "start_time timestamp NOT NULL, hour int, day int, week int, month int, year int, weekday int"
 
 WAREHOUSE = {t.name: t for t in (
-    _table("users", "user_id int!;first_name string;last_name string;gender string;level string",
+    _table("users", "user_id int NOT NULL, first_name string, last_name string, gender string, level string",
            key=("user_id",), sort=("user_id",)),
-    _table("songs", "song_id string!;title string;artist_id string;year int;duration double",
+    _table("songs", "song_id string NOT NULL, title string, artist_id string, year int, duration double",
            key=("song_id",), sort=("song_id",)),
-    _table("artists", "artist_id string!;name string;location string;latitude double;"
+    _table("artists", "artist_id string NOT NULL, name string, location string, latitude double, "
            "longitude double", key=("artist_id",), sort=("artist_id",)),
     _table("time", _CALENDAR, key=("start_time",), sort=("start_time",),
            distribution=("start_time",)),
-    _table("songplays", "songplay_id bigint!;start_time timestamp;user_id int;level string;"
-           "song_id string;artist_id string;session_id int;location string;user_agent string",
+    _table("songplays", "songplay_id bigint NOT NULL, start_time timestamp, user_id int, level string, "
+           "song_id string, artist_id string, session_id int, location string, user_agent string",
            key=("songplay_id",), sort=("start_time",), distribution=("start_time",),
            references={"user_id": "users.user_id", "song_id": "songs.song_id",
                        "artist_id": "artists.artist_id"}),
 )}
 
 PIPELINE = {t.name: t for t in (
-    _table("users", "user_id int!;first_name string;last_name string;gender string;level string",
+    _table("users", "user_id int NOT NULL, first_name string, last_name string, gender string, level string",
            key=("user_id",)),
-    _table("songs", "song_id string!;title string;artist_id string;year int;"
+    _table("songs", "song_id string NOT NULL, title string, artist_id string, year int, "
            "duration decimal(18,0)", key=("song_id",)),
-    _table("artists", "artist_id string!;name string;location string;latitude decimal(18,0);"
+    _table("artists", "artist_id string NOT NULL, name string, location string, latitude decimal(18,0), "
            "longitude decimal(18,0)"),
     _table("time", _CALENDAR, key=("start_time",)),
-    _table("songplays", "songplay_id string!;start_time timestamp!;user_id int!;level string;"
-           "song_id string;artist_id string;session_id int;location string;user_agent string",
+    _table("songplays", "songplay_id string NOT NULL, start_time timestamp NOT NULL, user_id int NOT NULL, level string, "
+           "song_id string, artist_id string, session_id int, location string, user_agent string",
            key=("songplay_id",)),
 )}
 
 LAKE = {t.name: t for t in (
-    _table("users", "user_id string;first_name string;last_name string;gender string;"
+    _table("users", "user_id string, first_name string, last_name string, gender string, "
            "level string"),
-    _table("songs", "song_id string;title string;artist_id string;year int;duration double"),
-    _table("artists", "artist_id string;artist_name string;artist_location string;"
-           "artist_latitude double;artist_longitude double"),
-    _table("time", "start_time timestamp;hour int;day int;week int;month int;year int;"
+    _table("songs", "song_id string, title string, artist_id string, year int, duration double"),
+    _table("artists", "artist_id string, artist_name string, artist_location string, "
+           "artist_latitude double, artist_longitude double"),
+    _table("time", "start_time timestamp, hour int, day int, week int, month int, year int, "
            "weekday int"),
-    _table("songplays", "songplay_id bigint;start_time timestamp;month int;year int;"
-           "user_id string;level string;song_id string;artist_id string;session_id int;"
-           "location string;user_agent string"),
+    _table("songplays", "songplay_id bigint, start_time timestamp, month int, year int, "
+           "user_id string, level string, song_id string, artist_id string, session_id int, "
+           "location string, user_agent string"),
 )}
 
 # ---- messages ----------------------------------------------------------------
@@ -174,9 +174,9 @@ STOP = (
 )
 #: A stop as the source database declares it.
 STOPS = _table(
-    "stations", "stop_id int!;direction_id string!;stop_name string!;station_name string!;"
-    "station_descriptive_name string!;station_id int!;order int;red boolean!;blue boolean!;"
-    "green boolean!", key=("stop_id",))
+    "stations", "stop_id int NOT NULL, direction_id string NOT NULL, stop_name string NOT NULL, station_name string NOT NULL, "
+    "station_descriptive_name string NOT NULL, station_id int NOT NULL, order int, red boolean NOT NULL, blue boolean NOT NULL, "
+    "green boolean NOT NULL", key=("stop_id",))
 MESSAGE_KEY = "timestamp bigint"
 ARRIVAL = (
     "station_id int, train_id string, direction string, line string, train_status string, "

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +31,8 @@ SETTINGS = {
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
-_own_scratch: dict[str, str] = {}
+#: Paths written by ``stage`` inside each open ``staging``, innermost last.
+_open: list[list[str]] = []
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -68,20 +70,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or one below the warehouse.
 
-    Only a local master may fall back to a temporary folder: on a cluster the
-    other machines could not read it, nor could a restarted executor.
+    Never a machine's own temporary folder: other executors could not read it, nor could one
+    that replaces a lost executor.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not is_local(spark):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_scratch:
-        _own_scratch[app] = tempfile.mkdtemp(prefix="tidemark-")
-    return _own_scratch[app]
+    if not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return shared.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -98,4 +95,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    if _open:
+        _open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system holds it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``stage`` writes inside the block when it ends.
+
+    For jobs that write their results. A frame built on a staged table must not leave the block;
+    outside of any block staged tables stay, and the caller owns the scratch folder.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            remove(spark, path)

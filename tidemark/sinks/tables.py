@@ -10,25 +10,29 @@ from pyspark.sql import functions as F
 
 from ..operators.keyed import last_per_key
 from ..schemas import Table
+from ..session import stage, staging
 
 #: Directory counts above which a partitioned write is reported.
 MANY_DIRECTORIES = 50_000
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                  mode: str = "overwrite", rebalance: bool = True) -> None:
+                  mode: str = "overwrite", rebalance: bool = True,
+                  sort: list[str] | None = None) -> None:
     """Write Parquet, by default replacing what is there.
 
     With partition columns the rows are first gathered by directory through a
     rebalance: at run time Spark merges small directories into one task and
     splits a large one over several, so neither tiny files nor one task per
-    hot directory result.
+    hot directory result. ``sort`` orders the rows within each file of a directory.
     """
     if not partition_by:
         df.write.mode(mode).parquet(path)
         return
     if rebalance:
         df = df.hint("rebalance", *partition_by)
+    if sort:
+        df = df.sortWithinPartitions(*partition_by, *sort)
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
@@ -113,8 +117,9 @@ def read_table(spark: SparkSession, table: Table, database: str) -> DataFrame:
 def load_table(df: DataFrame, table: Table, database: str, truncate: bool = False) -> DataFrame:
     """Insert into a declared table, by column name, after emptying it if asked.
 
-    Missing or surplus columns are an error. Rows are clustered by the table's
-    sort key if it declares one. Returns the loaded table.
+    Missing or surplus columns are an error. Rows are clustered by the table's sort key, and where
+    that is absent gathered by its distribution key, so that a file holds few of its values.
+    A distribution key with a hot value is split over several files. Returns the loaded table.
     """
     missing, surplus = set(table.names) - set(df.columns), set(df.columns) - set(table.names)
     if missing or surplus:
@@ -123,12 +128,56 @@ def load_table(df: DataFrame, table: Table, database: str, truncate: bool = Fals
     rows = df.select(*[F.col(f"`{f.name}`").cast(f.dtype).alias(f.name) for f in table.fields])
     if table.sort:
         rows = clustered(rows, list(table.sort))
+    elif table.distribution:
+        rows = rows.hint("rebalance", *table.distribution)
     rows.write.insertInto(name, overwrite=truncate)
     return read_table(df.sparkSession, table, database)
 
 
 # ---- keyed tables --------------------------------------------------------------
 
+BUCKET = "_bucket"
+
+
+def _bucketed(df: DataFrame, key: list[str], buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+
+
+def write_mergeable(df: DataFrame, path: str, key: list[str], order: list[str], buckets: int) -> None:
+    """Write one row per key, the last by ``order``, in folders by a hash of the key.
+
+    ``merge_into`` rewrites only the folders its changes fall into. Choose as many as
+    make a folder a few files; the number is fixed for the life of the table.
+    """
+    last = _bucketed(last_per_key(df, key, order), key, buckets)
+    write_parquet(last, path, [BUCKET], sort=key)
+
+
+def merge_into(spark: SparkSession, path: str, changes: DataFrame, key: list[str], order: list[str],
+               buckets: int) -> int:
+    """Apply changes to a table of ``write_mergeable``; returns how many folders it rewrote.
+
+    Only touched folders are read, through the folder names, and replaced. The merged rows are
+    written aside first, so the table is never read while it is being replaced.
+    """
+    new = _bucketed(changes, key, buckets)
+    touched = [r[0] for r in new.select(BUCKET).distinct().collect()]    # at most one per folder
+    if not touched:
+        return 0
+    current = spark.read.parquet(path)
+    with staging(spark):
+        merged = merge_keyed(current.filter(F.col(BUCKET).isin(touched)),
+                             new.select(current.columns), key, order)
+        aside = stage(merged, "merge")
+        aside.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *key).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+    return len(touched)
+
+
+def read_mergeable(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(BUCKET)
+
+
 def write_keyed(df: DataFrame, path: str, partition_key: list[str], clustering_key: list[str],
                 order: list[str]) -> DataFrame:
     """Write one row per primary key, the last by ``order``, clustered for lookups.

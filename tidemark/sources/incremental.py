@@ -21,8 +21,11 @@ def rows_after(df: DataFrame, key: str, mark: int | None, upto: int | None = Non
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, mark: int | None = None,
-              partitions: int = 1, fetch_rows: int = 500, **options) -> DataFrame:
-    """A database table above a high-water mark, read in ``partitions`` key ranges."""
+              partitions: int = 16, fetch_rows: int = 500, **options) -> DataFrame:
+    """A database table above a high-water mark, read in ``partitions`` key ranges.
+
+    One range is one task; give 1 only for small tables or a key without order.
+    """
     reader = spark.read.format("jdbc").options(url=url, fetchsize=fetch_rows, **options)
     floor = "" if mark is None else f" WHERE {key} > {int(mark)}"
     if partitions > 1:

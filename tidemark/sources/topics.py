@@ -69,7 +69,11 @@ def table_stream(spark: SparkSession, path: str, schema: StructType | str,
 def avro_schema(schema: StructType | str, name: str = "value",
                 enums: dict[str, tuple[str, ...]] | None = None,
                 nullable: tuple[str, ...] = ()) -> str:
-    """The Avro record schema of a flat struct."""
+    """The Avro record schema of a flat struct.
+
+    ``enums`` names the symbols of fields that are enumerations, ``nullable`` the fields that are
+    unions with null; bytes of such fields can't be read as plain ones.
+    """
     struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     names = {"integer": "int", "long": "long", "string": "string", "boolean": "boolean",
              "double": "double", "float": "float", "binary": "bytes"}

@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..operators.keyed import count_per_key
+from ..operators.messages import fields_of
 from ..plans import calls, risk, transit
 from ..session import stage
-from ..sources.topics import decoded, on_topic
+from ..sources.topics import decode, decoded, kafka_topics, on_topic
 from . import sinks
 
 # Pace of the call statistics.
@@ -35,11 +37,19 @@ def call_statistics(messages: DataFrame, codes: DataFrame, base: str, mode: str
     return sinks.to_batches(result, f"{base}/calls", f"{base}/checkpoint/calls", mode, every)
 
 
-CALL_KEYS = ["window", "original_crime_type_name", "description"]
+CALL_KEYS = ["window", "original_crime_type_name", "disposition"]
+
+
+def call_statistics_from_kafka(spark: SparkSession, servers: str, topic: str, codes: DataFrame,
+                               base: str, mode: str = "update", every: str | None = CALLS_EVERY,
+                               per_trigger: int | None = CALLS_PER_TRIGGER, **options) -> StreamingQuery:
+    """``call_statistics`` of a topic, at most ``per_trigger`` messages at a time."""
+    messages = kafka_topics(spark, servers, topic, max_per_trigger=per_trigger, **options)
+    return call_statistics(messages, codes, base, mode, every)
 
 
 def customer_risk(customer_messages: DataFrame, risk_messages: DataFrame, base: str,
-                  topic: str = "customer-risk", servers: str | None = None, salts: int = 1,
+                  topic: str = "customer-risk", servers: str | None = None, salts: int = risk.SALTS,
                   within: str | None = None, every: str | None = None) -> StreamingQuery:
     """Scores with email and birth year, as JSON messages keyed by email.
 
@@ -72,18 +82,43 @@ def station_changelog(messages: DataFrame, base: str, every: str | None = None)
                                 f"{base}/stations", f"{base}/checkpoint/stations", "update", every)
 
 
+#: How the Avro schemas of messages differ from plain columns.
+ARRIVAL_AVRO = {"enums": {"train_status": schemas.TRAIN_STATES},
+                "nullable": ("prev_station_id", "prev_direction")}
+WEATHER_AVRO = {"enums": {"status": schemas.WEATHER_STATES}}
+
+
+def board_messages(messages: DataFrame, encoding: str = "json") -> DataFrame:
+    """Arrivals and turnstile entries with topic, offset, time and the fields of an arrival.
+
+    Each message is decoded once. An entry has the station only.
+    """
+    entry = F.col("topic") == TURNSTILE_TOPIC
+    taken = on_topic(messages, pattern=f"{ARRIVAL_TOPICS}|{TURNSTILE_TOPIC}")
+    value = decode(F.col("value"), schemas.ARRIVAL, encoding, **ARRIVAL_AVRO)
+    if encoding != "json":       # in JSON the station has the same name in both
+        at = decode(F.col("value"), schemas.TURNSTILE, encoding)["station_id"]
+        arrival = StructType.fromDDL(schemas.ARRIVAL)
+        only = F.struct(*[(at if f.name == "station_id" else F.lit(None)).cast(f.dataType).alias(f.name)
+                          for f in arrival.fields])
+        value = F.when(entry, only).otherwise(value)
+    return fields_of(taken, [decode(F.col("key"), schemas.MESSAGE_KEY, encoding), value],
+                     ("topic", "offset"))
+
+
 def transit_status(messages: DataFrame, stops: DataFrame, base: str, encoding: str = "json",
                    every: str | None = None) -> dict[str, StreamingQuery]:
-    """The board, the entry counts and the weather, from one message stream."""
+    """The board, the entry counts and the weather, from one message stream.
+
+    Arrivals and entries pass through the board once, in one query. Its stations are those of
+    ``stops`` at its start; a station added later takes part after a restart.
+    """
     stations = stage(transit.line_stations(stops), "stations")
-    keep = ("offset",)
-    arrivals = decoded(on_topic(messages, pattern=ARRIVAL_TOPICS), schemas.ARRIVAL,
-                       schemas.MESSAGE_KEY, encoding, keep)
     entries = decoded(on_topic(messages, TURNSTILE_TOPIC), schemas.TURNSTILE,
-                      schemas.MESSAGE_KEY, encoding, keep)
+                      schemas.MESSAGE_KEY, encoding, ("offset",))
     weather = decoded(on_topic(messages, WEATHER_TOPIC), schemas.WEATHER,
-                      schemas.MESSAGE_KEY, encoding, keep)
-    events = transit.arrival_events(arrivals).unionByName(transit.entry_events(entries))
+                      schemas.MESSAGE_KEY, encoding, ("offset",), **WEATHER_AVRO)
+    events = transit.board_events(board_messages(messages, encoding), F.col("topic") == TURNSTILE_TOPIC)
     parts = {
         "board": transit.board(events, stations),
         "entries": count_per_key(entries, "station_id"),

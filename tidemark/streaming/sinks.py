@@ -8,14 +8,15 @@ folder, so replays leave no duplicates, and nothing is collected on the driver.
 from __future__ import annotations
 
 import json
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ..functions import emit_json
 from ..operators.keyed import last_per_key
-from ..session import fresh_path
+from ..session import fresh_path, remove
 
 BATCH = "batch_id"
 
@@ -52,26 +53,76 @@ def to_batches(df: DataFrame, path: str, checkpoint: str, mode: str,
     return triggered(_writer(df, mode, checkpoint, name).foreachBatch(write), every).start()
 
 
-def _batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+#: Folder of folded changes below a result; Spark passes over names that begin so.
+BASE = "_base"
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(at) if f.isDirectory()] \
+        if files.exists(at) else []
+
+
+def _numbers(spark: SparkSession, path: str, label: str) -> list[int]:
+    """Numbers of the folders ``label=number`` below a path whose write has ended."""
+    found = [n for n in _names(spark, path) if n.startswith(f"{label}=")]
+    files = spark._jvm.org.apache.hadoop.fs
+    done = [n for n in found if files.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+            .exists(files.Path(f"{path}/{n}/_SUCCESS"))]
+    return sorted(int(n.split("=")[1]) for n in done)
 
 
 def read_complete(spark: SparkSession, path: str) -> DataFrame:
     """The result of a complete-mode stream: the output of its last micro-batch."""
-    batches = _batches(spark, path)
-    last = batches.select(F.max(BATCH)).scalar()
-    return batches.filter(F.col(BATCH) == last).drop(BATCH)
+    return spark.read.parquet(f"{path}/{BATCH}={_numbers(spark, path, BATCH)[-1]}")
+
+
+def _base_and_tail(spark: SparkSession, path: str) -> tuple[DataFrame, list[int], int]:
+    """The folded changes with all that came later, the later micro-batches, and the last folded one."""
+    bases = _numbers(spark, f"{path}/{BASE}", BATCH)
+    folded = bases[-1] if bases else -1
+    tail = [n for n in _numbers(spark, path, BATCH) if n > folded]
+    frames = [spark.read.parquet(f"{path}/{BASE}/{BATCH}={folded}")] if bases else []
+    if tail:
+        frames.append(spark.read.option("basePath", path).parquet(
+            *[f"{path}/{BATCH}={n}" for n in tail]))
+    if bases:
+        frames[0] = frames[0].withColumn(BATCH, F.lit(folded))
+    rows = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+    return rows, tail, folded
 
 
 def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The result of an update-mode stream: the last output of each key."""
-    return last_per_key(_batches(spark, path), keys, [BATCH]).drop(BATCH)
+    """The result of an update-mode stream: the last output of each key.
 
+    Reads the folded changes, if there are any, and the micro-batches since.
+    """
+    rows, _, _ = _base_and_tail(spark, path)
+    return last_per_key(rows, keys, [BATCH]).drop(BATCH)
 
-def compact_updates(spark: SparkSession, path: str, keys: list[str], out: str) -> DataFrame:
-    """Fold the changes written so far into one table of current rows."""
-    read_updates(spark, path, keys).write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+
+def compact_updates(spark: SparkSession, path: str, keys: list[str], keep: int = 1) -> int:
+    """Fold all but the last ``keep`` micro-batches into one table of current rows, and remove them.
+
+    The folded table's name says up to which micro-batch it goes, and it counts once its write
+    has ended; only then are the folders that went into it removed. So reading costs what has
+    changed since, however long the stream has run, and a fold that breaks off changes
+    nothing. The last micro-batch stays, as the stream may run it again. Returns the number of
+    micro-batches folded. Frames read earlier must be read anew.
+    """
+    rows, tail, folded = _base_and_tail(spark, path)
+    fold = tail[:-keep] if keep else tail
+    if not fold:
+        return 0
+    last = last_per_key(rows.filter(F.col(BATCH) <= fold[-1]), keys, [BATCH]).drop(BATCH)
+    last.write.mode("overwrite").parquet(f"{path}/{BASE}/{BATCH}={fold[-1]}")
+    for n in fold:
+        remove(spark, f"{path}/{BATCH}={n}")
+    if folded >= 0:
+        remove(spark, f"{path}/{BASE}/{BATCH}={folded}")
+    return len(fold)
 
 
 def envelope(df: DataFrame, key: str, topic: str | None = None) -> DataFrame:
@@ -118,22 +169,67 @@ PROGRESS = (
 )
 
 
+def _report(progress: str, tracked: bool) -> tuple:
+    """One report as a row. Where the state's rows are not tracked their number is null, not 0."""
+    p = json.loads(progress)
+    state = p.get("stateOperators") or []
+    return (
+        p["batchId"], p["timestamp"], p["numInputRows"],
+        p.get("inputRowsPerSecond"), p.get("processedRowsPerSecond"),
+        sum(s["numRowsTotal"] for s in state) if tracked or not state else None,
+        sum(s["memoryUsedBytes"] for s in state),
+        sum(s.get("numRowsDroppedByWatermark", 0) for s in state),
+        (p.get("eventTime") or {}).get("watermark"),
+        (p.get("durationMs") or {}).get("triggerExecution"),
+    )
+
+
+def _tracked(spark: SparkSession) -> bool:
+    return spark.conf.get(TRACKED, "true").lower() == "true"
+
+
+TRACKED = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+
+
 def progress_report(query: StreamingQuery) -> DataFrame:
     """One row per recent micro-batch: rows, rates, state and lateness.
 
-    Spark keeps a bounded number of reports (``spark.sql.streaming.numRecentProgressUpdates``).
+    Spark keeps a bounded number of reports (``spark.sql.streaming.numRecentProgressUpdates``);
+    a ``ProgressLog`` keeps all.
+    """
+    spark = SparkSession.active()
+    reports = [p.json if hasattr(p, "json") else json.dumps(p) for p in query.recentProgress]
+    return spark.createDataFrame([_report(p, _tracked(spark)) for p in reports], PROGRESS)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends every report of one query to a table, as it comes in.
+
+    Start it before the query, by ``spark.streams.addListener``. It follows the query of the given name.
     """
-    rows = []
-    for p in query.recentProgress:
-        p = json.loads(p.json) if hasattr(p, "json") else p
-        state = p.get("stateOperators") or []
-        rows.append((
-            p["batchId"], p["timestamp"], p["numInputRows"],
-            p.get("inputRowsPerSecond"), p.get("processedRowsPerSecond"),
-            sum(s["numRowsTotal"] for s in state),
-            sum(s["memoryUsedBytes"] for s in state),
-            sum(s.get("numRowsDroppedByWatermark", 0) for s in state),
-            (p.get("eventTime") or {}).get("watermark"),
-            (p.get("durationMs") or {}).get("triggerExecution"),
-        ))
-    return SparkSession.active().createDataFrame(rows, PROGRESS)
+
+    def __init__(self, spark: SparkSession, path: str, name: str):
+        self.spark, self.path, self.name = spark, path, name
+        self.ended, self._id = threading.Event(), None
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            self._id = event.id
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.name == self.name:
+            row = _report(event.progress.json, _tracked(self.spark))
+            self.spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.id == self._id:
+            self.ended.set()
+
+    def read(self, wait_seconds: float = 60) -> DataFrame:
+        """All reports of a query that has ended; it waits until the last one has come in."""
+        if not self.ended.wait(wait_seconds):
+            raise TimeoutError(f"no end of query {self.name!r} was reported")
+        return self.spark.read.schema(PROGRESS).parquet(self.path)

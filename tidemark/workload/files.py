@@ -14,13 +14,16 @@ from . import inputs
 from .registry import register, table
 from .star import _CLEAN_USER, _MS, _SQL, _naive, _rows, _last_sql, _ORDER
 
+#: Folders of a table that changes are merged into.
+MERGE_BUCKETS = 8
+
 _LOG_COLUMNS = ("artist, length, level, \"sessionId\", \"itemInSession\", song, page, ts, "
                 "\"userId\"")
 
 
 @register("src_json_lines", f"WITH {inputs.LOGS_SQL} SELECT {_LOG_COLUMNS} FROM logs")
 def json_lines(spark, sf_dir):
-    """Activity logs written as nested folders of JSON lines and read by a glob."""
+    """Activity logs written as nested folders of JSON lines and read from their root."""
     root = fresh_path(spark, "logs-json")
     logs = inputs.logs(spark, sf_dir).withColumn("day", F.dayofmonth(F.timestamp_millis("ts")))
     logs.write.partitionBy("level", "page").json(root)
@@ -79,10 +82,27 @@ def dated(spark, sf_dir):
 
 @register("src_lookup_json", "SELECT 'D' || n_nationkey AS disposition_code, n_name AS description FROM nation")
 def lookup_json(spark, sf_dir):
-    """A lookup kept as JSON."""
+    """A lookup kept as one JSON array."""
     path = fresh_path(spark, "codes-json")
-    inputs.codes(spark, sf_dir).write.json(path)
-    return spark.read.schema("disposition_code string, description string").json(path)
+    _as_array(inputs.codes(spark, sf_dir)).write.text(path)
+    return files.read_lookup(spark, path, "disposition_code string, description string")
+
+
+def _as_array(rows):
+    """One line of text: the rows as a JSON array. For lookups, whose format takes one file."""
+    return rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+
+
+@register("src_json_array", """
+SELECT 'parts' AS topic, '{"r_regionkey":' || r_regionkey || ',"r_name":"' || r_name || '"}' AS value
+FROM region""")
+def json_array(spark, sf_dir):
+    """The elements of a JSON-array file as messages."""
+    path = fresh_path(spark, "regions-json")
+    regions = table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("bigint"), "r_name")
+    _as_array(regions).write.text(path)
+    messages = files.explode_to_messages(spark, path, "r_regionkey bigint, r_name string", "parts")
+    return messages.select("topic", F.col("value").cast("string").alias("value"))
 
 
 @register("src_many_files", """
@@ -146,6 +166,27 @@ def lake(spark, sf_dir):
     return _naive(back.drop("songplay_id"))
 
 
+@register("snk_lake_songs", f"""
+WITH {inputs.SONGS_SQL}
+SELECT DISTINCT song_id, title, artist_id, CAST(year AS INTEGER) AS year, duration FROM songs""")
+def lake_songs(spark, sf_dir):
+    """The lake job's songs: a folder per year, sorted by artist."""
+    path = fresh_path(spark, "lake-songs")
+    built = star.build(inputs.logs(spark, sf_dir), inputs.songs(spark, sf_dir), "lake", ("songs",))["songs"]
+    sink.write_parquet(built, path, star.LAKE_PARTITIONS["songs"], sort=["artist_id"])
+    return spark.read.schema(built.schema).parquet(path).select(*built.columns)
+
+
+@register("snk_distributed", "SELECT o_orderkey, o_custkey FROM orders")
+def distributed(spark, sf_dir):
+    """Orders in a table gathered by its distribution key."""
+    spec = Table("distributed_orders", (Field("o_orderkey", "bigint"), Field("o_custkey", "bigint")),
+                 distribution=("o_custkey",))
+    database = _own_database(spark, "distributed")
+    sink.create_tables(spark, [spec], database)
+    return sink.load_table(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), spec, database)
+
+
 def _own_database(spark, label: str) -> str:
     """A new database in the scratch folder."""
     path = fresh_path(spark, label)
@@ -198,9 +239,10 @@ def keyed_merge(spark, sf_dir):
     """Purchases and sign-ups as a keyed table, with all other events merged into it."""
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
     first = F.col("event_type").isin("purchase", "signup")
-    current = sink.write_keyed(events.filter(first), fresh_path(spark, "merge-base"),
-                               ["user_id"], [], ["event_id"])
-    return sink.merge_keyed(current, events.filter(~first), ["user_id"], ["event_id"])
+    path = fresh_path(spark, "merge-base")
+    sink.write_mergeable(events.filter(first), path, ["user_id"], ["event_id"], MERGE_BUCKETS)
+    sink.merge_into(spark, path, events.filter(~first), ["user_id"], ["event_id"], MERGE_BUCKETS)
+    return sink.read_mergeable(spark, path)
 
 
 @register("snk_sorted", "SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem")

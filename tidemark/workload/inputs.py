@@ -126,6 +126,13 @@ def call_messages(events: DataFrame) -> DataFrame:
     return events.select(F.when(malformed, '{"bad').otherwise(record).cast("binary").alias("value"))
 
 
+def shared_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of which several have one description."""
+    return table(spark, sf_dir, "nation").select(
+        _text("D", F.col("n_nationkey")).alias("disposition_code"),
+        _text("region ", F.col("n_regionkey")).alias("description"))
+
+
 def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select(
         _text("D", F.col("n_nationkey")).alias("disposition_code"),
@@ -220,14 +227,19 @@ def _props_k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def arrivals(events: DataFrame) -> DataFrame:
-    """Events other than errors as arrivals: user = station, ``props.k`` = train."""
+def board_messages(events: DataFrame) -> DataFrame:
+    """Events as arrivals (user = station, ``props.k`` = train), errors as turnstile entries.
+
+    Some arrivals are of no line, and some of a line that is not displayed.
+    """
     c = F.col
     k = _props_k()
-    return events.filter(c("event_type") != "error").select(
+    return events.select(
+        (c("event_type") == "error").alias("entry"),
         F.unix_millis(c("ts").cast("timestamp")).alias("timestamp"),
         c("event_id").alias("offset"),
-        F.get(F.array(*[F.lit(n) for n in _LINE_OF]), k % 3).alias("line"),
+        F.when(k % 11 == 5, None).when(k % 13 == 7, "pink")
+        .otherwise(F.get(F.array(*[F.lit(n) for n in _LINE_OF]), k % 3)).alias("line"),
         c("user_id").cast("int").alias("station_id"),
         _text("T", k).alias("train_id"),
         F.when(c("event_type").isin("click", "view"), "a").otherwise("b").alias("direction"),
@@ -245,7 +257,8 @@ def turnstile_entries(events: DataFrame) -> DataFrame:
 
 
 BOARD_SQL = """arrivals AS (
-  SELECT epoch_ms(ts) AS t, event_id AS o, ['red', 'blue', 'green'][k % 3 + 1] AS line,
+  SELECT epoch_ms(ts) AS t, event_id AS o, CASE WHEN k % 11 = 5 THEN NULL
+      WHEN k % 13 = 7 THEN 'pink' ELSE ['red', 'blue', 'green'][k % 3 + 1] END AS line,
     user_id AS station_id, 'T' || k AS train_id,
     CASE WHEN event_type IN ('click', 'view') THEN 'a' ELSE 'b' END AS slot,
     CASE WHEN value < 50 THEN 'in service' ELSE 'out of service' END AS status,

@@ -11,7 +11,8 @@ from ..functions import calendar_parts
 from ..operators.joins import join_on
 from ..operators.quality import check_star
 from ..plans import query_tables, star
-from ..session import stage
+from ..session import fresh_path, stage
+from ..sinks.tables import write_keyed
 from .inputs import LOGS_SQL, SONGS_SQL, logs, songs
 from .registry import register, table
 
@@ -251,12 +252,19 @@ def _asked(columns: str) -> str:
             "  ORDER BY session_id DESC, item_in_session DESC, user_id DESC LIMIT 1)")
 
 
+def _keyed(spark, sf_dir, name: str):
+    """The query table as the job writes it, clustered by its key."""
+    spec = query_tables.QUERY_TABLES[name]
+    return write_keyed(_rows(spark, sf_dir), fresh_path(spark, name), list(spec.partition_key),
+                       list(spec.clustering_key), _ORDER)
+
+
 @register("lookup_song_in_session", _last_sql(
     "session_id, item_in_session", "artist_name, song, duration",
     _asked("session_id, item_in_session")))
 def lookup_song(spark, sf_dir):
+    t = _keyed(spark, sf_dir, "song_by_session")
     play = _last_play(spark, sf_dir)
-    t = query_tables.query_table(_rows(spark, sf_dir), "song_by_session", _ORDER)
     return query_tables.song_in_session(t, play["session_id"], play["item_in_session"])
 
 
@@ -264,13 +272,12 @@ def lookup_song(spark, sf_dir):
     "user_id, session_id, item_in_session",
     "item_in_session, artist_name, song, first_name, last_name", _asked("user_id, session_id")))
 def lookup_user_session(spark, sf_dir):
+    t = _keyed(spark, sf_dir, "songs_by_user_session")
     play = _last_play(spark, sf_dir)
-    t = query_tables.query_table(_rows(spark, sf_dir), "songs_by_user_session", _ORDER)
     return query_tables.songs_of_user_session(t, play["user_id"], play["session_id"])
 
 
 @register("lookup_users_of_song", _last_sql(
     "song, user_id", "first_name, last_name", "song = 'Song 10'"))
 def lookup_users(spark, sf_dir):
-    t = query_tables.query_table(_rows(spark, sf_dir), "users_by_song", _ORDER)
-    return query_tables.users_of_song(t, "Song 10")
+    return query_tables.users_of_song(_keyed(spark, sf_dir, "users_by_song"), "Song 10")

@@ -9,7 +9,8 @@ from ..operators.joins import lookup_join
 from ..operators.keyed import count_per_key, last_per_key
 from ..plans import calls, risk, transit
 from ..session import fresh_path
-from ..streaming import sinks
+from ..sources import topics
+from ..streaming import jobs, sinks
 from . import inputs
 from .batch import (CALLS_STATISTICS_SQL, CUSTOMERS_DECODED_SQL, DIM_LATEST_SQL, RISK_SQL,
                     SLIDING_SQL, SLOT_BOARD_SQL, STATION_TABLE_SQL, board_events, board_stations,
@@ -17,10 +18,6 @@ from .batch import (CALLS_STATISTICS_SQL, CUSTOMERS_DECODED_SQL, DIM_LATEST_SQL,
 from .inputs import stream
 from .registry import register, table
 
-#: State partitions over which one customer's scores are split.
-SALTS = 4
-
-
 @register("stream_dim_latest", DIM_LATEST_SQL)
 def dim_latest(spark, sf_dir):
     last = last_per_key(stream(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"],
@@ -42,6 +39,46 @@ def call_statistics(spark, sf_dir):
     return flat_window(sinks.drain(described, "complete", "calls"))
 
 
+#: The split of the messages in two, and what the first half's latest call makes late.
+_HALVES_SQL = """halves AS (
+  SELECT *, event_id % 2 AS half FROM events WHERE NOT (event_type = 'error' AND value < 5)),
+late AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 60 MINUTES AS upto FROM halves WHERE half = 0),
+starts AS (
+  SELECT *, time_bucket(INTERVAL 5 MINUTES, ts) AS window_start FROM halves
+  UNION ALL SELECT *, time_bucket(INTERVAL 5 MINUTES, ts) - INTERVAL 5 MINUTES FROM halves)"""
+
+
+@register("stream_call_updates", f"""
+WITH {_HALVES_SQL}
+SELECT window_start, window_start + INTERVAL 10 MINUTES AS window_end,
+  event_type AS original_crime_type_name, 'D' || n_nationkey AS disposition,
+  'region ' || n_regionkey AS description, count(*) AS count
+FROM starts JOIN nation ON user_id % 30 = n_nationkey AND user_id % 30 <> 7, late
+WHERE half = 0 OR window_start + INTERVAL 10 MINUTES > upto
+GROUP BY window_start, event_type, n_nationkey, n_regionkey""")
+def call_updates(spark, sf_dir):
+    """The call job in update mode over two deliveries and a restart; descriptions share codes.
+
+    The second delivery meets the state of the first, and its late calls are dropped.
+    """
+    base, source = fresh_path(spark, "call-job"), fresh_path(spark, "call-topic")
+    events = table(spark, sf_dir, "events")
+    for half in (0, 1):
+        calls_ = inputs.call_messages(events.filter(F.col("event_id") % 2 == half))
+        as_topic(calls_, "calls").write.mode("append").parquet(source)
+        jobs.call_statistics(topics.file_topics(spark, source, "calls"), inputs.shared_codes(spark, sf_dir),
+                             base, "update", every=None).awaitTermination()
+    return flat_window(sinks.read_updates(spark, f"{base}/calls", jobs.CALL_KEYS))
+
+
+def as_topic(messages, topic: str):
+    """Message values in the record shape of a topic."""
+    return messages.select(
+        F.lit(None).cast("binary").alias("key"), "value", F.lit(topic).alias("topic"),
+        F.lit(0).alias("partition"), F.lit(0).cast("bigint").alias("offset"),
+        F.lit("2024-01-01").cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"))
+
+
 @register("stream_lookup_join", f"""
 WITH {inputs.CALLS_SQL}
 SELECT original_crime_type_name, disposition, description, count(*) AS count
@@ -69,7 +106,7 @@ def stream_stream_join(spark, sf_dir):
     """Customers and scores joined as two streams."""
     people = risk.customers_from(inputs.customer_messages(stream(spark, sf_dir, "customer")))
     scores = risk.risks_from(inputs.risk_messages(stream(spark, sf_dir, "orders")))
-    return sinks.drain(risk.customer_risk(people, scores, SALTS), "append", "risk")
+    return sinks.drain(risk.customer_risk(people, scores), "append", "risk")
 
 
 @register("stream_risk_latest", RISK_SQL)
@@ -82,6 +119,25 @@ def risk_latest(spark, sf_dir):
                        "risk-latest")
 
 
+@register("stream_risk_bounded", f"""
+WITH {inputs.CUSTOMERS_SQL}
+SELECT 'customer' || o_custkey || '@test.com' AS customer, CAST(o_totalprice AS FLOAT) AS score,
+  email, "birthYear"
+FROM orders JOIN customers ON 'customer' || o_custkey || '@test.com' = email
+WHERE abs(epoch(CAST(o_orderdate AS TIMESTAMP)) - epoch(TIMESTAMP '1995-01-01')) <= 200 * 86400""")
+def risk_bounded(spark, sf_dir):
+    """Scores within 200 days of their customer's record, as two streams that forget."""
+    people = risk.customers_from(inputs.customer_messages(
+        stream(spark, sf_dir, "customer").withColumn("timestamp", F.lit("1995-01-01").cast("timestamp")),
+        ("timestamp",)), ("timestamp",))
+    scores = risk.risks_from(inputs.risk_messages(
+        stream(spark, sf_dir, "orders").withColumn("timestamp", F.col("o_orderdate").cast("timestamp")),
+        ("timestamp",)), ("timestamp",))
+    # The table is in no order of time, so nothing may count as late.
+    joined = risk.customer_risk_bounded(people, scores, "200 DAYS", lateness="36500 days")
+    return sinks.drain(joined, "append", "risk-bounded")
+
+
 @register("stream_risk_topic", f"""
 WITH {inputs.CUSTOMERS_SQL}
 SELECT email AS key, customer, score, "birthYear" FROM risks JOIN customers ON customer = email""")
@@ -90,7 +146,7 @@ def risk_topic(spark, sf_dir):
     people = risk.customers_from(inputs.customer_messages(stream(spark, sf_dir, "customer")))
     scores = risk.risks_from(inputs.risk_messages(stream(spark, sf_dir, "orders")))
     out = fresh_path(spark, "risk-topic")
-    sinks.to_topic_files(risk.customer_risk(people, scores, SALTS), "email", "customer-risk", out,
+    sinks.to_topic_files(risk.customer_risk(people, scores), "email", "customer-risk", out,
                          f"{out}-checkpoint").awaitTermination()
     messages = spark.read.schema("key string, value string, topic string").parquet(out)
     value = F.from_json("value", "customer string, score float, birthYear string").alias("v")
@@ -124,7 +180,8 @@ def station_changelog(spark, sf_dir):
     out = fresh_path(spark, "station-changelog")
     sinks.to_topic_files(stations, "station_id", "stations.table", out, f"{out}-checkpoint",
                          "update").awaitTermination()
-    last = sinks.compact_updates(spark, out, ["key"], fresh_path(spark, "station-compact"))
+    sinks.compact_updates(spark, out, ["key"])
+    last = sinks.read_updates(spark, out, ["key"])
     return last.select("key", F.get_json_object(text_of(F.col("value")), "$.line").alias("line"))
 
 
@@ -137,8 +194,23 @@ def slot_board(spark, sf_dir):
 
 @register("stream_progress", "SELECT count(*) AS input_rows FROM events")
 def progress(spark, sf_dir):
-    """Rows read by a stream, from its progress reports."""
-    out = fresh_path(spark, "progress")
-    query = sinks.to_files(stream(spark, sf_dir, "events"), out, f"{out}-checkpoint")
-    query.awaitTermination()
-    return sinks.progress_report(query).agg(F.sum("input_rows").alias("input_rows"))
+    """Rows read by a stream of many micro-batches, from the reports of all of them.
+
+    Spark itself keeps the last two here.
+    """
+    source, out = fresh_path(spark, "progress-in"), fresh_path(spark, "progress")
+    events = table(spark, sf_dir, "events")
+    events.repartition(6, "event_id").write.parquet(source)
+    name = out.rsplit("/", 1)[1]
+    log = sinks.ProgressLog(spark, f"{out}-reports", name)
+    spark.streams.addListener(log)
+    retained = "spark.sql.streaming.numRecentProgressUpdates"
+    kept = spark.conf.get(retained)
+    spark.conf.set(retained, "2")
+    try:
+        rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        sinks.to_batches(rows, out, f"{out}-checkpoint", "append", name=name).awaitTermination()
+        return log.read().agg(F.sum("input_rows").alias("input_rows"))
+    finally:
+        spark.conf.set(retained, kept)
+        spark.streams.removeListener(log)
