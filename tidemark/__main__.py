@@ -6,7 +6,7 @@ import argparse
 import datetime as dt
 
 from .plans import query_tables, star
-from .session import build_session
+from .session import build_session, size_of, tune
 from .sources import files
 
 
@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> None:
 
     args = parser.parse_args(argv)
     spark = build_session(f"tidemark-{args.job}")
+    tune(spark, size_of(spark, args.root if args.job == "load" else args.logs))
     if args.job == "lake":
         star.run_lake(files.read_activity_logs(spark, args.logs),
                       files.read_songs(spark, args.songs), args.out)

@@ -29,6 +29,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
+#: Input that a shuffle partition takes at most before run-time merging.
+PARTITION_BYTES = 256 * 1024 * 1024
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 #: Paths written by ``stage`` inside each open ``staging``, innermost last.
@@ -51,21 +53,23 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-def tune(spark: SparkSession) -> SparkSession:
+def tune(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     """Apply ``SETTINGS`` to a session someone else made.
 
-    A chosen number of shuffle partitions is left alone. Where it is the stock
-    200, a local master gets one per core, and a cluster starts each shuffle
-    with several per core; at run time small ones are merged to the advised size.
+    A chosen number of shuffle partitions is left alone. Where none is chosen, a local master
+    gets one per core, and a cluster starts each shuffle with several per core and at least
+    one for every ``PARTITION_BYTES`` of the input; at run time small ones are merged to the
+    advised size, but evenly large ones are not split.
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    if spark.conf.get("spark.sql.shuffle.partitions") == "200":
+    shuffles = "spark.sql.shuffle.partitions"
+    if spark.conf.get(shuffles) == "200" and not spark.sparkContext.getConf().contains(shuffles):
         cores = spark.sparkContext.defaultParallelism
         if is_local(spark):
             spark.conf.set("spark.sql.shuffle.partitions", str(cores))
-        elif spark.conf.get(INITIAL_PARTITIONS, None) is None:
-            spark.conf.set(INITIAL_PARTITIONS, str(max(200, 4 * cores)))
+        elif input_bytes or spark.conf.get(INITIAL_PARTITIONS, None) is None:
+            spark.conf.set(INITIAL_PARTITIONS, str(max(200, 4 * cores, input_bytes // PARTITION_BYTES)))
     return spark
 
 
@@ -100,6 +104,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def size_of(spark: SparkSession, paths: str) -> int:
+    """Bytes below a path or glob."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(paths)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sum(files.getContentSummary(f.getPath()).getLength() for f in files.globStatus(at) or [])
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever file system holds it."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
