@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -28,15 +28,20 @@ def fisher_yates(n: int, rng: np.random.Generator) -> np.ndarray:
     return np.array(order, np.int64)
 
 
-def _shuffled(seed: int):
-    """Rows sorted by bucket -> the same rows with their place in the shuffled bucket, in that order."""
+def _shuffled(seed: int, bounds: list[int]):
+    """Rows sorted by bucket, the bucket's start first -> the rows in random order, with shard and slot."""
     def shuffled(batches):
         def emit(bucket, pieces):
             rows = pa.Table.from_batches(pieces)
+            start = rows["start"][0].as_py()
+            rows = rows.slice(1)
             rng = np.random.default_rng([seed & 0xFFFFFFFF, bucket])
-            rows = rows.take(pa.array(fisher_yates(len(rows), rng)))
-            place = pa.array(np.arange(len(rows)), pa.int64())
-            yield from rows.append_column("place", place).combine_chunks().to_batches(1024)
+            rows = rows.select(["row"]).take(pa.array(fisher_yates(len(rows), rng)))
+            at = start + np.arange(len(rows))
+            shard = np.searchsorted(bounds, at, "right") - 1
+            rows = rows.append_column("shard", pa.array(shard, pa.int32()))
+            rows = rows.append_column("slot", pa.array(at - np.array(bounds)[shard], pa.int64()))
+            yield from rows.combine_chunks().to_batches(1024)
 
         bucket, pieces = None, []
         for batch in batches:
@@ -56,7 +61,7 @@ def _shuffled(seed: int):
 
 def _bounds(total: int, shards: int) -> list[int]:
     """Where each shard begins; counts are at most one apart."""
-    return [i * total // shards for i in range(shards + 1)]
+    return [-(-i * total // shards) for i in range(shards)]
 
 
 def shuffled_shards(docs: DataFrame, shards: int, seed: int = 0, text: str = "text",
@@ -77,25 +82,11 @@ def shuffled_shards(docs: DataFrame, shards: int, seed: int = 0, text: str = "te
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
                   -(-total // bucket_rows), -(-(size["bytes"] or 0) // bucket_bytes))
     scattered = rows.withColumn("bucket", F.pmod(F.xxhash64("tie"), F.lit(buckets)))
-    by_bucket = scattered.repartition("bucket").sortWithinPartitions("bucket", "tie")
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, tie long, bucket long, place long"
-    placed = staged(by_bucket.mapInArrow(_shuffled(seed), schema), "shuffled")
-
-    counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    # Where each bucket starts in the order of all rows travels to the bucket as a row of its own.
+    counts = scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    at = F.col("start") + F.col("place")
-    shard, slot = shard_of(at, total, shards)
-    return placed.join(starts, "bucket").select("row", shard.alias("shard"), slot.alias("slot"))
-
-
-def shard_of(at: Column, total: int, shards: int) -> tuple[Column, Column]:
-    """Shard and slot of a place in the order of all rows."""
-    bounds = _bounds(total, shards)
-    shard = F.lit(0)
-    start = F.lit(0).cast("long")
-    for i in range(1, shards):
-        past = at >= bounds[i]
-        shard = shard + F.when(past, 1).otherwise(0)
-        start = F.when(past, F.lit(bounds[i]).cast("long")).otherwise(start)
-    return shard.cast("int"), at - start
+    both = scattered.unionByName(starts, allowMissingColumns=True)
+    by_bucket = both.repartition("bucket").sortWithinPartitions("bucket", F.col("start").isNull(), "tie")
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, shard int, slot long"
+    return staged(by_bucket.mapInArrow(_shuffled(seed, _bounds(total, shards)), schema), "shuffled")
