@@ -106,6 +106,16 @@ def test_no_known_byte_is_compared(monkeypatch):
     assert looked.count(0) <= 6 and all(x in (0, 30) for x in looked)
 
 
+def test_blocks_give_the_same_anchors():
+    rng = random.Random(6)
+    data = np.frombuffer(bytes(rng.choices(b"abcd", k=3000)) + b"a" * 500, np.uint8)
+    ends = np.array([700, 750, 2000, 3500])
+    with np.errstate(over="ignore"):
+        whole, *cut = (sub.anchors(data, ends, LENGTH, block) for block in (10_000, 64, 701, 3401))
+    for other in cut:
+        assert all((a == b).all() for a, b in zip(whole, other))
+
+
 def test_equal_strings_name_the_same_place():
     rng = random.Random(4)
     passage = bytes(rng.choices(b"abc", k=300))

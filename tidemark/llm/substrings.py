@@ -40,6 +40,8 @@ LENGTH, GRAM = 100, 40
 CHUNK_BYTES = 12 << 20
 #: Occurrences of an anchor from which on it is split, and strings that a split anchor stands for.
 OFTEN, SPLIT = 200, 6
+#: Strings whose anchors are looked for at a time.
+BLOCK = 1 << 19
 #: Runs that one loser tree merges.
 FAN_IN = 256
 
@@ -74,28 +76,38 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:len(x) - rest], x[rest:]) if rest else x
 
 
-def anchors(data: np.ndarray, ends: np.ndarray, length: int):
+def _anchor_runs(data: np.ndarray, start: np.ndarray, length: int):
+    """For strings that start at ``start`` (sorted): stretches of one anchor, as its place, its hash,
+    and the first and last start."""
+    hashes = gram_hashes(data)
+    keys = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
+    place = (sliding_least(keys, length - GRAM + 1)[start] & _PLACE).astype(np.int64)
+    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    last = np.r_[first[1:], len(place)] - 1
+    return place[first], hashes[place[first]], start[first], start[last]
+
+
+def anchors(data: np.ndarray, ends: np.ndarray, length: int, block: int = BLOCK):
     """Anchors of all strings of ``length`` bytes inside the documents that end at ``ends``.
 
     Place, hash, and how many bytes before and from the place on the strings of this anchor cover.
+    Works through blocks of strings, so that a chunk's hashes are never all in memory.
     """
-    none = np.zeros(0, np.int64)
-    if len(data) < length:
-        return none, none.astype(np.uint64), none, none
-    hashes = gram_hashes(data)
-    keys = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
-    least = sliding_least(keys, length - GRAM + 1)           # one for each string
-    inside = np.ones(len(least), bool)
+    inside = np.ones(max(0, len(data) - length + 1), bool)
     for end in ends[:-1]:                                    # strings that cross into the next document
         inside[max(0, end - length + 1):end] = False
-    start = np.flatnonzero(inside)
-    if not len(start):
-        return none, none.astype(np.uint64), none, none
-    place = (least[start] & _PLACE).astype(np.int64)
-    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    last = np.r_[first[1:], len(place)] - 1
-    place = place[first]
-    return place, hashes[place], place - start[first], start[last] + length - place
+    found = [[np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]]
+    for at in range(0, len(inside), block):
+        start = np.flatnonzero(inside[at:at + block])
+        if len(start):
+            place, hashes, first, last = _anchor_runs(data[at:at + block + length - 1], start, length)
+            found.append([place + at, hashes, first + at, last + at])
+    place, hashes, first, last = (np.concatenate(c) for c in zip(*found))
+    # A stretch that a block's end cuts in two is one again.
+    fresh = np.flatnonzero(np.r_[True, place[1:] != place[:-1]][:len(place)])
+    end = np.r_[fresh[1:], len(place)][:len(fresh)] - 1
+    place = place[fresh]
+    return place, hashes[fresh], place - first[fresh], last[end] + length - place
 
 
 # ---- chunks ------------------------------------------------------------------------------
@@ -157,6 +169,21 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+#: Bytes of a hash that travel. Two anchors of one bucket that share them are taken for
+#: recurring without need, and the merge finds them different.
+SHORT = 5
+
+
+def short(hashes: np.ndarray) -> bytes:
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SHORT].tobytes()
+
+
+def long(data: bytes, n: int) -> np.ndarray:
+    whole = np.zeros((n, 8), np.uint8)
+    whole[:, :SHORT] = np.frombuffer(data, np.uint8, n * SHORT).reshape(n, SHORT)
+    return whole.view("<u8")[:, 0]
+
+
 def _hash_runs(buckets: int, length: int):
     """Per bucket the chunk's distinct hashes in order, and how often each occurs."""
     def runs(batches):
@@ -167,7 +194,7 @@ def _hash_runs(buckets: int, length: int):
             data, names = [], []
             for mine in np.split(np.arange(len(hashes)), cuts) if len(hashes) else []:
                 names.append(int(bucket[mine[0]]))
-                data.append(hashes[mine].tobytes() + np.minimum(n[mine], 65535).astype("<u2").tobytes())
+                data.append(short(hashes[mine]) + np.minimum(n[mine], 255).astype(np.uint8).tobytes())
             yield _rows(pa.binary(), number, names, data)
     return runs
 
@@ -190,8 +217,8 @@ def _recurring(often: int):
     """To each chunk, for its hashes of the bucket: two bits, occurs again and occurs often."""
     def answer(batches):
         for bucket, rows in _by_bucket(batches):
-            hashes = [np.frombuffer(d, "<u8", len(d) // 10) for _, d in rows]
-            counts = [np.frombuffer(d, "<u2", offset=len(d) // 10 * 8) for _, d in rows]
+            hashes = [long(d, len(d) // (SHORT + 1)) for _, d in rows]
+            counts = [np.frombuffer(d, np.uint8, offset=len(h) * SHORT) for (_, d), h in zip(rows, hashes)]
             distinct, where = np.unique(np.concatenate(hashes), return_inverse=True)
             total = np.bincount(where, np.concatenate(counts))[where]
             at = 0
@@ -269,8 +296,8 @@ def _split_often(place, before, after, length: int, gram: int):
 def _suffix_runs(buckets: int, length: int):
     """Chunks with the answers -> front-coded runs for the buckets, and what the chunk itself removes.
 
-    A row with a null bucket holds removed stretches of its chunk; others hold a run of one kind (GRAM bytes
-    shared, or all but those of a split anchor), named by the bucket's parity.
+    A row with a negative bucket holds removed stretches of its chunk; others hold a run of one kind
+    (GRAM bytes shared, or all but those of a split anchor), named by the bucket's parity.
     """
     width = length
     core = length - SPLIT + 1
@@ -296,7 +323,7 @@ def _suffix_runs(buckets: int, length: int):
                     continue
                 for rows in _bucketed(chunk, place, before, after, kind, core, buckets, width, removed):
                     yield _rows(pa.binary(), number, *rows)
-            yield _rows(pa.binary(), number, [None],
+            yield _rows(pa.binary(), number, [-1 - number % buckets],
                         [np.concatenate(removed or [np.zeros(0, "<u4")]).astype("<u4").tobytes()])
 
     return runs
@@ -430,6 +457,11 @@ def _merger(length: int):
 
     def merge(batches):
         for bucket, rows in _by_bucket(batches):
+            if bucket < 0:                           # stretches on their way to their chunks
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([c for c, _ in rows], pa.int64()), pa.array([d for _, d in rows], pa.binary())],
+                    ["chunk", "removed"])
+                continue
             found: dict[int, list] = defaultdict(list)
 
             def report(group):
@@ -510,10 +542,7 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     answers = dealt(hashes).mapInArrow(_recurring(often), "chunk long, bucket long, n long, data binary")
     answered = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "data")).alias("answers"))
     runs = chunks.join(answered, "chunk", "left").mapInArrow(_suffix_runs(buckets, length), moved)
-    runs = staged(runs, "suffix-runs")
-    removed = dealt(runs.filter("bucket is not null")).mapInArrow(
-        _merger(length), "chunk long, removed binary").union(
-        runs.filter("bucket is null").select("chunk", F.col("data").alias("removed")))
+    removed = dealt(runs).mapInArrow(_merger(length), "chunk long, removed binary")
     by_chunk = removed.groupBy("chunk").agg(F.collect_list("removed").alias("removed"))
     return chunks.join(by_chunk, "chunk", "left").mapInArrow(
         _cutter(keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
