@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.workload import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -22,7 +23,7 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, plan, name):
     df = entry.queries()[name](spark, SF)
     for word in ("Python", "ArrowEval", "CartesianProduct", "NestedLoopJoin"):
