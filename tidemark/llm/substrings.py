@@ -36,16 +36,17 @@ from pyspark.sql import functions as F
 from .common import parts, staged
 
 LENGTH, GRAM = 100, 40
-#: Bytes of text in a chunk; a chunk has fewer than 1 << 26.
+#: Bytes of text in a chunk; a longer text is a chunk of its own.
 CHUNK_BYTES = 12 << 20
 #: Occurrences of an anchor from which on it is split, and strings that a split anchor stands for.
 OFTEN, SPLIT = 200, 6
-#: Strings whose anchors are looked for at a time.
+#: Strings whose anchors are looked for at a time; with their length less than 1 << 20.
 BLOCK = 1 << 19
 #: Runs that one loser tree merges.
 FAN_IN = 256
 
-_PLACE = np.uint64((1 << 26) - 1)
+#: Bits of a key that hold a place within a block of strings.
+_PLACE = np.uint64((1 << 20) - 1)
 _TABLE = np.random.default_rng(4).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _STEPS = np.random.default_rng(5).integers(0, 1 << 63, 8, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -142,8 +143,6 @@ class Chunk:
         self.ids = np.array([i if i is not None else -1 << 63 for i in ids], np.int64)
         self.ends = np.cumsum(np.array(sizes, np.int64))
         self.bytes = zstandard.ZstdDecompressor().decompress(data)
-        if len(self.bytes) >= 1 << 26:
-            raise ValueError("a document is too long for a chunk")
         self.array = np.frombuffer(self.bytes, np.uint8)
         with np.errstate(over="ignore"):
             self.place, self.hash, self.before, self.after = anchors(self.array, self.ends, length)
