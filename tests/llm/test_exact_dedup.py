@@ -1,10 +1,17 @@
 """Exact duplicates against a brute-force grouping."""
 
+import os
 import random
 import re
 from collections import Counter, defaultdict
 
+import duckdb
+import pytest
+
 from tidemark.llm import exact_dedup as ed
+from tidemark.llm.queries import QUERIES, SQL
+
+SF = "/root/testdata/sf0.01"
 
 
 def norm(text):
@@ -59,3 +66,14 @@ def test_folding_in_several_rounds(spark, corpus, monkeypatch):
     frame = spark.createDataFrame([r[:2] for r in corpus] * 3, "doc_id long, text string").coalesce(1)
     rows = ed.duplicate_groups(frame).collect()
     assert sum(r.kept for r in rows) == len({norm(r[1]) for r in corpus})
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_query_equals_sql(spark):
+    frame = QUERIES["op1_exact_dedup"](spark, SF)
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    cursor = duck.execute(SQL["op1_exact_dedup"])
+    names = [d[0] for d in cursor.description]
+    assert sorted(names) == sorted(frame.columns)
+    assert Counter(map(tuple, frame.select(*names).collect())) == Counter(map(tuple, cursor.fetchall()))
