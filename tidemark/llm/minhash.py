@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 from .common import staged
 from .components import components
 
-WORDS, BANDS, BAND_ROWS, SAMPLES, BITS = 5, 32, 4, 256, 1024
-#: Standard deviations of the estimate are at most 0.035 near the threshold; five of them are given.
-MARGIN = 0.17
+WORDS, BANDS, BAND_ROWS, SAMPLES, BITS = 5, 32, 4, 1024, 4096
+#: The estimate's standard deviation near the threshold is 0.017; five of them are given.
+MARGIN = 0.085
 HUB_ROUNDS = 2
-#: Members of a bucket that meet in one task besides those to compare them with.
+#: Members of a bucket that meet in one task with those to be compared with them.
 BLOCK = 4096
-#: Candidates of a document that a sweep verifies first; the next sweep takes eight times as many.
+#: A document's nearest candidates in a bucket that the first sweep takes; each next one goes on from
+#: there to eight times as many.
 FIRST_CANDIDATES = 4
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -69,32 +70,34 @@ def shingle_set(words: list[bytes], hashes: WordHashes) -> np.ndarray:
 
 
 _DRAWS = np.random.default_rng(20_11)
-MULTIPLY = (_DRAWS.integers(0, 1 << 63, SAMPLES, np.uint64) << np.uint64(1)) | np.uint64(1)
-ADD = _DRAWS.integers(0, 1 << 63, SAMPLES, np.uint64)
+MULTIPLY = _DRAWS.integers(0, 1 << 32, SAMPLES, np.uint32) | np.uint32(1)
+ADD = _DRAWS.integers(0, 1 << 32, SAMPLES, np.uint32)
 
 
 def samples_of(shingles: np.ndarray) -> np.ndarray:
-    """The least value of each of the hash functions."""
-    least = np.full(SAMPLES, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 1024):
-        some = shingles[at:at + 1024]
-        least = np.minimum(least, (MULTIPLY[:, None] * some + ADD[:, None]).min(1))
+    """The least value of each of the hash functions, all permutations of 32-bit numbers."""
+    short = (shingles >> np.uint64(32)).astype(np.uint32)
+    least = np.full(SAMPLES, np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(short), 512):
+        least = np.minimum(least, (short[at:at + 512, None] * MULTIPLY + ADD).min(0))
     return least
 
 
 def band_hashes(samples: np.ndarray) -> np.ndarray:
-    rows = samples[:BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
-    folded = np.arange(1, BANDS + 1, dtype=np.uint64)
+    """For rows of samples a hash of each band."""
+    rows = samples[:, :BANDS * BAND_ROWS].astype(np.uint64).reshape(-1, BANDS, BAND_ROWS)
+    folded = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(rows), 1))
     for i in range(BAND_ROWS):
-        folded = _mixed(folded * _STEP + rows[:, i])
+        folded = _mixed(folded * _STEP + rows[:, :, i])
     return folded.view(np.int64)
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Parity bitmap of the samples, as 64-bit words."""
-    bits = _mixed(samples + np.arange(SAMPLES, dtype=np.uint64) * _STEP) % np.uint64(BITS)
-    parity = np.bincount(bits.astype(np.int64), minlength=BITS) & 1
-    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+def odd_sketches(samples: np.ndarray) -> np.ndarray:
+    """For rows of samples their parity bitmaps, as 64-bit words."""
+    bits = _mixed(samples.astype(np.uint64) + np.arange(SAMPLES, dtype=np.uint64) * _STEP) % np.uint64(BITS)
+    cells = bits.astype(np.int64) + np.arange(len(samples))[:, None] * BITS
+    parity = (np.bincount(cells.ravel(), minlength=BITS * len(samples)) & 1).astype(np.uint8)
+    return np.packbits(parity.reshape(-1, BITS), axis=1).view(np.int64)
 
 
 def differing_bits(similarity: float) -> int:
@@ -109,24 +112,25 @@ def _signer(batches):
         for batch in batches:
             for at in range(0, len(batch), 512):
                 some = batch.slice(at, 512)
-                keys, sizes, bands, sketches = [], [], [], []
+                keys, sizes, samples = [], [], []
                 for text in some["text"].to_pylist():
                     words = words_of(text)
                     shingles = shingle_set(words, hashes)
                     keys.append(hashlib.sha256(b" ".join(words)).digest())
                     sizes.append(len(shingles))
-                    samples = samples_of(shingles)
-                    bands.append(band_hashes(samples))
-                    sketches.append(odd_sketch(samples))
+                    samples.append(samples_of(shingles))
+                samples = np.stack(samples)
                 yield pa.RecordBatch.from_arrays(
                     [some["doc_id"], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                     pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(bands)), BANDS)
-                     .cast(pa.list_(pa.int64())),
-                     pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(sketches)), BITS // 64)
-                     .cast(pa.list_(pa.int64()))],
+                     _lists(band_hashes(samples)), _lists(odd_sketches(samples))],
                     ["doc_id", "key", "n_shingles", "bands", "sketch"])
 
 
+def _lists(rows: np.ndarray) -> pa.Array:
+    flat = pa.array(np.ascontiguousarray(rows).ravel())
+    return pa.FixedSizeListArray.from_arrays(flat, rows.shape[1]).cast(pa.list_(pa.int64()))
+
+
 def _set_maker(batches):
     hashes = WordHashes()
     with np.errstate(over="ignore"):
@@ -138,35 +142,43 @@ def _set_maker(batches):
                     [some["doc_id"], pa.array(sets, pa.list_(pa.int64()))], ["rep", "shingles"])
 
 
-def _sweeper(limit: int, percent: int, most: int) -> Callable:
-    """Rows of (bucket, salt, rep, component, hub, n_shingles, sketch), sorted by bucket and salt -> pairs
-    of different components whose bitmaps are near; a pair of nulls says that some were left over."""
-    def compare(rows: dict):
-        component, sketch, size = rows["component"], rows["sketch"], rows["n_shingles"]
+def _sweeper(limit: int, percent: int, low: int, high: int) -> Callable:
+    """Rows of a bucket's block -> pairs to verify; a pair of nulls says that candidates are left over.
+
+    Members outside the hub's component are compared with all the block's own members. Of those
+    whose bitmaps are near, in order of nearness, the ones from ``low`` to ``high`` are taken, without
+    those already connected. The order never changes, so later sweeps go on where this one ends.
+    A pair is taken in the first band in which both agree, and in no other bucket.
+    """
+    def compare(bucket: int, rows: dict):
+        component, sketch, size, bands = rows["component"], rows["sketch"], rows["n_shingles"], rows["bands"]
+        own = np.flatnonzero(rows["own"])
         rest = np.flatnonzero(component != rows["hub"])
         a, b, left_over = [], [], False
-        block = max(1, (1 << 18) // max(1, len(component)))
+        block = max(1, (1 << 18) // max(1, len(own)))
         for at in range(0, len(rest), block):
             mine = rest[at:at + block]
-            apart = np.zeros((len(mine), len(component)), np.int64)
+            apart = np.zeros((len(mine), len(own)), np.int64)
             for word in range(sketch.shape[1]):
-                apart += np.bitwise_count(sketch[mine, word, None] ^ sketch[None, :, word])
-            near = (apart <= limit) & (component[mine, None] != component)
-            small, large = np.minimum(size[mine, None], size), np.maximum(size[mine, None], size)
-            near &= small * 100 >= large * percent
+                apart += np.bitwise_count(sketch[mine, word, None] ^ sketch[own, word])
+            small, large = np.minimum(size[mine, None], size[own]), np.maximum(size[mine, None], size[own])
+            near = (apart <= limit) & (small * 100 >= large * percent)
             for i, row in enumerate(near):
                 found = np.flatnonzero(row)
-                if len(found) > most:
-                    found = found[np.argsort(apart[i, found], kind="stable")[:most]]
-                    left_over = True
-                a.append(np.full(len(found), rows["rep"][mine[i]]))
+                left_over |= len(found) > high
+                found = found[np.lexsort((rows["rep"][own[found]], apart[i, found]))[low:high]]
+                me, found = mine[i], own[found]
+                found = found[component[found] != component[me]]
+                first = (bands[found] == bands[me]).argmax(1)
+                found = found[bands[me][first] == bucket]
+                a.append(np.full(len(found), rows["rep"][me]))
                 b.append(rows["rep"][found])
         return a, b, left_over
 
     def sweep(batches):
-        def emit(pieces):
+        def emit(bucket, pieces):
             rows = {c: np.concatenate([p[c] for p in pieces]) for c in pieces[0]}
-            a, b, left_over = compare(rows)
+            a, b, left_over = compare(bucket, rows)
             a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
             if len(a):
                 pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
@@ -176,20 +188,21 @@ def _sweeper(limit: int, percent: int, most: int) -> Callable:
 
         key, pieces = None, []
         for batch in batches:
-            rows = {c: batch[c].to_numpy(zero_copy_only=False) for c in ("rep", "component", "hub", "n_shingles")}
-            rows["sketch"] = batch["sketch"].flatten().to_numpy().view(np.uint64).reshape(
-                len(batch), BITS // 64)
+            rows = {c: batch[c].to_numpy(zero_copy_only=False)
+                    for c in ("rep", "component", "hub", "n_shingles", "own")}
+            rows["sketch"] = batch["sketch"].flatten().to_numpy().view(np.uint64).reshape(len(batch), -1)
+            rows["bands"] = batch["bands"].flatten().to_numpy().reshape(len(batch), -1)
             keys = np.stack([batch["bucket"].to_numpy(), batch["salt"].to_numpy()], 1)
             cuts = np.flatnonzero((np.diff(keys, axis=0) != 0).any(1)) + 1
             for start, stop in zip([0, *cuts], [*cuts, len(batch)]):
                 if stop > start:
                     if pieces and tuple(keys[start]) != key:
-                        yield from emit(pieces)
+                        yield from emit(key[0], pieces)
                         pieces = []
                     key = tuple(keys[start])
                     pieces.append({c: v[start:stop] for c, v in rows.items()})
         if pieces:
-            yield from emit(pieces)
+            yield from emit(key[0], pieces)
     return sweep
 
 
@@ -228,34 +241,39 @@ class _Linker:
         return joined.select(F.least("rep", "hub.rep").alias("a"),
                              F.greatest("rep", "hub.rep").alias("b")).distinct()
 
-    def swept_pairs(self, seed: int, most: int) -> tuple[DataFrame, bool]:
+    def swept_pairs(self, seed: int, low: int, high: int) -> tuple[DataFrame, bool]:
         members = self.members()
         joined = members.join(self.hubs(members, seed), "bucket")
+        # Members are dealt into blocks; those outside the hub's component also visit the other blocks.
         salts = F.ceil(F.col("n") / BLOCK).cast("long")
-        # The hub's component, the bulk of a large bucket, is dealt out; the others meet every part.
-        salt = F.when(F.col("component") == F.col("hub.component"),
-                      F.array(F.pmod(F.xxhash64("rep"), salts))).otherwise(F.sequence(F.lit(0).cast("long"), salts - 1))
-        rows = joined.select("bucket", F.explode(salt).alias("salt"), "rep", "component",
-                             F.col("hub.component").alias("hub"))
-        rows = rows.join(self.reps.select("rep", "n_shingles", "sketch"), "rep")
+        own = F.pmod(F.xxhash64("rep"), salts)
+        visited = F.when(F.col("component") == F.col("hub.component"), F.array(own)).otherwise(
+            F.sequence(F.lit(0).cast("long"), salts - 1))
+        rows = joined.select("bucket", F.explode(visited).alias("salt"), own.alias("block"), "rep", "component",
+                             F.col("hub.component").alias("hub")).withColumn(
+            "own", F.col("salt") == F.col("block")).drop("block")
+        rows = rows.join(self.reps.select("rep", "n_shingles", "sketch", "bands"), "rep")
         found = staged(rows.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt").mapInArrow(
-            _sweeper(self.limit, self.percent, most), "a long, b long").distinct(), "swept")
+            _sweeper(self.limit, self.percent, low, high), "a long, b long").distinct(), "swept")
         return found.filter("a is not null"), found.filter("a is null").limit(1).count() > 0
 
-    def verify(self, pairs: DataFrame) -> int:
-        """Test new pairs on bitmaps and then on full sets; new components follow. The number of links found."""
-        if self.tested is not None:
-            pairs = pairs.join(self.tested.select("a", "b"), ["a", "b"], "left_anti")
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose sizes and bitmaps don't rule a link out."""
         sketch = self.reps.select("rep", "n_shingles", "sketch")
         one, two = (sketch.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n{x}"),
                                   F.col("sketch").alias(f"s{x}")) for x in "ab")
-        near = pairs.join(one, "a").join(two, "b").filter(
+        return pairs.join(one, "a").join(two, "b").filter(
             (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
             & (_apart(F.col("sa"), F.col("sb")) <= self.limit)).select("a", "b").distinct()
+
+    def verify(self, pairs: DataFrame) -> int:
+        """Compare new pairs by their full sets; new components follow. The number of links found."""
+        if self.tested is not None:
+            pairs = pairs.join(self.tested.select("a", "b"), ["a", "b"], "left_anti")
         first, second = (self.sets.select(F.col("rep").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
         both = F.size(F.array_intersect("sa", "sb"))
         union = F.size("sa") + F.size("sb") - both
-        tested = staged(near.join(first, "a").join(second, "b").select(
+        tested = staged(pairs.join(first, "a").join(second, "b").select(
             "a", "b", (both * 100 >= union * self.percent).alias("linked")), "tested-pairs")
         self.tested = tested if self.tested is None else self.tested.union(tested)
         found = tested.filter("linked").count()
@@ -292,12 +310,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     linker = _Linker(reps, shared, sets, percent)
     for seed in range(hub_rounds):
-        linker.verify(linker.hub_pairs(seed))
-    most, more = FIRST_CANDIDATES, True
+        linker.verify(linker.near(linker.hub_pairs(seed)))
+    low, high, more = 0, FIRST_CANDIDATES, True
     while more:
-        pairs, more = linker.swept_pairs(hub_rounds, most)
+        pairs, more = linker.swept_pairs(hub_rounds, low, high)
         linker.verify(pairs)
-        most *= 8
+        low, high = high, 8 * high
 
     named = signed.select("doc_id", "key", "n_shingles").join(reps.select("key", "rep"), "key", "left")
     if linker.labels is None:
