@@ -20,7 +20,7 @@ from .common import staged
 from .components import components
 
 #: Vectors the fit takes at most; cells at most.
-SAMPLE_ROWS, MOST_CELLS = 100_000, 4096
+SAMPLE_ROWS, MOST_CELLS = 25_000, 4096
 CODEWORDS, PART = 256, 8
 #: Members or queries of a cell that meet in one task.
 BLOCK = 4096
@@ -89,12 +89,16 @@ class Index:
         return own, needed
 
 
-def padded(vectors: list, width: int) -> np.ndarray:
-    """Unit vectors in double precision, filled up with zeros."""
-    x = np.zeros((len(vectors), width))
-    for i, v in enumerate(vectors):
-        x[i, :len(v)] = v
-    x /= np.abs(x).max(1, keepdims=True)
+def padded(vectors: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors in double precision, filled up with zeros, and their lengths before that."""
+    lengths = vectors.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    x = np.zeros((len(lengths), width))
+    x[np.arange(width) < lengths[:, None]] = vectors.flatten().to_numpy(zero_copy_only=False)
+    return unit(x), lengths
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
@@ -103,7 +107,7 @@ def _indexer(index: Index, width: int, radius: float):
         for batch in batches:
             for at in range(0, len(batch), 2048):
                 some = batch.slice(at, 2048)
-                x = padded(some["vector"].to_pylist(), width).astype(np.float32)
+                x = padded(some["vector"], width)[0].astype(np.float32)
                 own, needed = index.probes(x, radius)
                 codes, errors = index.encode(x, own)
                 yield pa.RecordBatch.from_arrays(
@@ -120,64 +124,75 @@ def _compare(index: Index, width: int, threshold: float):
     all of the unit's linked vectors connected."""
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
 
-    def unit(cell: int, members: list, queries: list):
-        if not members or not queries:
-            return [], []
-        reps = np.array([m[0] for m in members], np.int64)
-        copies = np.array([m[1] for m in members], np.int64)
-        lengths = np.array([len(m[2]) for m in members])
-        x = padded([m[2] for m in members], width)
-        codes = np.frombuffer(b"".join(m[3] for m in members), np.uint8).reshape(len(members), -1)
-        limit = radius + np.array([m[4] for m in members]) + SLACK
-        counts, links = [], []
-        label = np.arange(len(members) + len(queries))
-        for at in range(0, len(queries), 256):
-            some = queries[at:at + 256]
-            q = padded([r[2] for r in some], width)
+    def compared(cell: int, rows: dict):
+        member = rows["member"]
+        reps, copies, x, lengths = (rows[c][member] for c in ("rep", "copies", "x", "length"))
+        codes, limit = rows["code"][member], radius + rows["error"][member] + SLACK
+        asked = np.flatnonzero(~member)
+        links, counts = [], []
+        label = np.arange(len(reps) + len(asked))
+        block = max(1, min(256, (1 << 20) // max(1, len(reps))))
+        for at in range(0, len(asked), block):
+            some = asked[at:at + block]
+            q, mine = rows["x"][some], rows["rep"][some]
             rest = (q - index.centres[cell]).astype(np.float32)
-            for i in range(len(some)):
-                table = [((w - rest[i, PART * p:PART * (p + 1)]) ** 2).sum(1) for p, w in enumerate(index.words)]
-                d2 = table[0][codes[:, 0]]
-                for p in range(1, index.parts):
-                    d2 = d2 + table[p][codes[:, p]]
-                maybe = np.flatnonzero(np.sqrt(d2) <= limit)
-                mine, size = some[i][0], len(some[i][2])
-                sure = maybe[(x[maybe] @ q[i] >= threshold) & (lengths[maybe] == size)]
-                sure = sure[(reps[sure] != mine)]
-                if len(sure):
-                    counts.append((mine, int(copies[sure].sum())))
-                    # A link for every label that this query joins to its own.
-                    me = len(members) + at + i
-                    seen, firsts = np.unique(label[sure], return_index=True)
-                    lowest = min(int(seen[0]), int(label[me]))
-                    links += [(mine, int(reps[sure[f]])) for f in firsts]
-                    if len(seen) > 1 or label[me] != me:
-                        label[np.isin(label, np.append(seen, label[me]))] = lowest
-                    else:
-                        label[me] = lowest
+            d2 = np.zeros((len(some), len(reps)), np.float32)
+            for p, words in enumerate(index.words):
+                table = distances2(rest[:, PART * p:PART * (p + 1)], words)
+                d2 += np.take(table, codes[:, p], axis=1)
+            maybe = (np.sqrt(d2) <= limit) & (mine[:, None] != reps) & (rows["length"][some, None] == lengths)
+            i, j = np.nonzero(maybe)
+            if 8 * len(i) > maybe.size:             # so many that the whole product costs less
+                sure = maybe & (q @ x.T >= threshold)
+            else:
+                near = np.einsum("ij,ij->i", q[i], x[j]) >= threshold
+                sure = np.zeros_like(maybe)
+                sure[i[near], j[near]] = True
+            linked = sure @ copies
+            for k in np.flatnonzero(linked):
+                counts.append((int(mine[k]), int(linked[k])))
+                # A link for every label that this query joins to its own.
+                found, me = np.flatnonzero(sure[k]), len(reps) + at + k
+                seen, firsts = np.unique(label[found], return_index=True)
+                links += [(int(mine[k]), int(reps[found[f]])) for f in firsts]
+                lowest = min(int(seen[0]), int(label[me]))
+                if len(seen) > 1:
+                    label[np.isin(label, seen)] = lowest
+                label[me] = lowest
         return counts, links
 
     def compare(batches):
-        def emit(key, members, queries):
-            counts, links = unit(key[0], members, queries)
-            if counts or links:
+        def emit(cell, pieces):
+            rows = {c: np.concatenate([p[c] for p in pieces]) for c in pieces[0]}
+            counts, links = compared(cell, rows)
+            if counts:
                 a = [c[0] for c in counts] + [l[0] for l in links]
                 b = [None] * len(counts) + [l[1] for l in links]
                 n = [c[1] for c in counts] + [None] * len(links)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], ["a", "b", "n"])
 
-        key, members, queries = None, [], []
+        key, pieces = None, []
         for batch in batches:
-            columns = (batch[c].to_pylist() for c in ("cell", "qb", "mb", "rep", "copies", "vector", "code", "error"))
-            for cell, qb, mb, *row in zip(*columns):
-                if (cell, qb, mb) != key:
-                    if key is not None:
-                        yield from emit(key, members, queries)
-                    key, members, queries = (cell, qb, mb), [], []
-                (members if row[3] is not None else queries).append(row)
-        if key is not None:
-            yield from emit(key, members, queries)
+            x, lengths = padded(batch["vector"], width)
+            member = batch["code"].is_valid().to_numpy(zero_copy_only=False)
+            codes = np.zeros((len(batch), index.parts), np.uint8)
+            codes[member] = np.frombuffer(b"".join(batch["code"].drop_null().to_pylist()), np.uint8).reshape(
+                -1, index.parts)
+            rows = {"x": x, "length": lengths, "member": member, "code": codes,
+                    "error": batch["error"].fill_null(0).to_numpy(zero_copy_only=False),
+                    "rep": batch["rep"].to_numpy(), "copies": batch["copies"].to_numpy()}
+            keys = np.stack([batch[c].to_numpy() for c in ("cell", "qb", "mb")], 1)
+            cuts = np.flatnonzero((np.diff(keys, axis=0) != 0).any(1)) + 1
+            for start, stop in zip([0, *cuts], [*cuts, len(batch)]):
+                if stop > start:
+                    if pieces and tuple(keys[start]) != key:
+                        yield from emit(int(key[0]), pieces)
+                        pieces = []
+                    key = tuple(keys[start])
+                    pieces.append({c: v[start:stop] for c, v in rows.items()})
+        if pieces:
+            yield from emit(int(key[0]), pieces)
     return compare
 
 
@@ -194,10 +209,13 @@ def linked_vectors(table: DataFrame, threshold: float = 0.95, vector: str = "emb
     """
     spark = table.sparkSession
     v, i = F.col(vector), F.col(vec_id)
+    # Single precision travels as such; all arithmetic on it is in double precision.
+    single = table.schema[vector].dataType.simpleString() == "array<float>"
+    kind = "array<float>" if single else "array<double>"
     ok = usable(v, i)
     name = F.sha2(F.array_join(F.transform(v, lambda x: x.cast("string")), ","), 256)
     rows = staged(table.select(i.cast("long").alias("vec_id"), F.when(ok, name).alias("name"),
-                               F.when(ok, v.cast("array<double>")).alias("vector")), "vectors")
+                               F.when(ok, v.cast(kind)).alias("vector")), "vectors")
     distinct = staged(rows.filter("name is not null").groupBy("name").agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")),
         "distinct-vectors")
@@ -214,11 +232,12 @@ def linked_vectors(table: DataFrame, threshold: float = 0.95, vector: str = "emb
     if chance < 1:
         sample = sample.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < chance * (1 << 20))
     sample = sorted(sample.collect())
-    index = Index(padded([r["vector"] for r in sample], width).astype(np.float32), cells)
+    vectors = pa.array([r["vector"] for r in sample], pa.list_(pa.float64()))
+    index = Index(padded(vectors, width)[0].astype(np.float32), cells)
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
     indexed = staged(distinct.drop("name").mapInArrow(
         _indexer(index, width, radius),
-        "rep long, copies long, vector array<double>, own long, code binary, error double, "
+        f"rep long, copies long, vector {kind}, own long, code binary, error double, "
         "probes array<long>"), "indexed-vectors")
 
     # Blocks of large cells: as many rows as there are cells come to the driver.
