@@ -186,7 +186,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
         "source_no", "key", "begin", "size", F.explode(F.sequence(first, last)).alias("block"))
     low = F.greatest("begin", F.col("block") * block)
     high = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * block)
-    spans = slots.join(pieces, ["source_no", "block"]).select(
+    # Spark takes the slots for as small as the range they are made from; both sides are large.
+    spans = slots.hint("merge").join(pieces, ["source_no", "block"]).select(
         "shard", "slot", "key", "epoch", (low - F.col("begin")).alias("first"), (high - low).alias("words"))
     return Mix(documents, spans)
 
