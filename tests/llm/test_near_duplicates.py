@@ -82,6 +82,60 @@ def test_chains_and_large_groups(spark, monkeypatch, hub_rounds, block):
     assert got == expected(rows)
 
 
+def test_units_of_a_large_bucket_are_bounded(spark, monkeypatch):
+    """A bucket of unconnected members: no unit gets more than blocks, and all pairs meet."""
+    monkeypatch.setattr(minhash, "BLOCK", 20)
+    monkeypatch.setattr(minhash, "VISITORS", 40, raising=False)
+    rows = [(i, 100, [i + 1000, i + 2000], [7, i + 10]) for i in range(600)]
+    reps = spark.createDataFrame(rows, "rep long, n_shingles long, sketch array<long>, bands array<long>")
+    linker = minhash._Linker(reps, reps.selectExpr("rep", "7L as bucket"), None, 75)
+
+    def sizes(*_):
+        def count(batches):
+            import pyarrow as pa
+            seen = {}
+            for batch in batches:
+                keys = [batch[c].to_pylist() for c in ("bucket", "salt", "qb", "mb") if c in batch.schema.names]
+                for key in zip(*keys):
+                    seen[key] = seen.get(key, 0) + 1
+            yield pa.RecordBatch.from_pydict({"a": pa.array(seen.values(), pa.int64()),
+                                              "b": pa.array(range(len(seen)), pa.int64())})
+        return count
+
+    with monkeypatch.context() as patched:
+        patched.setattr(minhash, "_sweeper", sizes)
+        most = linker.swept_pairs(0, 0, 4)[0].agg({"a": "max"}).first()[0]
+    assert most < 2 * (20 + 40)
+    linker.limit = 4096
+    pairs, more = linker.swept_pairs(0, 0, 10_000)
+    pairs = {tuple(r) for r in pairs.collect()}
+    assert not more and pairs == {(a, b) for b in range(600) for a in range(b)}
+
+
+def test_visitors_pass_a_block_in_slices():
+    """Pairs come out before all visitors are read."""
+    def rows(start, n, own):
+        import pyarrow as pa
+        ids = np.arange(start, start + n)
+        same = pa.array([[5]] * n, pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.zeros(n, np.int64) + x) for x in (7, 0, 0)] + [pa.array(ids), pa.array(ids)]
+            + [pa.array([own] * n), pa.array([not own] * n), pa.array(np.full(n, 100)), same,
+               pa.array([[7]] * n, pa.list_(pa.int64()))],
+            ["bucket", "qb", "mb", "rep", "component", "own", "asks", "n_shingles", "sketch", "bands"])
+
+    read = []
+
+    def batches():
+        for i in range(6):
+            read.append(i)
+            yield rows(100 * i, 100, i == 0)
+
+    found = minhash._sweeper(4, 75, 0, 1000)(batches())
+    assert len(next(found)) == 100 * 100 and read == [0, 1]
+    assert sum(map(len, found)) == 4 * 100 * 100
+
+
 def test_odd_sketches_estimate_similarity():
     rng = np.random.default_rng(1)
     for similarity in (0.5, 0.75, 0.95):

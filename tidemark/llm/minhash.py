@@ -30,6 +30,8 @@ MARGIN = 0.085
 HUB_ROUNDS = 2
 #: Members of a bucket that meet in one task with those to be compared with them.
 BLOCK = 4096
+#: Members outside the hub's component that pass by a block in one task, not all in memory at once.
+VISITORS = 4 * BLOCK
 #: A document's nearest candidates in a bucket that the first sweep takes; each next one goes on from
 #: there to eight times as many.
 FIRST_CANDIDATES = 4
@@ -143,66 +145,81 @@ def _set_maker(batches):
 
 
 def _sweeper(limit: int, percent: int, low: int, high: int) -> Callable:
-    """Rows of a bucket's block -> pairs to verify; a pair of nulls says that candidates are left over.
+    """Rows of units (bucket, query block, member block), members first -> pairs to verify; a pair of nulls
+    says that candidates are left over.
 
-    Members outside the hub's component are compared with all the block's own members. Of those
+    Visitors, which are not of the hub's component, are compared with all the block's own members. Of those
     whose bitmaps are near, in order of nearness, the ones from ``low`` to ``high`` are taken, without
     those already connected. The order never changes, so later sweeps go on where this one ends.
     A pair is taken in the first band in which both agree, and in no other bucket.
+    Only the block's own members are kept; visitors pass by in slices.
     """
-    def compare(bucket: int, rows: dict):
-        component, sketch, size, bands = rows["component"], rows["sketch"], rows["n_shingles"], rows["bands"]
-        own = np.flatnonzero(rows["own"])
-        rest = np.flatnonzero(component != rows["hub"])
-        a, b, left_over = [], [], False
-        block = max(1, (1 << 18) // max(1, len(own)))
-        for at in range(0, len(rest), block):
-            mine = rest[at:at + block]
-            apart = np.zeros((len(mine), len(own)), np.int64)
-            for word in range(sketch.shape[1]):
-                apart += np.bitwise_count(sketch[mine, word, None] ^ sketch[own, word])
-            small, large = np.minimum(size[mine, None], size[own]), np.maximum(size[mine, None], size[own])
+    def compare(bucket: int, own: dict, asked: dict):
+        """For each few of the visitors: pairs, and whether candidates are left over."""
+        block = max(1, (1 << 18) // max(1, len(own["rep"])))
+        for at in range(0, len(asked["rep"]), block):
+            some = {c: v[at:at + block] for c, v in asked.items()}
+            apart = np.zeros((len(some["rep"]), len(own["rep"])), np.int64)
+            for word in range(own["sketch"].shape[1]):
+                apart += np.bitwise_count(some["sketch"][:, word, None] ^ own["sketch"][:, word])
+            size = some["n_shingles"][:, None]
+            small, large = np.minimum(size, own["n_shingles"]), np.maximum(size, own["n_shingles"])
             near = (apart <= limit) & (small * 100 >= large * percent)
+            a, b, left_over = [], [], False
             for i, row in enumerate(near):
                 found = np.flatnonzero(row)
                 left_over |= len(found) > high
-                found = found[np.lexsort((rows["rep"][own[found]], apart[i, found]))[low:high]]
-                me, found = mine[i], own[found]
-                found = found[component[found] != component[me]]
-                first = (bands[found] == bands[me]).argmax(1)
-                found = found[bands[me][first] == bucket]
-                a.append(np.full(len(found), rows["rep"][me]))
-                b.append(rows["rep"][found])
-        return a, b, left_over
+                found = found[np.lexsort((own["rep"][found], apart[i, found]))[low:high]]
+                found = found[own["component"][found] != some["component"][i]]
+                bands = some["bands"][i]
+                first = (own["bands"][found] == bands).argmax(1)
+                found = found[bands[first] == bucket]
+                a.append(np.full(len(found), some["rep"][i]))
+                b.append(own["rep"][found])
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0), left_over
 
     def sweep(batches):
-        def emit(bucket, pieces):
-            rows = {c: np.concatenate([p[c] for p in pieces]) for c in pieces[0]}
-            a, b, left_over = compare(bucket, rows)
-            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-            if len(a):
-                pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-            if left_over:
-                yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64())] * 2, ["a", "b"])
-
-        key, pieces = None, []
+        def asking(own, rows):
+            nonlocal left_over
+            for pairs, more in compare(key[0], own, {c: v[rows["asks"]] for c, v in rows.items()}):
+                left_over |= more
+                if len(pairs):
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+        def joined(pieces):
+            return {c: np.concatenate([p[c] for p in pieces]) for c in pieces[0]}
+
+        # ``own`` is known when the first row comes that is none of the block's members.
+        key, pieces, own, left_over = None, [], None, False
         for batch in batches:
             rows = {c: batch[c].to_numpy(zero_copy_only=False)
-                    for c in ("rep", "component", "hub", "n_shingles", "own")}
+                    for c in ("rep", "component", "n_shingles", "own", "asks")}
             rows["sketch"] = batch["sketch"].flatten().to_numpy().view(np.uint64).reshape(len(batch), -1)
             rows["bands"] = batch["bands"].flatten().to_numpy().reshape(len(batch), -1)
-            keys = np.stack([batch["bucket"].to_numpy(), batch["salt"].to_numpy()], 1)
+            keys = np.stack([batch[c].to_numpy() for c in ("bucket", "qb", "mb")] + [rows["own"]], 1)
             cuts = np.flatnonzero((np.diff(keys, axis=0) != 0).any(1)) + 1
             for start, stop in zip([0, *cuts], [*cuts, len(batch)]):
                 if stop > start:
-                    if pieces and tuple(keys[start]) != key:
-                        yield from emit(key[0], pieces)
-                        pieces = []
-                    key = tuple(keys[start])
-                    pieces.append({c: v[start:stop] for c, v in rows.items()})
+                    if key != tuple(keys[start, :3]):
+                        if pieces:
+                            own = joined(pieces)
+                            yield from asking(own, own)
+                        key, pieces, own = tuple(keys[start, :3]), [], None
+                    some = {c: v[start:stop] for c, v in rows.items()}
+                    if some["own"][0]:
+                        pieces.append(some)
+                        continue
+                    if pieces:
+                        own, pieces = joined(pieces), []
+                        yield from asking(own, own)
+                    if own is not None:
+                        yield from asking(own, some)
         if pieces:
-            yield from emit(key[0], pieces)
+            own = joined(pieces)
+            yield from asking(own, own)
+        if left_over:
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64())] * 2, ["a", "b"])
     return sweep
 
 
@@ -228,12 +245,14 @@ class _Linker:
                 .withColumn("component", F.coalesce("component", "rep")))
 
     def hubs(self, members: DataFrame, seed: int) -> DataFrame:
-        """For buckets of several components: a member chosen by hash, and the members' number."""
-        order = F.struct(F.xxhash64("rep", F.lit(seed)).alias("order"), "rep", "component")
-        return (members.groupBy("bucket").agg(
-            F.min(order).alias("hub"), F.count(F.lit(1)).alias("n"),
-            F.min("component").alias("low"), F.max("component").alias("high"))
-            .filter("low < high").select("bucket", "hub", "n"))
+        """For buckets of several components: a member chosen by hash, with the number of its component's
+        members there, and the number of all."""
+        order = F.struct(F.xxhash64("rep", F.lit(seed)).alias("order"), "rep")
+        parts = members.groupBy("bucket", "component").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+        return (parts.groupBy("bucket").agg(
+            F.min(F.struct("first.order", "first.rep", "component", "n")).alias("hub"), F.sum("n").alias("n"),
+            F.count(F.lit(1)).alias("several"))
+            .filter("several > 1").select("bucket", "hub", "n"))
 
     def hub_pairs(self, seed: int) -> DataFrame:
         members = self.members()
@@ -243,17 +262,28 @@ class _Linker:
 
     def swept_pairs(self, seed: int, low: int, high: int) -> tuple[DataFrame, bool]:
         members = self.members()
-        joined = members.join(self.hubs(members, seed), "bucket")
-        # Members are dealt into blocks; those outside the hub's component also visit the other blocks.
-        salts = F.ceil(F.col("n") / BLOCK).cast("long")
-        own = F.pmod(F.xxhash64("rep"), salts)
-        visited = F.when(F.col("component") == F.col("hub.component"), F.array(own)).otherwise(
-            F.sequence(F.lit(0).cast("long"), salts - 1))
-        rows = joined.select("bucket", F.explode(visited).alias("salt"), own.alias("block"), "rep", "component",
-                             F.col("hub.component").alias("hub")).withColumn(
-            "own", F.col("salt") == F.col("block")).drop("block")
-        rows = rows.join(self.reps.select("rep", "n_shingles", "sketch", "bands"), "rep")
-        found = staged(rows.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt").mapInArrow(
+        joined = members.join(self.hubs(members, seed), "bucket").join(
+            self.reps.select("rep", "n_shingles", "sketch", "bands"), "rep")
+        # Members are dealt into blocks, and those outside the hub's component into blocks of visitors; each
+        # block of visitors meets each block of members in a unit of its own.
+        asks = F.col("component") != F.col("hub.component")
+
+        def dealt(n, block, seed):
+            many = F.greatest(F.lit(1), F.ceil(n / block)).cast("long")
+            return many, F.pmod(F.xxhash64("rep", F.lit(seed)), many)
+
+        (mbs, mb), (qbs, qb) = dealt(F.col("n"), BLOCK, 1), dealt(F.col("n") - F.col("hub.n"), VISITORS, 2)
+        units = joined.withColumns({"mbs": mbs, "_mb": mb, "qbs": qbs, "_qb": F.when(asks, qb).otherwise(F.lit(-1))})
+        every = F.transform(F.sequence(F.lit(0).cast("long"), F.col("qbs") - 1),
+                            lambda q: F.struct(q.alias("qb"), F.col("_mb").alias("mb")))
+        visits = F.filter(F.sequence(F.lit(0).cast("long"), F.col("mbs") - 1), lambda m: m != F.col("_mb"))
+        visits = F.transform(visits, lambda m: F.struct(F.col("_qb").alias("qb"), m.alias("mb")))
+        rows = units.withColumn("unit", F.explode(
+            F.when(F.col("_qb") < 0, every).otherwise(F.concat(every, visits)))).select(
+            "bucket", "unit.qb", "unit.mb", "rep", "component", (F.col("unit.mb") == F.col("_mb")).alias("own"),
+            (F.col("unit.qb") == F.col("_qb")).alias("asks"), "n_shingles", "sketch", "bands")
+        found = staged(rows.repartition("bucket", "qb", "mb").sortWithinPartitions(
+            "bucket", "qb", "mb", F.desc("own")).mapInArrow(
             _sweeper(self.limit, self.percent, low, high), "a long, b long").distinct(), "swept")
         return found.filter("a is not null"), found.filter("a is null").limit(1).count() > 0
 
