@@ -39,6 +39,16 @@ def test_odd_rows(docs, corpus, nothing):
     assert language.accepted(nothing, net).count() == 0
 
 
+@pytest.mark.parametrize("options", [{}, {"most_texts": 400}])
+def test_every_label_is_learned(spark, monkeypatch, options):
+    """More labels than 256; where few texts of each are taken, none is left out."""
+    rows = [(10 * i + j, f"text {j} of l{i}", f"l{i}") for i in range(300) for j in range(4)]
+    monkeypatch.setattr(language, "train", lambda texts, labels: labels)
+    labels = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), **options)
+    assert set(labels) == {r[2] for r in rows}
+    assert len(labels) == 3 * len(rows) if not options else len(labels) < 3 * 2 * 400
+
+
 def test_windows_cover_all_places():
     for n in (0, 1, 4, 255, 256, 257, 508, 509, 2000):
         data = np.random.default_rng(n).integers(1, 255, n).astype(np.uint8).tobytes()

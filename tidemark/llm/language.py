@@ -70,7 +70,8 @@ def train(texts: list[bytes], labels: list[str], epochs: int = 8, batch: int = 6
     rng = np.random.default_rng(seed)
     languages = sorted(set(labels))
     rows = [windows(t)[0] for t in texts]
-    x, y = np.stack(rows), np.array([languages.index(label) for label in labels])
+    number = {language: i for i, language in enumerate(languages)}
+    x, y = np.stack(rows), np.array([number[label] for label in labels])
     weight = (len(y) / len(languages) / np.bincount(y))[y].astype(np.float32)
     n_filters = FILTERS * len(WIDTHS)
     mask = np.concatenate([np.repeat(np.arange(REACH * EMBEDDING)[:, None] < w * EMBEDDING, FILTERS, 1)
@@ -122,35 +123,45 @@ def has_letter(text: Column) -> Column:
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", doc_id: str = "doc_id",
-        per_language: int = 600, per_text: int = 3, most_languages: int = 256) -> Network | None:
+        per_language: int = 600, per_text: int = 3, most_texts: int = 256 * 600) -> Network | None:
     """A network trained on about ``per_language`` texts of each language, chosen by a hash of the id.
 
-    From each text come ``per_text`` windows at places chosen by the hash. Only the ``most_languages``
-    languages with the most texts are learned. Rows without label, id or letters are not used;
-    without any row there is no network.
+    From each text come ``per_text`` windows at places chosen by the hash. Every language is learned; where
+    there are so many that this would be more than ``most_texts`` texts, each gives fewer, one at
+    least. Rows without label, id or letters are not used; without any row there is no network.
     """
     known = labelled.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull()
                             & has_letter(F.col(text))).select(
         F.col(text).alias("text"), F.col(label).cast("string").alias("label"),
         F.col(doc_id).cast("string").alias("id"))
-    counts = (known.groupBy("label").count().orderBy(F.desc("count"), "label")
-              .limit(most_languages).collect())
+    counts = known.groupBy("label").count().collect()
     if not counts:
         return None
-    chance = F.lit(None).cast("double")
-    for r in counts:
-        chance = F.when(F.col("label") == r["label"], per_language / r["count"]).otherwise(chance)
+    spark = labelled.sparkSession
+    wanted = max(1, min(per_language, most_texts // len(counts)))
+    chances = spark.createDataFrame([(r["label"], wanted / r["count"]) for r in counts],
+                                    "label string, chance double")
     unit = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / float(1 << 20)
     parts = [F.substring("text", F.pmod(F.xxhash64("id", F.lit(i)), F.length("text")).cast("int") + 1,
                          F.lit(WINDOW)) for i in range(per_text)]
-    sample = (known.filter(unit < chance).select("id", "label", F.explode(F.array(*parts)).alias("part"))
-              .collect())
+    # The network has a row for each label, so the labels fit a task; texts are not shuffled by label.
+    sample = (known.join(F.broadcast(chances), "label").filter(unit < F.col("chance"))
+              .select("id", "label", F.explode(F.array(*parts)).alias("part")).collect())
+    # With few texts wanted of each, the hash can leave out all of a language.
+    missed = {r["label"] for r in counts} - {r["label"] for r in sample}
+    if missed:
+        names = spark.createDataFrame([(m,) for m in sorted(missed)], "label string")
+        left = known.join(F.broadcast(names), "label")
+        first = left.groupBy("label").agg(F.min(F.struct("id", F.array(*parts).alias("parts"))).alias("first"))
+        sample += first.select("first.id", "label", F.explode("first.parts").alias("part")).collect()
     sample.sort(key=lambda r: (r["id"], r["part"], r["label"]))
     texts = [r["part"].encode() for r in sample]
     return train(texts, [r["label"] for r in sample]) if texts else None
 
 
 def _predictor(net: Network | None):
+    most = max(64, min(4096, (1 << 20) // len(net.languages))) if net else 0
+
     def flush(waiting, count):
         rows = np.concatenate([w for w, _ in waiting])
         weights = np.concatenate([s for _, s in waiting])
@@ -182,7 +193,7 @@ def _predictor(net: Network | None):
                         waiting.append((rows, filled))
                         index.append(i)
                         size += len(rows)
-                        if size >= 4096:
+                        if size >= most:
                             settle()
                             waiting, index, size = [], [], 0
                 if waiting:
