@@ -1,5 +1,6 @@
 """Sharding and mixing: their laws, brute force for what the draws take."""
 
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -68,6 +69,33 @@ def sizes(text):
     return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
 
 
+def test_large_counts_are_drawn():
+    """Beyond numpy's sampler the draws have the law's mean and variance."""
+    totals, n = np.array([3, 2, 1]) * 10 ** 9 + 7, 2 * 10 ** 9
+    rng = np.random.default_rng(1)
+    found = np.stack([mixing._split(rng, totals, n) for _ in range(1500)])
+    assert (found.sum(1) == n).all() and (found >= 0).all() and (found <= totals).all()
+    share, total = totals / totals.sum(), totals.sum()
+    variance = n * share * (1 - share) * (total - n) / (total - 1)
+    assert (abs(found.mean(0) - n * share) < 5 * np.sqrt(variance / 1500)).all()
+    assert (abs(found.var(0) / variance - 1) < 0.2).all()
+
+
+@pytest.mark.parametrize("singly", [0, 1, 64])
+def test_thinning_has_the_exact_law(monkeypatch, singly):
+    monkeypatch.setattr(mixing, "SAMPLER_LIMIT", 0)
+    monkeypatch.setattr(mixing, "SINGLY", singly)
+    totals, n, rounds = np.array([4, 3, 0, 2]), 4, 20_000
+    rng = np.random.default_rng(2)
+    found = Counter(tuple(mixing._split(rng, totals, n).tolist()) for _ in range(rounds))
+    for a in range(5):
+        for b in range(4):
+            if 0 <= (c := n - a - b) <= 2:
+                p = math.comb(4, a) * math.comb(3, b) * math.comb(2, c) / math.comb(9, n)
+                assert abs(found.pop((a, b, 0, c), 0) / rounds - p) < 5 * math.sqrt(p / rounds)
+    assert not found
+
+
 def test_mix_of_documents(docs, corpus, nothing):
     options = dict(block=16, shard_blocks=32, seed=4)
     mixed = mixing.mix(docs, **options)

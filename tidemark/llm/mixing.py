@@ -20,6 +20,8 @@ from .common import running_total, staged
 BLOCK, SHARD_BLOCKS = 128, 4096
 #: Weights of the sources in order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
+#: Slots from which numpy's hypergeometric sampler refuses; slots that are drawn one by one.
+SAMPLER_LIMIT, SINGLY = 10 ** 9, 64
 
 
 def word_count(text: Column) -> Column:
@@ -56,15 +58,24 @@ def _split(rng: np.random.Generator, totals: np.ndarray, n: int) -> np.ndarray:
     """How many of ``n`` slots each source gets, out of slots with these totals.
 
     A multinomial draw under the condition that the totals of all shards come out (the
-    multivariate hypergeometric law). For counts too large for the exact sampler, its mean.
+    multivariate hypergeometric law). For counts too large for numpy's sampler, every slot is taken
+    by chance, and as many as are then too many or too few, about the root of ``n``, are drawn likewise
+    from the taken or the others; the law is the same.
     """
     total = int(totals.sum())
-    if total < 10 ** 9:
+    if total < SAMPLER_LIMIT:
         return rng.multivariate_hypergeometric(totals, n, method="marginals")
-    part = [int(t) * n // total for t in totals]
-    for i in np.argsort([-(int(t) * n % total) for t in totals])[:n - sum(part)]:
-        part[i] += 1
-    return np.array(part, np.int64)
+    if n <= SINGLY:
+        left = totals.copy()
+        for _ in range(n):
+            ends = left.cumsum()
+            left[np.searchsorted(ends, rng.integers(ends[-1]), "right")] -= 1
+        return totals - left
+    part = rng.binomial(totals, n / total)
+    over = int(part.sum()) - n
+    if over > 0:
+        return part - _split(rng, part, over)
+    return part + _split(rng, totals - part, -over)
 
 
 def draw(shard: int, shards: int, totals: np.ndarray, per_shard: int, seed: int):
