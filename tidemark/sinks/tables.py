@@ -160,18 +160,27 @@ def merge_into(spark: SparkSession, path: str, changes: DataFrame, key: list[str
     Only touched folders are read, through the folder names, and replaced. The merged rows are
     written aside first, so the table is never read while it is being replaced.
     """
+    merged, touched = merged_folders(spark, path, changes, key, order, buckets)
+    if touched:
+        with staging(spark):
+            replace_folders(stage(merged, "merge"), path, key)
+    return touched
+
+
+def merged_folders(spark: SparkSession, path: str, changes: DataFrame, key: list[str], order: list[str],
+                   buckets: int) -> tuple[DataFrame, int]:
+    """The rows of the folders that changes fall into, with the changes applied, and how many folders."""
     new = _bucketed(changes, key, buckets)
     touched = [r[0] for r in new.select(BUCKET).distinct().collect()]    # at most one per folder
-    if not touched:
-        return 0
     current = spark.read.parquet(path)
-    with staging(spark):
-        merged = merge_keyed(current.filter(F.col(BUCKET).isin(touched)),
-                             new.select(current.columns), key, order)
-        aside = stage(merged, "merge")
-        aside.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *key).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
-    return len(touched)
+    return merge_keyed(current.filter(F.col(BUCKET).isin(touched)), new.select(current.columns), key,
+                       order), len(touched)
+
+
+def replace_folders(rows: DataFrame, path: str, key: list[str]) -> None:
+    """Replace the folders that these rows, written aside, fall into."""
+    rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *key).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
 
 
 def read_mergeable(spark: SparkSession, path: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 from ..functions import emit_json
 from ..operators.keyed import last_per_key
 from ..session import fresh_path, remove
+from ..sinks.tables import merged_folders, replace_folders
 
 BATCH = "batch_id"
 
@@ -53,6 +54,36 @@ def to_batches(df: DataFrame, path: str, checkpoint: str, mode: str,
     return triggered(_writer(df, mode, checkpoint, name).foreachBatch(write), every).start()
 
 
+def to_merged(df: DataFrame, path: str, checkpoint: str, key: list[str], order: list[str], buckets: int,
+              mode: str = "append", every: str | None = None, name: str | None = None) -> StreamingQuery:
+    """Merge each micro-batch by key into a table of ``write_mergeable``.
+
+    The merged folders are written below the checkpoint, under the micro-batch's number, before they replace the
+    table's. A replay finds them there and replaces again, also where the table was left half replaced.
+    """
+    write = _merger(path, checkpoint, key, order, buckets)
+    return triggered(_writer(df, mode, checkpoint, name).foreachBatch(write), every).start()
+
+
+def _merger(path: str, checkpoint: str, key: list[str], order: list[str], buckets: int):
+    aside = f"{checkpoint}/merged"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        written = _numbers(spark, aside, BATCH)
+        if batch_id not in written:
+            merged, touched = merged_folders(spark, path, batch, key, order, buckets)
+            if not touched:
+                return
+            merged.write.mode("overwrite").parquet(f"{aside}/{BATCH}={batch_id}")
+        replace_folders(spark.read.parquet(f"{aside}/{BATCH}={batch_id}"), path, key)
+        for older in written:
+            if older < batch_id:
+                remove(spark, f"{aside}/{BATCH}={older}")
+
+    return write
+
+
 #: Folder of folded changes below a result; Spark passes over names that begin so.
 BASE = "_base"
 

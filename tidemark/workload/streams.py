@@ -9,12 +9,14 @@ from ..operators.joins import lookup_join
 from ..operators.keyed import count_per_key, last_per_key
 from ..plans import calls, risk, transit
 from ..session import fresh_path
+from ..sinks import tables
 from ..sources import topics
 from ..streaming import jobs, sinks
 from . import inputs
 from .batch import (CALLS_STATISTICS_SQL, CUSTOMERS_DECODED_SQL, DIM_LATEST_SQL, RISK_SQL,
                     SLIDING_SQL, SLOT_BOARD_SQL, STATION_TABLE_SQL, board_events, board_stations,
                     flat_window, sliding)
+from .files import MERGE_BUCKETS
 from .inputs import stream
 from .registry import register, table
 
@@ -71,6 +73,23 @@ def call_updates(spark, sf_dir):
     return flat_window(sinks.read_updates(spark, f"{base}/calls", jobs.CALL_KEYS))
 
 
+@register("stream_keyed_merge", """
+SELECT user_id, max(event_id) AS event_id,
+  arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id""")
+def keyed_merge(spark, sf_dir):
+    """Purchases and sign-ups as a keyed table; a stream merges the rest in two deliveries and a restart."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    first = F.col("event_type").isin("purchase", "signup")
+    path, source = fresh_path(spark, "stream-merge"), fresh_path(spark, "merge-source")
+    tables.write_mergeable(events.filter(first), path, ["user_id"], ["event_id"], MERGE_BUCKETS)
+    for half in (0, 1):
+        events.filter(~first & (F.col("event_id") % 2 == half)).write.mode("append").parquet(source)
+        changes = topics.table_stream(spark, source, events.schema)
+        sinks.to_merged(changes, path, f"{path}-checkpoint", ["user_id"], ["event_id"],
+                        MERGE_BUCKETS).awaitTermination()
+    return tables.read_mergeable(spark, path)
+
+
 def as_topic(messages, topic: str):
     """Message values in the record shape of a topic."""
     return messages.select(
