@@ -143,3 +143,11 @@ def test_decoded_key_and_value(spark, rows):
     assert rows(got) == [(10, None, None, None), (9, 5, 3, "sunny")]
     with pytest.raises(ValueError):
         topics.decode(F.col("value"), schemas.WEATHER, "xml")
+
+
+def test_json_arrays_are_bounded(spark):
+    """A table that grows gives more arrays, not a longer one."""
+    from tidemark.workload import files as workload
+    rows = workload._as_arrays(spark.range(4 * workload.ARRAY_KEYS).selectExpr("id", "'x' AS name"), "id").collect()
+    sizes = [len(json.loads(r.value)) for r in rows]
+    assert sizes == [workload.ARRAY_KEYS] * 4

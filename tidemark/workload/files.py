@@ -16,6 +16,8 @@ from .star import _CLEAN_USER, _MS, _SQL, _naive, _rows, _last_sql, _ORDER
 
 #: Folders of a table that changes are merged into.
 MERGE_BUCKETS = 8
+#: Keys of one JSON-array file.
+ARRAY_KEYS = 1000
 
 _LOG_COLUMNS = ("artist, length, level, \"sessionId\", \"itemInSession\", song, page, ts, "
                 "\"userId\"")
@@ -105,6 +107,24 @@ def json_array(spark, sf_dir):
     return messages.select("topic", F.col("value").cast("string").alias("value"))
 
 
+@register("src_json_arrays", """
+SELECT 'customers' AS topic, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}' AS value
+FROM customer""")
+def json_arrays(spark, sf_dir):
+    """The elements of many JSON-array files, as many as the table is large, as messages."""
+    path = fresh_path(spark, "customers-json")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint"), "c_name")
+    _as_arrays(customers, "c_custkey").write.partitionBy("keys").text(path)
+    messages = files.explode_to_messages(spark, f"{path}/*", "c_custkey bigint, c_name string", "customers")
+    return messages.select("topic", F.col("value").cast("string").alias("value"))
+
+
+def _as_arrays(rows, key):
+    """A JSON array for each stretch of ``ARRAY_KEYS`` keys."""
+    return rows.groupBy(F.expr(f"{key} div {ARRAY_KEYS}").alias("keys")).agg(
+        F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+
+
 @register("src_many_files", """
 SELECT s_suppkey AS key, s_name AS name, s_nationkey AS nation FROM supplier
 UNION ALL SELECT c_custkey, c_name, c_nationkey FROM customer""")
