@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import exact_dedup, language, minhash, mixing, packing, sharding, substrings, vectors, warc, wordpiece
+from . import conversations, exact_dedup, language, minhash, mixing, packing, sharding, substrings, vectors, warc, wordpiece
 from .common import staged
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,66 @@ def op9_source_mix(spark, sf_dir):
 @register("op10_vector_links")
 def op10_vector_links(spark, sf_dir):
     return vectors.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register("op11_conversation_repair", r"""
+WITH RECURSIVE planted AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+      lambda s, b: list_reduce(list_prepend(xor(s, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda d, z: xor(d // 2, (d % 2) * 3988292384::BIGINT))), 4294967295::BIGINT) % 20 AS kind
+  FROM conversations),
+kept AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM planted WHERE kind <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ending,
+    role[1] AS initial FROM kept),
+seen AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM numbered),
+faults AS (
+  SELECT *, ending = '' AS blank, ending <> '' AND again AS duplicate,
+    ending NOT IN ('', '.', '!', '?') AS cut FROM seen),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+    count(*) FILTER (cut AND NOT duplicate) AS truncated,
+    count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faults GROUP BY conv_id),
+wanted(state, role, next) AS (VALUES ('0', 'user', 'u'), ('s', 'user', 'u'), ('u', 'assistant', 'a'), ('a', 'user', 'u')),
+inserts AS (
+  SELECT state AS prev, state AS mid, '' AS ext, '' AS lines, 0 AS more FROM wanted
+  UNION ALL SELECT state, next, 'I', chr(10) || role || ':', 5 FROM wanted
+  UNION ALL SELECT w.state, x.next, 'II', chr(10) || w.role || ':' || chr(10) || x.role || ':', 10
+  FROM wanted w JOIN wanted x ON x.state = w.next),
+paths AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, '0' AS state, 0::BIGINT AS cost, '' AS audit, '' AS doc FROM conversations
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit, doc FROM (
+    SELECT p.conv_id, f.i, o.state, p.cost + s.more + o.cost AS cost, p.audit || s.ext || o.letter AS audit,
+      p.doc || s.lines || o.line AS doc
+    FROM paths p JOIN faults f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+    JOIN inserts s ON s.prev = p.state JOIN wanted w ON w.state = s.mid,
+    LATERAL (
+      SELECT 'D' AS letter, s.mid AS state, 2 AS cost, '' AS line
+      UNION ALL SELECT 'K', f.initial, CASE WHEN f.cut THEN 5 ELSE 0 END, chr(10) || f.role || ':' || f.text
+        WHERE NOT f.blank AND NOT f.duplicate AND (f.initial = w.next OR s.mid = '0' AND f.initial = 's')
+      UNION ALL SELECT 'R', w.next, CASE WHEN f.cut THEN 6 ELSE 1 END, chr(10) || w.role || ':' || f.text
+        WHERE NOT f.blank AND NOT f.duplicate) o)
+  QUALIFY row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) = 1),
+ends AS (
+  SELECT p.conv_id, p.cost + s.more AS cost, p.audit || s.ext AS audit, p.doc || s.lines AS doc
+  FROM paths p LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM p.conv_id
+  JOIN inserts s ON s.prev = p.state AND s.mid IN ('0', 'a') WHERE p.i = coalesce(c.n, 0)
+  QUALIFY row_number() OVER (PARTITION BY p.conv_id ORDER BY p.cost + s.more, p.audit || s.ext) = 1)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(substr(doc, 2)) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id""")
+def op11_conversation_repair(spark, sf_dir):
+    turns = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.audits(turns, gone=F.col("gone"))
