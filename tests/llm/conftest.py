@@ -1,7 +1,12 @@
+import os
 import random
+from collections import Counter
 
+import duckdb
 import pytest
 
+from tidemark.llm.queries import QUERIES, SQL
+
 #: Columns whose names the operators use inside; they must pass through or be left alone.
 EXTRA = ["key", "row", "rep", "size", "part", "bucket", "component", "n", "id", "_part", "tie", "place"]
 
@@ -37,3 +42,22 @@ def docs(spark, corpus):
 @pytest.fixture(scope="session")
 def nothing(docs):
     return docs.filter("false")
+
+
+@pytest.fixture
+def equals_sql(spark):
+    """Whether a query's rows over a small set of tables are those of its SQL."""
+    sf_dir = "/root/testdata/sf0.01"
+
+    def check(name, *tables):
+        if not os.path.isdir(sf_dir):
+            pytest.skip("no test tables")
+        frame = QUERIES[name](spark, sf_dir)
+        duck = duckdb.connect()
+        for table in tables:
+            duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+        cursor = duck.execute(SQL[name])
+        names = [d[0] for d in cursor.description]
+        assert sorted(names) == sorted(frame.columns)
+        assert Counter(map(tuple, frame.select(*names).collect())) == Counter(map(tuple, cursor.fetchall()))
+    return check

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import conversations, exact_dedup, language, minhash, mixing, packing, sharding, substrings, vectors, warc, wordpiece
+from . import conversations, exact_dedup, filter_audit, language, minhash, mixing, packing, secret_scan, sharding, substrings, vectors, warc, wordpiece
 from .common import staged
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -173,3 +173,83 @@ FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id""")
 def op11_conversation_repair(spark, sf_dir):
     turns = conversations.damaged(table(spark, sf_dir, "conversations"))
     return conversations.audits(turns, gone=F.col("gone"))
+
+
+@register("op12_filter_audit", r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[ 	-
+]+'), lambda w: w <> '') AS words FROM documents),
+l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels
+  WHERE doc_id IS NOT NULL GROUP BY doc_id),
+least AS (SELECT text, min(doc_id) AS low FROM d GROUP BY text),
+m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(l.toxic, false) AS toxic,
+    [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words),
+     100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 5 * length(d.text),
+     regexp_matches(d.text, '[#$%&*|]'), coalesce(d.doc_id > low, false)] AS fails
+  FROM d JOIN least ON d.text = least.text LEFT JOIN l ON d.doc_id = l.doc_id),
+c AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM m GROUP BY part, fails),
+letter(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, step, ascii(filter_order[step]) - 64 AS own,
+    list_transform(string_split(left(filter_order, step - 1), ''), lambda y: ascii(y) - 64) AS earlier
+  FROM orders, range(1, 6) r(step)),
+each AS (
+  SELECT c.*, filter_order, step, fails[own] AS fail,
+    len(list_filter(earlier, lambda i: i > 0 AND fails[i])) > 0 AS gone, len(list_filter(fails, lambda f: f)) AS failed
+  FROM c, steps)
+SELECT part, filter_order, step::INTEGER AS step,
+  coalesce(sum(n) FILTER (NOT gone AND NOT fail), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (NOT gone AND fail), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (gone AND fail), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (fail AND failed = 1), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (NOT gone AND fail), 0)::BIGINT AS good_lost,
+  coalesce(sum(toxic) FILTER (NOT gone AND fail), 0)::BIGINT AS toxic_lost,
+  coalesce(sum(n * (120 // greatest(failed, 1))) FILTER (fail), 0)::BIGINT AS shapley
+FROM each GROUP BY part, filter_order, step""")
+def op12_filter_audit(spark, sf_dir):
+    docs = filter_audit.stream_of(spark, f"{sf_dir}/documents.parquet")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels"))
+
+
+#: The contract's pattern, letters in either case written out, as a text in SQL.
+_ASSIGN = (r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"
+           r"""|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+
+
+@register("op13_secret_scan", rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+found AS (
+  SELECT r, 0 AS rank, 'assign' AS kind, 8 AS least, string_split_regex(text, '{_ASSIGN}') AS between,
+    regexp_extract_all(text, '{_ASSIGN}', 0) AS whole, regexp_extract_all(text, '{_ASSIGN}', 2) AS judged FROM d
+  UNION ALL SELECT r, 1, 'access', 16, string_split_regex(text, 'AKIA[A-Z0-9]+'),
+    regexp_extract_all(text, 'AKIA[A-Z0-9]+', 0), regexp_extract_all(text, 'AKIA[A-Z0-9]+', 0) FROM d
+  UNION ALL SELECT r, 2, 'hex', 32, string_split_regex(text, '[0-9a-f]+'),
+    regexp_extract_all(text, '[0-9a-f]+', 0), regexp_extract_all(text, '[0-9a-f]+', 0) FROM d),
+each AS (
+  SELECT r, rank, kind, least, i, length(between[i]) AS skipped, length(whole[i]) AS long, length(judged[i]) AS size
+  FROM (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM found)),
+ends AS (SELECT *, (sum(skipped + long) OVER (PARTITION BY r, rank ORDER BY i))::BIGINT AS stop FROM each),
+lists AS (
+  SELECT r, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+    count(*) FILTER (rank = 2) AS n_hex,
+    string_agg(kind || ':' || (stop - long) || ':' || stop, ',' ORDER BY stop - long, rank) AS spans
+  FROM ends WHERE size >= least GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN lists ON d.r = lists.r""")
+def op13_secret_scan(spark, sf_dir):
+    """The index adds no spans, so all are base ones."""
+    found = secret_scan.scanned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = secret_scan.listed(F.col("spans"))
+    return found.select(
+        "doc_id", *(secret_scan.counted(F.col("spans"), r.kind).alias(f"n_{r.kind}") for r in secret_scan.RULES),
+        F.sha2(base, 256).alias("base_sha256"), base.alias("spans"))
