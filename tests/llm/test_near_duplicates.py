@@ -47,6 +47,26 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("order", ["random", "worst"])
+def test_rounds_on_a_path(spark, monkeypatch, order):
+    """A path of 4,096 ids takes about as many rounds as it can be halved."""
+    from tidemark.llm import components as module
+    ids = list(range(2, 4096))
+    if order == "random":
+        random.Random(3).shuffle(ids)
+    ids = [0] + ids[:2047] + [1] + ids[2047:]
+    written = []
+
+    def staged(frame, label, write=module.staged):
+        written.append(label)
+        return write(frame, label)
+
+    monkeypatch.setattr(module, "staged", staged)
+    rows = components(spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long")).collect()
+    assert {r.component for r in rows} == {0} and len(rows) == 4096
+    assert len(written) < 20
+
+
 def test_texts_equal_brute_force(docs, corpus, nothing):
     rows = minhash.near_duplicates(docs).collect()
     want = expected([r[:2] for r in corpus])
@@ -65,7 +85,6 @@ def test_texts_equal_brute_force(docs, corpus, nothing):
 def test_chains_and_large_groups(spark, monkeypatch, hub_rounds, block):
     """Drifting copies, whose ends don't link; sweeps must find what the hubs don't."""
     monkeypatch.setattr(minhash, "BLOCK", block)
-    monkeypatch.setattr(minhash, "FIRST_CANDIDATES", 1)
     rng = random.Random(1)
     rows, words = [], [f"w{rng.randint(0, 9999)}" for _ in range(60)]
     for i in range(60):
@@ -85,44 +104,34 @@ def test_chains_and_large_groups(spark, monkeypatch, hub_rounds, block):
 def test_units_of_a_large_bucket_are_bounded(spark, monkeypatch):
     """A bucket of unconnected members: no unit gets more than blocks, and all pairs meet."""
     monkeypatch.setattr(minhash, "BLOCK", 20)
-    monkeypatch.setattr(minhash, "VISITORS", 40, raising=False)
-    rows = [(i, 100, [i + 1000, i + 2000], [7, i + 10]) for i in range(600)]
-    reps = spark.createDataFrame(rows, "rep long, n_shingles long, sketch array<long>, bands array<long>")
-    linker = minhash._Linker(reps, reps.selectExpr("rep", "7L as bucket"), None, 75)
-
-    def sizes(*_):
-        def count(batches):
-            import pyarrow as pa
-            seen = {}
-            for batch in batches:
-                keys = [batch[c].to_pylist() for c in ("bucket", "salt", "qb", "mb") if c in batch.schema.names]
-                for key in zip(*keys):
-                    seen[key] = seen.get(key, 0) + 1
-            yield pa.RecordBatch.from_pydict({"a": pa.array(seen.values(), pa.int64()),
-                                              "b": pa.array(range(len(seen)), pa.int64())})
-        return count
-
-    with monkeypatch.context() as patched:
-        patched.setattr(minhash, "_sweeper", sizes)
-        most = linker.swept_pairs(0, 0, 4)[0].agg({"a": "max"}).first()[0]
-    assert most < 2 * (20 + 40)
-    linker.limit = 4096
-    pairs, more = linker.swept_pairs(0, 0, 10_000)
-    pairs = {tuple(r) for r in pairs.collect()}
-    assert not more and pairs == {(a, b) for b in range(600) for a in range(b)}
-
-
-def test_visitors_pass_a_block_in_slices():
-    """Pairs come out before all visitors are read."""
+    monkeypatch.setattr(minhash, "VISITORS", 40)
+    shared = spark.createDataFrame([(i, 7, 100) for i in range(600)], "rep long, bucket long, n_shingles long")
+    linker = minhash._Linker(shared, None, 75)
+    units = defaultdict(list)
+    for r in linker.units(0).collect():
+        units[r.bucket, r.qb, r.mb].append(r)
+    assert max(map(len, units.values())) < 2 * (20 + 40)
+    met = {frozenset((a.rep, b.rep)) for rows in units.values() for a in rows if a.own for b in rows if b.asks}
+    assert sum(len(pair) == 2 for pair in met) == 600 * 599 // 2
+
+
+def test_blocks_follow_the_size_of_sets(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 10_000)
+    shared = spark.createDataFrame([(i, 7, 1000) for i in range(50)], "rep long, bucket long, n_shingles long")
+    assert minhash._Linker(shared, None, 75).units(0).select("mb").distinct().count() == 5
+
+
+def test_visitors_pass_by_a_block():
+    """Links come out before all visitors are read, and as many as join components."""
     def rows(start, n, own):
         import pyarrow as pa
         ids = np.arange(start, start + n)
         same = pa.array([[5]] * n, pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays(
             [pa.array(np.zeros(n, np.int64) + x) for x in (7, 0, 0)] + [pa.array(ids), pa.array(ids)]
-            + [pa.array([own] * n), pa.array([not own] * n), pa.array(np.full(n, 100)), same,
-               pa.array([[7]] * n, pa.list_(pa.int64()))],
-            ["bucket", "qb", "mb", "rep", "component", "own", "asks", "n_shingles", "sketch", "bands"])
+            + [pa.array([own] * n), pa.array([not own] * n), pa.array(np.full(n, 4)), same,
+               pa.array([[7]] * n, pa.list_(pa.int64())), pa.array([[3, 9, 1, 6]] * n, pa.list_(pa.int64()))],
+            ["bucket", "qb", "mb", "rep", "component", "own", "asks", "n_shingles", "sketch", "bands", "shingles"])
 
     read = []
 
@@ -131,9 +140,34 @@ def test_visitors_pass_a_block_in_slices():
             read.append(i)
             yield rows(100 * i, 100, i == 0)
 
-    found = minhash._sweeper(4, 75, 0, 1000)(batches())
-    assert len(next(found)) == 100 * 100 and read == [0, 1]
-    assert sum(map(len, found)) == 4 * 100 * 100
+    found = minhash._swept(minhash._Judge(75))(batches())
+    first = next(found)
+    assert read == [0, 1]
+    links = [tuple(x.values()) for batch in (first, *found) for x in batch.to_pylist()]
+    # The first visitor joins the hundred members, each other one itself.
+    assert len(links) == 599
+    label = smallest(range(600), links)
+    assert set(label.values()) == {0}
+
+
+def test_templates_that_do_not_link(spark):
+    """A group of which every pair must be judged by the full sets, and none links: no row for a pair."""
+    rng = random.Random(5)
+    common = " ".join(f"w{i}" for i in range(100))
+    rows = [(i, common + " " + " ".join(f"u{rng.random()}" for _ in range(17))) for i in range(700)]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(shingles(rows[0][1]) & shingles(rows[1][1])) / len(shingles(rows[0][1]) | shingles(rows[1][1])) > 0.69
+    assert all(r.kept for r in found) and len(found) == 700
+
+
+def test_one_text_alone_links_two_groups(spark):
+    """A member of a large bucket that is near to others than its hub."""
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(words[:-1 - i % 30] + [f"x{i}"])) for i in range(90)]
+    rows += [(1000 + i, " ".join([f"y{j}" for j in range(i)] + words[i:])) for i in range(0, 45, 3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame).collect()}
+    assert got == expected(rows)
 
 
 def test_odd_sketches_estimate_similarity():

@@ -5,9 +5,10 @@ into a bitmap that keeps, for each bit, the parity of the samples that fall on i
 two bitmaps differ estimate how many samples differ, and most precisely where few do. Candidates
 whose estimate is far below the threshold go; the rest are compared on their full sets.
 
-No bucket's pairs are written out. Documents of equal words are one candidate. In a bucket each
-document is compared with one hub; what is linked is one component from then on, and only pairs
-between different components of a bucket are looked at again, bitmap by bitmap inside the task.
+No pairs of candidates are written out. Documents of equal words are one. Each document first meets one
+hub, that of its largest bucket; what is linked is one component from then on. In buckets that still hold several
+components, members and visitors meet in units that bring their bitmaps and full sets along; there
+they are judged, compared and joined, and only links that join two components of a unit leave it.
 """
 
 from __future__ import annotations
@@ -28,13 +29,10 @@ WORDS, BANDS, BAND_ROWS, SAMPLES, BITS = 5, 32, 4, 1024, 4096
 #: The estimate's standard deviation near the threshold is 0.017; five of them are given.
 MARGIN = 0.085
 HUB_ROUNDS = 2
-#: Members of a bucket that meet in one task with those to be compared with them.
-BLOCK = 4096
+#: Members of a bucket that meet in one task with those to be compared with them, and their shingles in all.
+BLOCK, BLOCK_SHINGLES = 4096, 1 << 21
 #: Members outside the hub's component that pass by a block in one task, not all in memory at once.
 VISITORS = 4 * BLOCK
-#: A document's nearest candidates in a bucket that the first sweep takes; each next one goes on from
-#: there to eight times as many.
-FIRST_CANDIDATES = 4
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -139,102 +137,172 @@ def _set_maker(batches):
         for batch in batches:
             for at in range(0, len(batch), 512):
                 some = batch.slice(at, 512)
-                sets = [shingle_set(words_of(t), hashes).view(np.int64) for t in some["text"].to_pylist()]
+                words = [words_of(t) for t in some["text"].to_pylist()]
+                sets = [shingle_set(w, hashes).view(np.int64) for w in words]
+                keys = [hashlib.sha256(b" ".join(w)).digest() for w in words]
                 yield pa.RecordBatch.from_arrays(
-                    [some["doc_id"], pa.array(sets, pa.list_(pa.int64()))], ["rep", "shingles"])
-
-
-def _sweeper(limit: int, percent: int, low: int, high: int) -> Callable:
-    """Rows of units (bucket, query block, member block), members first -> pairs to verify; a pair of nulls
-    says that candidates are left over.
-
-    Visitors, which are not of the hub's component, are compared with all the block's own members. Of those
-    whose bitmaps are near, in order of nearness, the ones from ``low`` to ``high`` are taken, without
-    those already connected. The order never changes, so later sweeps go on where this one ends.
-    A pair is taken in the first band in which both agree, and in no other bucket.
-    Only the block's own members are kept; visitors pass by in slices.
+                    [pa.array(keys, pa.binary()), some["doc_id"], pa.array(sets, pa.list_(pa.int64()))],
+                    ["key", "rep", "shingles"])
+
+
+class _Judge:
+    """Whether sets link: by size, by bitmap, and then by the full sets."""
+
+    def __init__(self, percent: int):
+        self.percent, self.limit = percent, differing_bits(percent / 100 - MARGIN)
+
+    def near(self, sizes: np.ndarray, sketches: np.ndarray, size: int, sketch: np.ndarray) -> np.ndarray:
+        small, large = np.minimum(sizes, size), np.maximum(sizes, size)
+        apart = np.zeros(len(sizes), np.int64)
+        for word in range(len(sketch)):
+            apart += np.bitwise_count(sketches[:, word] ^ sketch[word])
+        return (apart <= self.limit) & (small * 100 >= large * self.percent)
+
+    def links(self, both: np.ndarray, sizes: np.ndarray, size: int) -> np.ndarray:
+        return 100 * both >= self.percent * (sizes + size - both)
+
+
+def _columns(batch: pa.RecordBatch, names: tuple[str, ...]) -> dict:
+    rows = {c: batch[c].to_numpy(zero_copy_only=False) for c in ("rep", "n_shingles", *names)}
+    rows["sketch"] = batch["sketch"].flatten().to_numpy().view(np.uint64).reshape(len(batch), -1)
+    rows["bands"] = batch["bands"].flatten().to_numpy().reshape(len(batch), -1)
+    sets = batch["shingles"]
+    flat, ends = sets.flatten().to_numpy(), np.r_[0, np.cumsum(sets.value_lengths().to_numpy())]
+    rows["set"] = np.empty(len(batch), object)
+    for i in range(len(batch)):
+        rows["set"][i] = flat[ends[i]:ends[i + 1]]
+    return rows
+
+
+def _stretches(batches, key: tuple[str, ...], first: str, names: tuple[str, ...]):
+    """Sorted rows -> (key, whether these are the unit's own, rows), cut where either changes."""
+    for batch in batches:
+        rows = _columns(batch, names)
+        keys = np.stack([batch[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in (*key, first)], 1)
+        cuts = np.flatnonzero((np.diff(keys, axis=0) != 0).any(1)) + 1
+        for start, stop in zip([0, *cuts], [*cuts, len(batch)]):
+            if stop > start:
+                yield (tuple(keys[start, :-1].tolist()), bool(keys[start, -1]),
+                       {c: v[start:stop] for c, v in rows.items()})
+
+
+def _pairs(found: list[tuple[int, int]]):
+    if found:
+        a, b = zip(*found)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _hub_compared(judge: _Judge) -> Callable:
+    """Rows of (hub, block), the hub itself first -> links with it. Only the hub is kept."""
+    def run(batches):
+        hub = None
+        for key, is_hub, rows in _stretches(batches, ("hub", "mb"), "first", ()):
+            if is_hub:
+                hub = {c: v[0] for c, v in rows.items()}
+                continue
+            near = judge.near(rows["n_shingles"], rows["sketch"], hub["n_shingles"], hub["sketch"])
+            found = []
+            for i in np.flatnonzero(near):
+                both = len(np.intersect1d(rows["set"][i], hub["set"], assume_unique=True))
+                if judge.links(both, rows["n_shingles"][i], hub["n_shingles"]):
+                    found.append((int(hub["rep"]), int(rows["rep"][i])))
+            yield from _pairs(found)
+    return run
+
+
+class _Unit:
+    """A block of a bucket's members, by whom visitors pass; and which of all these are connected."""
+
+    def __init__(self, judge: _Judge, bucket: int, pieces: list[dict]):
+        self.judge, self.bucket = judge, bucket
+        self.own = {c: np.concatenate([p[c] for p in pieces]) for c in pieces[0]}
+        self.numbers: dict[int, int] = {}
+        self.label = np.array([self._number(c) for c in self.own["component"]], np.int64)
+        self.merged: dict[int, int] = {}
+        # For each shingle that some member has, these members.
+        flat = np.concatenate(self.own["set"])
+        order = np.argsort(flat, kind="stable")
+        member = np.repeat(np.arange(len(self.own["rep"])), [len(x) for x in self.own["set"]])[order]
+        self.shingles, self.starts = np.unique(flat[order], return_index=True)
+        self.ends, self.members = np.r_[self.starts[1:], len(flat)], member
+
+    def _number(self, component: int) -> int:
+        return self.numbers.setdefault(int(component), len(self.numbers))
+
+    def _root(self, label: int) -> int:
+        while label in self.merged:
+            label = self.merged[label]
+        return label
+
+    def shared(self, shingles: np.ndarray) -> np.ndarray:
+        """How many shingles each member has of these."""
+        at = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
+        at = at[self.shingles[at] == shingles]
+        starts, n = self.starts[at], self.ends[at] - self.starts[at]
+        places = np.arange(n.sum()) + np.repeat(starts - np.r_[0, np.cumsum(n)[:-1]], n)
+        return np.bincount(self.members[places], minlength=len(self.own["rep"]))
+
+    def visit(self, rows: dict, i: int):
+        """Links that join this visitor's component with others. A pair is judged in the first band in which both
+        agree, and in no other bucket."""
+        own, judge = self.own, self.judge
+        mine = self._root(self._number(rows["component"][i]))
+        found = np.flatnonzero(self.label != mine)
+        if not len(found):
+            return
+        found = found[judge.near(own["n_shingles"][found], own["sketch"][found], rows["n_shingles"][i], rows["sketch"][i])]
+        bands = rows["bands"][i]
+        found = found[bands[(own["bands"][found] == bands).argmax(1)] == self.bucket]
+        if not len(found):
+            return
+        both = self.shared(rows["set"][i])[found]
+        linked = found[judge.links(both, own["n_shingles"][found], rows["n_shingles"][i])]
+        for label, first in zip(*np.unique(self.label[linked], return_index=True)):
+            yield int(rows["rep"][i]), int(own["rep"][linked[first]])
+            self.merged[int(label)] = mine
+            self.label[self.label == label] = mine
+
+
+def _swept(judge: _Judge) -> Callable:
+    """Rows of units (bucket, query block, member block), members first -> links that join components.
+
+    Visitors, which are not of the hub's component, are compared with the block's own members that
+    they aren't connected with yet. Only the own members are kept; visitors pass by.
     """
-    def compare(bucket: int, own: dict, asked: dict):
-        """For each few of the visitors: pairs, and whether candidates are left over."""
-        block = max(1, (1 << 18) // max(1, len(own["rep"])))
-        for at in range(0, len(asked["rep"]), block):
-            some = {c: v[at:at + block] for c, v in asked.items()}
-            apart = np.zeros((len(some["rep"]), len(own["rep"])), np.int64)
-            for word in range(own["sketch"].shape[1]):
-                apart += np.bitwise_count(some["sketch"][:, word, None] ^ own["sketch"][:, word])
-            size = some["n_shingles"][:, None]
-            small, large = np.minimum(size, own["n_shingles"]), np.maximum(size, own["n_shingles"])
-            near = (apart <= limit) & (small * 100 >= large * percent)
-            a, b, left_over = [], [], False
-            for i, row in enumerate(near):
-                found = np.flatnonzero(row)
-                left_over |= len(found) > high
-                found = found[np.lexsort((own["rep"][found], apart[i, found]))[low:high]]
-                found = found[own["component"][found] != some["component"][i]]
-                bands = some["bands"][i]
-                first = (own["bands"][found] == bands).argmax(1)
-                found = found[bands[first] == bucket]
-                a.append(np.full(len(found), some["rep"][i]))
-                b.append(own["rep"][found])
-            a, b = np.concatenate(a), np.concatenate(b)
-            yield np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0), left_over
-
-    def sweep(batches):
-        def asking(own, rows):
-            nonlocal left_over
-            for pairs, more in compare(key[0], own, {c: v[rows["asks"]] for c, v in rows.items()}):
-                left_over |= more
-                if len(pairs):
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-        def joined(pieces):
-            return {c: np.concatenate([p[c] for p in pieces]) for c in pieces[0]}
-
-        # ``own`` is known when the first row comes that is none of the block's members.
-        key, pieces, own, left_over = None, [], None, False
-        for batch in batches:
-            rows = {c: batch[c].to_numpy(zero_copy_only=False)
-                    for c in ("rep", "component", "n_shingles", "own", "asks")}
-            rows["sketch"] = batch["sketch"].flatten().to_numpy().view(np.uint64).reshape(len(batch), -1)
-            rows["bands"] = batch["bands"].flatten().to_numpy().reshape(len(batch), -1)
-            keys = np.stack([batch[c].to_numpy() for c in ("bucket", "qb", "mb")] + [rows["own"]], 1)
-            cuts = np.flatnonzero((np.diff(keys, axis=0) != 0).any(1)) + 1
-            for start, stop in zip([0, *cuts], [*cuts, len(batch)]):
-                if stop > start:
-                    if key != tuple(keys[start, :3]):
-                        if pieces:
-                            own = joined(pieces)
-                            yield from asking(own, own)
-                        key, pieces, own = tuple(keys[start, :3]), [], None
-                    some = {c: v[start:stop] for c, v in rows.items()}
-                    if some["own"][0]:
-                        pieces.append(some)
-                        continue
-                    if pieces:
-                        own, pieces = joined(pieces), []
-                        yield from asking(own, own)
-                    if own is not None:
-                        yield from asking(own, some)
+    def run(batches):
+        def ask(rows):
+            yield from _pairs([link for i in np.flatnonzero(rows["asks"]) for link in unit.visit(rows, i)])
+
+        key, pieces, unit = None, [], None
+        for at, is_own, rows in _stretches(batches, ("bucket", "qb", "mb"), "own", ("component", "asks")):
+            if at != key:
+                if pieces:
+                    unit = _Unit(judge, key[0], pieces)
+                    yield from ask(unit.own)
+                key, pieces, unit = at, [], None
+            if is_own:
+                pieces.append(rows)
+                continue
+            if pieces:
+                unit, pieces = _Unit(judge, key[0], pieces), []
+                yield from ask(unit.own)
+            if unit:
+                yield from ask(rows)
         if pieces:
-            own = joined(pieces)
-            yield from asking(own, own)
-        if left_over:
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64())] * 2, ["a", "b"])
-    return sweep
-
-
-def _apart(a: Column, b: Column) -> Column:
-    differ = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    return F.aggregate(differ, F.lit(0), lambda s, x: s + x)
+            unit = _Unit(judge, key[0], pieces)
+            yield from ask(unit.own)
+    return run
 
 
 class _Linker:
-    """Verified links between representatives, found round by round."""
+    """Links between representatives, found round by round.
 
-    def __init__(self, reps: DataFrame, shared: DataFrame, sets: DataFrame, percent: int):
-        self.reps, self.shared, self.sets, self.percent = reps, shared, sets, percent
-        self.limit = differing_bits(percent / 100 - MARGIN)
-        self.tested: DataFrame | None = None
+    ``shared``: rep, bucket, n_shingles for buckets of several; ``sets``: rep, n_shingles, bands, sketch, shingles.
+    """
+
+    def __init__(self, shared: DataFrame, sets: DataFrame, percent: int):
+        self.shared, self.sets, self.judge = shared, sets, _Judge(percent)
+        self.found: DataFrame | None = None
         self.labels: DataFrame | None = None
 
     def members(self) -> DataFrame:
@@ -246,70 +314,60 @@ class _Linker:
 
     def hubs(self, members: DataFrame, seed: int) -> DataFrame:
         """For buckets of several components: a member chosen by hash, with the number of its component's
-        members there, and the number of all."""
+        members there; the number of all, and of their shingles."""
         order = F.struct(F.xxhash64("rep", F.lit(seed)).alias("order"), "rep")
-        parts = members.groupBy("bucket", "component").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+        parts = members.groupBy("bucket", "component").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"),
+                                                           F.sum("n_shingles").alias("weight"))
         return (parts.groupBy("bucket").agg(
             F.min(F.struct("first.order", "first.rep", "component", "n")).alias("hub"), F.sum("n").alias("n"),
-            F.count(F.lit(1)).alias("several"))
-            .filter("several > 1").select("bucket", "hub", "n"))
+            F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("several"))
+            .filter("several > 1").select("bucket", "hub", "n", "weight"))
 
-    def hub_pairs(self, seed: int) -> DataFrame:
+    def hub_links(self, seed: int) -> DataFrame:
+        """Each representative is compared with one hub, that of the largest bucket where they aren't connected."""
         members = self.members()
-        joined = members.join(self.hubs(members, seed), "bucket").filter("component <> hub.component")
-        return joined.select(F.least("rep", "hub.rep").alias("a"),
-                             F.greatest("rep", "hub.rep").alias("b")).distinct()
-
-    def swept_pairs(self, seed: int, low: int, high: int) -> tuple[DataFrame, bool]:
+        asked = staged(members.join(self.hubs(members, seed), "bucket").filter("component <> hub.component").groupBy("rep").agg(
+            F.max_by("hub.rep", F.struct("n", "hub.order")).alias("hub")), "hubs")
+        blocks = asked.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("mbs"))
+        dealt = asked.join(blocks, "hub").select(
+            "hub", F.pmod(F.xxhash64("rep"), F.col("mbs")).alias("mb"), "rep", F.lit(False).alias("first"))
+        hubs = blocks.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mbs") - 1)).alias("mb"),
+                             F.col("hub").alias("rep"), F.lit(True).alias("first"))
+        rows = dealt.union(hubs).join(self.sets, "rep")
+        return rows.repartition("hub", "mb").sortWithinPartitions("hub", "mb", F.desc("first")).mapInArrow(
+            _hub_compared(self.judge), "a long, b long")
+
+    def units(self, seed: int) -> DataFrame:
+        """Rows of units: members are dealt into blocks, and those outside the hub's component into blocks
+        of visitors; each block of visitors meets each block of members in a unit of its own."""
         members = self.members()
-        joined = members.join(self.hubs(members, seed), "bucket").join(
-            self.reps.select("rep", "n_shingles", "sketch", "bands"), "rep")
-        # Members are dealt into blocks, and those outside the hub's component into blocks of visitors; each
-        # block of visitors meets each block of members in a unit of its own.
+        joined = members.join(self.hubs(members, seed), "bucket")
         asks = F.col("component") != F.col("hub.component")
-
-        def dealt(n, block, seed):
-            many = F.greatest(F.lit(1), F.ceil(n / block)).cast("long")
-            return many, F.pmod(F.xxhash64("rep", F.lit(seed)), many)
-
-        (mbs, mb), (qbs, qb) = dealt(F.col("n"), BLOCK, 1), dealt(F.col("n") - F.col("hub.n"), VISITORS, 2)
-        units = joined.withColumns({"mbs": mbs, "_mb": mb, "qbs": qbs, "_qb": F.when(asks, qb).otherwise(F.lit(-1))})
+        mbs = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("long")
+        qbs = F.greatest(F.lit(1), F.ceil((F.col("n") - F.col("hub.n")) / VISITORS)).cast("long")
+        dealt = joined.withColumns({"mbs": mbs, "qbs": qbs}).withColumns({
+            "_mb": F.pmod(F.xxhash64("rep", F.lit(1)), F.col("mbs")),
+            "_qb": F.when(asks, F.pmod(F.xxhash64("rep", F.lit(2)), F.col("qbs"))).otherwise(F.lit(-1))})
         every = F.transform(F.sequence(F.lit(0).cast("long"), F.col("qbs") - 1),
                             lambda q: F.struct(q.alias("qb"), F.col("_mb").alias("mb")))
         visits = F.filter(F.sequence(F.lit(0).cast("long"), F.col("mbs") - 1), lambda m: m != F.col("_mb"))
         visits = F.transform(visits, lambda m: F.struct(F.col("_qb").alias("qb"), m.alias("mb")))
-        rows = units.withColumn("unit", F.explode(
+        return dealt.withColumn("unit", F.explode(
             F.when(F.col("_qb") < 0, every).otherwise(F.concat(every, visits)))).select(
             "bucket", "unit.qb", "unit.mb", "rep", "component", (F.col("unit.mb") == F.col("_mb")).alias("own"),
-            (F.col("unit.qb") == F.col("_qb")).alias("asks"), "n_shingles", "sketch", "bands")
-        found = staged(rows.repartition("bucket", "qb", "mb").sortWithinPartitions(
-            "bucket", "qb", "mb", F.desc("own")).mapInArrow(
-            _sweeper(self.limit, self.percent, low, high), "a long, b long").distinct(), "swept")
-        return found.filter("a is not null"), found.filter("a is null").limit(1).count() > 0
-
-    def near(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes and bitmaps don't rule a link out."""
-        sketch = self.reps.select("rep", "n_shingles", "sketch")
-        one, two = (sketch.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n{x}"),
-                                  F.col("sketch").alias(f"s{x}")) for x in "ab")
-        return pairs.join(one, "a").join(two, "b").filter(
-            (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
-            & (_apart(F.col("sa"), F.col("sb")) <= self.limit)).select("a", "b").distinct()
-
-    def verify(self, pairs: DataFrame) -> int:
-        """Compare new pairs by their full sets; new components follow. The number of links found."""
-        if self.tested is not None:
-            pairs = pairs.join(self.tested.select("a", "b"), ["a", "b"], "left_anti")
-        first, second = (self.sets.select(F.col("rep").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
-        both = F.size(F.array_intersect("sa", "sb"))
-        union = F.size("sa") + F.size("sb") - both
-        tested = staged(pairs.join(first, "a").join(second, "b").select(
-            "a", "b", (both * 100 >= union * self.percent).alias("linked")), "tested-pairs")
-        self.tested = tested if self.tested is None else self.tested.union(tested)
-        found = tested.filter("linked").count()
-        if found:
-            self.labels = components(self.tested.filter("linked"))
-        return found
+            (F.col("unit.qb") == F.col("_qb")).alias("asks"))
+
+    def swept_links(self, seed: int) -> DataFrame:
+        rows = self.units(seed).join(self.sets, "rep")
+        return rows.repartition("bucket", "qb", "mb").sortWithinPartitions(
+            "bucket", "qb", "mb", F.desc("own")).mapInArrow(_swept(self.judge), "a long, b long")
+
+    def add(self, links: DataFrame, label: str) -> None:
+        """Go on from new links and the components they make."""
+        links = staged(links, label)
+        if links.limit(1).count():
+            self.found = links if self.found is None else self.found.union(links)
+            self.labels = components(self.found)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75,
@@ -330,22 +388,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     reps = staged(signed.filter("n_shingles > 0 and doc_id is not null").groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "representatives")
-    banded = reps.select("rep", F.explode("bands").alias("bucket"))
+    banded = reps.select("rep", "n_shingles", F.explode("bands").alias("bucket"))
     several = banded.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter(
         "low < high").select("bucket")
-    shared = staged(banded.join(several, "bucket").distinct(), "shared-buckets")
+    shared = staged(banded.join(several, "bucket").groupBy("rep", "bucket").agg(
+        F.max("n_shingles").alias("n_shingles")), "shared-buckets")
     wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
-    sets = staged(source.join(wanted, "doc_id", "left_semi").mapInArrow(
-        _set_maker, "rep long, shingles array<long>"), "shingle-sets")
+    # Rows that share an id but not their words have a set each; repeated rows have one.
+    sets = source.join(wanted, "doc_id", "left_semi").mapInArrow(
+        _set_maker, "key binary, rep long, shingles array<long>").groupBy("key", "rep").agg(
+        F.first("shingles").alias("shingles"))
+    wide = staged(sets.join(reps, ["key", "rep"]).drop("key"), "shingle-sets")
 
-    linker = _Linker(reps, shared, sets, percent)
+    linker = _Linker(shared, wide, percent)
     for seed in range(hub_rounds):
-        linker.verify(linker.near(linker.hub_pairs(seed)))
-    low, high, more = 0, FIRST_CANDIDATES, True
-    while more:
-        pairs, more = linker.swept_pairs(hub_rounds, low, high)
-        linker.verify(pairs)
-        low, high = high, 8 * high
+        linker.add(linker.hub_links(seed), "hub-links")
+    linker.add(linker.swept_links(hub_rounds), "swept-links")
 
     named = signed.select("doc_id", "key", "n_shingles").join(reps.select("key", "rep"), "key", "left")
     if linker.labels is None:
