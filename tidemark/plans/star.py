@@ -23,6 +23,7 @@ from ..operators.staging import normalise
 from ..schemas import Table
 from ..session import stage, staging
 from ..sinks import tables as sink
+from ..sinks.publish import Candidates
 from ..sources import files
 
 PLAY = "NextSong"
@@ -244,24 +245,30 @@ def run_lake(logs: DataFrame, songs: DataFrame, out: str,
 
 def stage_table(spark: SparkSession, table: Table, database: str, root: str, key: str,
                 run_date: dt.date | None = None, file_format: str = "json",
-                mapping: dict[str, str] | None = None) -> DataFrame:
-    """Replace a staging table by the files below ``root/key``, or below a run date's folder."""
+                mapping: dict[str, str] | None = None, rejects: str | None = None) -> DataFrame:
+    """Replace a staging table by the files below ``root/key``, or below a run date's folder.
+
+    ``rejects`` is a folder that gets the malformed JSON records, below the table's name.
+    """
     path = files.dated_path(root, key, run_date)
-    if file_format.lower() == "csv":
-        rows = files.stage_csv(spark, path, table)
-    elif file_format.lower() == "json":
-        rows = files.stage_json(spark, path, table, mapping)
-    else:
-        raise ValueError(f"unknown file format {file_format!r}")
-    sink.create_tables(spark, [table], database)
-    return sink.load_table(rows, table, database, truncate=True)
+    with staging(spark):
+        if file_format.lower() == "csv":
+            rows = files.stage_csv(spark, path, table)
+        elif file_format.lower() == "json":
+            rows = files.stage_json(spark, path, table, mapping, rejects and f"{rejects.rstrip('/')}/{table.name}")
+        else:
+            raise ValueError(f"unknown file format {file_format!r}")
+        sink.create_tables(spark, [table], database)
+        return sink.load_table(rows, table, database, truncate=True)
 
 
 def load_star(spark: SparkSession, log_rows: DataFrame, song_rows: DataFrame, rules: Rules,
               database: str, truncate: bool = True,
               checks: tuple[list[str], list[object]] | None = None) -> dict[str, Table]:
-    """Load the star from staged rows: the fact, its dimensions, then the checks.
+    """Load the star from staged rows: the fact and its dimensions, then the checks, and publish what passed.
 
+    With checks, all tables are loaded aside. The checks' queries read them there, by names qualified with the
+    database or with ``{db}``. If one fails, its error is raised and the database's tables stay as they were.
     With the pipeline's rules the time table is read back from the loaded fact
     instead of joining again.
     """
@@ -273,18 +280,28 @@ def load_star(spark: SparkSession, log_rows: DataFrame, song_rows: DataFrame, ru
     if rules.fact_key == "identity" and not truncate:
         loaded = sink.read_table(spark, rules.tables["songplays"], database)
         first_key = loaded.agg(F.coalesce(F.max("songplay_id") + 1, F.lit(0))).first()[0]
-    fact = sink.load_table(songplays(log_rows, song_rows, rules, first_key),
-                           rules.tables["songplays"], database, truncate)
-    rest = {
-        "users": users(log_rows, rules),
-        "songs": songs_dimension(song_rows, rules),
-        "artists": artists(song_rows, rules),
-        "time": time(fact if rules.time_from == "songplays" else log_rows, rules),
-    }
-    for name, df in rest.items():
-        sink.load_table(df, rules.tables[name], database, truncate)
-    if checks:
-        run_checks(spark, *checks)
+    candidates = Candidates(spark, rules.tables.values(), database, truncate) if checks else None
+
+    def load(name: str, df: DataFrame) -> DataFrame:
+        if candidates:
+            return candidates.load(df, rules.tables[name])
+        return sink.load_table(df, rules.tables[name], database, truncate)
+
+    try:
+        fact = load("songplays", songplays(log_rows, song_rows, rules, first_key))
+        load("users", users(log_rows, rules))
+        load("songs", songs_dimension(song_rows, rules))
+        load("artists", artists(song_rows, rules))
+        load("time", time(fact if rules.time_from == "songplays" else log_rows, rules))
+        if candidates:
+            queries, expected = checks
+            run_checks(spark, [candidates.redirected(q) for q in queries], expected)
+    except BaseException:
+        if candidates:
+            candidates.discard()
+        raise
+    if candidates:
+        candidates.publish()
     return rules.tables
 
 
@@ -300,17 +317,17 @@ def run_warehouse(spark: SparkSession, logs: DataFrame, songs: DataFrame, databa
 
 
 #: The pipeline's quality gate: users and songs without a key.
-GATE = ("SELECT count(*) FROM `{db}`.users WHERE user_id IS NULL",
-        "SELECT count(*) FROM `{db}`.songs WHERE song_id IS NULL")
+GATE = ("SELECT count(*) FROM {db}.users WHERE user_id IS NULL",
+        "SELECT count(*) FROM {db}.songs WHERE song_id IS NULL")
 
 
 def run_pipeline(spark: SparkSession, root: str, database: str, variant: str = "pipeline",
                  run_date: dt.date | None = None, log_mapping: dict[str, str] | None = None,
-                 log_key: str = "log_data", song_key: str = "song_data") -> dict[str, Table]:
-    """Stage both sources from files, load the star, and run the quality gate."""
+                 log_key: str = "log_data", song_key: str = "song_data", rejects: str | None = None,
+                 checks: tuple[list[str], list[object]] = (list(GATE), [0] * len(GATE))) -> dict[str, Table]:
+    """Stage both sources from files, load the star aside, and publish it if it passes the quality gate."""
     rules = rules_of(variant)
     logs = stage_table(spark, rules.staged_logs, database, root, log_key, run_date,
-                       mapping=log_mapping)
-    songs = stage_table(spark, rules.staged_songs, database, root, song_key)
-    gate = [query.format(db=database) for query in GATE]
-    return load_star(spark, logs, songs, rules, database, checks=(gate, [0] * len(gate)))
+                       mapping=log_mapping, rejects=rejects)
+    songs = stage_table(spark, rules.staged_songs, database, root, song_key, rejects=rejects)
+    return load_star(spark, logs, songs, rules, database, checks=checks)

@@ -119,19 +119,28 @@ def _slot_state(slot: str) -> Column:
     return F.max(F.when(F.col("slot") == slot, event))
 
 
-def board(events: DataFrame, stations: DataFrame) -> DataFrame:
-    """Per line and station: the train and status in each slot, and the entries so far.
+def board_state(events: DataFrame, stations: DataFrame) -> DataFrame:
+    """Per line and station: the last event of each slot, and the number of entries.
 
-    Only stations of the dimension count. Works in update and complete mode; a
-    station without events appears only in ``board_view``.
+    Only stations of the dimension count. Works in update and complete mode.
     """
     members = stations.select(F.col("line").alias("on_line"), "station_id")
     known = events.join(members, "station_id", "inner").filter(
         (F.col("kind") == ENTRY) | (F.col("line") == F.col("on_line")))
-    state = known.groupBy(F.col("on_line").alias("line"), "station_id").agg(
+    return known.groupBy(F.col("on_line").alias("line"), "station_id").agg(
         _slot_state("a").alias("a"), _slot_state("b").alias("b"),
         F.count_if(F.col("kind") == ENTRY).alias("entries"),
     )
+
+
+def merged_board(current: DataFrame, new: DataFrame) -> DataFrame:
+    """Two states of the board as one: later events win their slot, entries add up."""
+    return current.unionByName(new).groupBy("line", "station_id").agg(
+        F.max("a").alias("a"), F.max("b").alias("b"), F.sum("entries").alias("entries"))
+
+
+def board_rows(state: DataFrame) -> DataFrame:
+    """A state with the train and status in each slot, and the entries so far."""
     return state.select(
         "line", "station_id",
         F.col("a.train_id").alias("train_a"), F.col("a.status").alias("status_a"),
@@ -140,6 +149,14 @@ def board(events: DataFrame, stations: DataFrame) -> DataFrame:
     )
 
 
+def board(events: DataFrame, stations: DataFrame) -> DataFrame:
+    """Per line and station: the train and status in each slot, and the entries so far.
+
+    A station without events appears only in ``board_view``.
+    """
+    return board_rows(board_state(events, stations))
+
+
 def board_view(state: DataFrame, stations: DataFrame) -> DataFrame:
     """The board as displayed: all stations by line and order, ``---`` for an empty slot."""
     rank = F.array_position(F.array(*[F.lit(name) for name in LINES]), F.col("line"))

@@ -12,6 +12,7 @@ from .. import schemas
 from ..functions import emit_json
 from ..operators.staging import normalise
 from ..schemas import Field, Table
+from ..session import stage
 
 
 def read_json_lines(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
@@ -96,17 +97,43 @@ def read_mapping(spark: SparkSession, path: str, table: Table) -> dict[str, str]
     return dict(zip(table.names, paths))
 
 
+#: The text of a record that is no JSON.
+CORRUPT = "_corrupt_record"
+
+
+def read_json_records(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
+    """JSON lines, each with its file (``_file``) and, where it is malformed, its text (``CORRUPT``).
+
+    Parsed once and staged, as Spark parses anew for each reader of a JSON file.
+    """
+    reader = spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
+    lines = reader.option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", True).json(paths)
+    return stage(lines.withColumn("_file", F.col("_metadata.file_path")), "json-records")
+
+
 def stage_json(spark: SparkSession, paths: str | list[str], table: Table,
-               mapping: dict[str, str] | None = None) -> DataFrame:
+               mapping: dict[str, str] | None = None, rejects: str | None = None) -> DataFrame:
     """Read JSON lines into a declared table, by field name or by a path mapping.
 
     Every field is read as text in one parse and then normalised: blank text to
-    null, text cut to its width, times from epoch milliseconds, other types cast.
+    null, text cut to its width, times from epoch milliseconds, other types cast. Malformed
+    records are rows of nulls; with ``rejects``, a folder, they are no rows but are written there with their
+    text and file, replacing those of an earlier run.
     """
     mapped = with_mapping(table, mapping) if mapping else table
     raw = _raw_struct([f.source or f.name for f in mapped.fields])
-    reader = spark.read.schema(raw).option("recursiveFileLookup", True)
-    return normalise(reader.json(paths), mapped)
+    if rejects is None:
+        return normalise(spark.read.schema(raw).option("recursiveFileLookup", True).json(paths), mapped)
+    records = read_json_records(spark, paths, raw)
+    bad = F.col(CORRUPT).isNotNull()
+    records.filter(bad).select(F.col(CORRUPT).alias("record"), F.col("_file").alias("file")).write.mode(
+        "overwrite").parquet(rejects)
+    return normalise(records.filter(~bad).drop(CORRUPT, "_file"), mapped)
+
+
+def read_rejects(spark: SparkSession, rejects: str) -> DataFrame:
+    """What ``stage_json`` could not read: the text of each record and its file."""
+    return spark.read.schema("record string, file string").parquet(rejects)
 
 
 def stage_csv(spark: SparkSession, paths: str | list[str], table: Table,

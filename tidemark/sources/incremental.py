@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -62,13 +62,44 @@ class HighWaterMark:
             .coalesce(1).write.mode("append").parquet(self.path)
 
 
+#: Key ranges that one look at a source is split into.
+RANGES = 1024
+
+
+def cut_key(rows: DataFrame, key: str, max_rows: int, ranges: int = RANGES) -> int | None:
+    """The largest key up to which there are at most ``max_rows`` rows, or the first key if it alone has more.
+
+    Rows are counted in equal ranges of the key; where the running total passes the bound, that range is
+    split again, until it is a single key. Each look reads only its own range, and gives the driver
+    ``ranges`` counts, so gaps and dense stretches of the key cost a few looks and no sort. None without rows.
+    """
+    found = rows.agg(F.min(key), F.max(key), F.count(key)).first()
+    low, high, n = found
+    if low is None or n <= max_rows:
+        return high
+    taken = 0
+    while low < high:
+        width = -(-(high - low + 1) // ranges)
+        within = rows.filter(F.col(key).between(low, high))
+        place = F.call_function("div", F.col(key).cast("decimal(20,0)") - F.lit(low), F.lit(width))
+        counts = sorted(within.groupBy(place.alias("range")).count().collect())
+        for at, count in counts:
+            if taken + count > max_rows:
+                low, high = low + at * width, min(high, low + at * width + width - 1)
+                break
+            taken += count
+        else:
+            return high
+    return low if not taken else low - 1
+
+
 def poll(source: DataFrame, key: str, state: HighWaterMark, out: str,
-         span: int | None = None) -> int | None:
+         span: int | None = None, max_rows: int | None = None) -> int | None:
     """Land the rows above the mark under ``out`` and move the mark to the last of them.
 
-    ``span`` bounds one poll by a width of key range. Returns the new mark, or
-    None when there was nothing new. Landed rows are read back with
-    ``spark.read.parquet(out)``; column ``above`` tells the poll.
+    ``span`` bounds one poll by a width of key range, ``max_rows`` by a number of rows, which only
+    the rows of a single key may exceed. Returns the new mark, or None when there was nothing new. Landed rows are read
+    back with ``spark.read.parquet(out)``; column ``above`` tells the poll.
     """
     mark = state.get()
     fresh = rows_after(source, key, mark)
@@ -78,10 +109,15 @@ def poll(source: DataFrame, key: str, state: HighWaterMark, out: str,
         if first is None:
             return None
         upto = first + span - 1
+    if max_rows is not None:
+        upto = cut_key(rows_after(fresh, key, None, upto), key, max_rows)
+        if upto is None:
+            return None
     batch = rows_after(source, key, mark, upto)
     target = f"{out}/above={'start' if mark is None else mark}"
-    batch.sortWithinPartitions(key).write.mode("overwrite").parquet(target)
-    last = batch.sparkSession.read.schema(source.schema).parquet(target).agg(F.max(key)).first()[0]
+    landed = Observation()
+    batch.sortWithinPartitions(key).observe(landed, F.max(key).alias("last")).write.mode("overwrite").parquet(target)
+    last = landed.get.get("last")
     if last is not None:
         state.advance(last)
     return last

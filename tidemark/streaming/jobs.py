@@ -6,6 +6,8 @@ Each takes message streams (``sources.topics``) and returns started queries.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,7 +17,8 @@ from .. import schemas
 from ..operators.keyed import count_per_key
 from ..operators.messages import fields_of
 from ..plans import calls, risk, transit
-from ..session import stage
+from ..session import stage, staging
+from ..sinks.versions import KeyedTable
 from ..sources.topics import decode, decoded, kafka_topics, on_topic
 from . import sinks
 
@@ -106,26 +109,46 @@ def board_messages(messages: DataFrame, encoding: str = "json") -> DataFrame:
                      ("topic", "offset"))
 
 
-def transit_status(messages: DataFrame, stops: DataFrame, base: str, encoding: str = "json",
+#: The board's table: the last event of each slot with its order, and the entries.
+_SLOT = "struct<event_time:bigint,event_offset:bigint,kind:int,train_id:string,status:string>"
+BOARD_STATE = f"line string, station_id int, a {_SLOT}, b {_SLOT}, entries bigint"
+
+
+def board_table(spark: SparkSession, base: str) -> KeyedTable:
+    return KeyedTable(spark, f"{base}/board", BOARD_STATE, ["line", "station_id"])
+
+
+def transit_status(messages: DataFrame, stops: DataFrame | Callable[[], DataFrame], base: str, encoding: str = "json",
                    every: str | None = None) -> dict[str, StreamingQuery]:
     """The board, the entry counts and the weather, from one message stream.
 
-    Arrivals and entries pass through the board once, in one query. Its stations are those of
-    ``stops`` at its start; a station added later takes part after a restart.
+    Arrivals and entries pass through the board once, in one query, and are merged into a keyed table. ``stops`` as a function
+    is called in each micro-batch, so a station takes part in the board from the first micro-batch that finds it
+    there; what came before passed it by. As a frame, the stations are those of the start.
     """
-    stations = stage(transit.line_stations(stops), "stations")
+    spark = messages.sparkSession
+    fixed = None if callable(stops) else stage(transit.line_stations(stops), "stations")
     entries = decoded(on_topic(messages, TURNSTILE_TOPIC), schemas.TURNSTILE,
                       schemas.MESSAGE_KEY, encoding, ("offset",))
     weather = decoded(on_topic(messages, WEATHER_TOPIC), schemas.WEATHER,
                       schemas.MESSAGE_KEY, encoding, ("offset",), **WEATHER_AVRO)
-    events = transit.board_events(board_messages(messages, encoding), F.col("topic") == TURNSTILE_TOPIC)
+    table = board_table(spark, base)
+
+    def take(batch: DataFrame, number: int) -> None:
+        stations = transit.line_stations(stops()) if callable(stops) else fixed
+        events = transit.board_events(batch, F.col("topic") == TURNSTILE_TOPIC)
+        with staging(spark):
+            new = stage(transit.board_state(events, stations), "board")
+            table.apply(new, transit.merged_board, number)
+            table.vacuum()
+
     parts = {
-        "board": transit.board(events, stations),
         "entries": count_per_key(entries, "station_id"),
         "weather": transit.current_weather(weather, ["timestamp", "offset"]),
     }
-    modes = {"board": "update", "entries": "update", "weather": "complete"}
-    return {
+    modes = {"entries": "update", "weather": "complete"}
+    board = sinks.to_each(board_messages(messages, encoding), take, f"{base}/checkpoint/board", every, "board")
+    return {"board": board} | {
         name: sinks.to_batches(df, f"{base}/{name}", f"{base}/checkpoint/{name}", modes[name],
                                every, name)
         for name, df in parts.items()
@@ -134,7 +157,7 @@ def transit_status(messages: DataFrame, stops: DataFrame, base: str, encoding: s
 
 def read_board(spark: SparkSession, base: str, stops: DataFrame) -> DataFrame:
     """The board as displayed, from what ``transit_status`` has written so far."""
-    state = sinks.read_updates(spark, f"{base}/board", ["line", "station_id"])
+    state = transit.board_rows(board_table(spark, base).read())
     return transit.board_view(state, transit.line_stations(stops))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,12 @@ def to_batches(df: DataFrame, path: str, checkpoint: str, mode: str,
     return triggered(_writer(df, mode, checkpoint, name).foreachBatch(write), every).start()
 
 
+def to_each(df: DataFrame, take: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None,
+            name: str | None = None) -> StreamingQuery:
+    """Give each micro-batch of new rows, with its number, to a function that is safe to repeat by that number."""
+    return triggered(_writer(df, "append", checkpoint, name).foreachBatch(take), every).start()
+
+
 def to_merged(df: DataFrame, path: str, checkpoint: str, key: list[str], order: list[str], buckets: int,
               mode: str = "append", every: str | None = None, name: str | None = None) -> StreamingQuery:
     """Merge each micro-batch by key into a table of ``write_mergeable``.

@@ -9,6 +9,7 @@ from ..plans import query_tables, star
 from ..schemas import STAGED_LOGS, Field, Table
 from ..session import fresh_path
 from ..sinks import tables as sink
+from ..sinks.versions import KeyedTable
 from ..sources import files, incremental
 from . import inputs
 from .registry import register, table
@@ -54,6 +55,25 @@ def json_staged(spark, sf_dir):
                                 "song", "ts", "userId"))
 
 
+@register("src_json_rejects", f"""
+WITH {inputs.LOGS_SQL}, planted AS (
+  SELECT *, '{{"artist": "cut off ' || "sessionId" || ' ' || "itemInSession" AS record FROM logs)
+SELECT record, true AS rejected, true AS has_file FROM planted WHERE "itemInSession" = 3
+UNION ALL SELECT "sessionId" || ' ' || "itemInSession", false, false FROM planted WHERE "itemInSession" <> 3""")
+def json_rejects(spark, sf_dir):
+    """Records of which some break off: these are kept with their file, the others staged."""
+    path, rejects = fresh_path(spark, "rejects-json"), fresh_path(spark, "rejects")
+    place = F.concat_ws(" ", "sessionId", "itemInSession")
+    bad = F.concat(F.lit('{"artist": "cut off '), place)
+    logs = inputs.logs(spark, sf_dir)
+    logs.select(F.when(F.col("itemInSession") == 3, bad).otherwise(F.to_json(F.struct(*logs.columns))).alias(
+        "value")).write.text(path)
+    rows = files.stage_json(spark, path, STAGED_LOGS, rejects=rejects)
+    lost = files.read_rejects(spark, rejects).select(
+        "record", F.lit(True).alias("rejected"), F.col("file").contains("rejects-json").alias("has_file"))
+    return lost.union(rows.select(place, F.lit(False), F.lit(False)))
+
+
 @register("src_csv_staged", """
 SELECT o_orderkey, o_custkey, o_totalprice, left(o_orderpriority, 8) AS o_orderpriority
 FROM orders""")
@@ -152,6 +172,26 @@ def incremental_polls(spark, sf_dir):
     return spark.read.schema(source.schema).option("recursiveFileLookup", True).parquet(out)
 
 
+#: A key that is dense and repeated for half of the orders, and has wide gaps for the others.
+_SKEWED = "CASE WHEN o_custkey % 2 = 0 THEN o_orderkey // 40 ELSE o_orderkey * 1000003 END"
+
+
+@register("src_incremental_rows", f"SELECT {_SKEWED} AS key, o_orderkey, true AS bounded FROM orders")
+def incremental_rows(spark, sf_dir):
+    """All orders in polls of an eighth of the rows, by a key whose gaps say nothing about the rows between them."""
+    source = table(spark, sf_dir, "orders").select(
+        F.expr(_SKEWED.replace("//", "div")).cast("bigint").alias("key"), "o_orderkey")
+    most = source.count() // 8 + 1
+    state = incremental.HighWaterMark(spark, fresh_path(spark, "row-marks"), "orders")
+    out = fresh_path(spark, "row-polls")
+    while incremental.poll(source, "key", state, out, max_rows=most) is not None:
+        pass
+    landed = spark.read.schema("key bigint, o_orderkey bigint, above string").parquet(out)
+    polls = landed.groupBy("above").agg(
+        ((F.count(F.lit(1)) <= most) | (F.min("key") == F.max("key"))).alias("bounded"))
+    return landed.join(polls, "above").select("key", "o_orderkey", "bounded")
+
+
 @register("incremental", """
 SELECT * FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) // 2 FROM orders)""")
 def rows_after(spark, sf_dir):
@@ -265,6 +305,22 @@ def keyed_merge(spark, sf_dir):
     return sink.read_mergeable(spark, path)
 
 
+@register("snk_keyed_versions", """
+SELECT user_id, max(event_id) AS event_id,
+  arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id""")
+def keyed_versions(spark, sf_dir):
+    """The same merge in three deliveries into a table of versions, small buckets of which split on the way."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    users = events.select(F.count_distinct("user_id")).first()[0]
+    keyed = KeyedTable(spark, fresh_path(spark, "versions"), events.schema, ["user_id"], ["event_id"],
+                       bucket_rows=max(1, users // 6))
+    for part in range(3):
+        keyed.merge(events.filter(F.col("event_id") % 3 == part), batch=part)
+    if len(keyed.version().buckets) < 4:
+        raise AssertionError("no bucket split twice")
+    return keyed.read()
+
+
 @register("snk_sorted", "SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem")
 def sorted_layout(spark, sf_dir):
     path = fresh_path(spark, "lineitem-sorted")

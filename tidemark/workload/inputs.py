@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import emit_json
+from ..session import fresh_path, size_of
 from ..sources.topics import table_stream
 from .registry import table
 
@@ -100,15 +101,20 @@ SONGS_SQL = """songs AS (
 
 # ---- streams over the tables -------------------------------------------------------
 
-#: Bytes of a table that one micro-batch takes.
-PER_TRIGGER = 512 * 1024**3
+#: Bytes of a table that one micro-batch takes at most, and micro-batches that a table takes at least.
+PER_TRIGGER, DELIVERIES = 512 * 1024**3, 3
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a stream of its files."""
-    schema = table(spark, sf_dir, name).schema
+    """A given table as a stream of its files in several micro-batches; one of too few files is first written as more."""
+    rows = table(spark, sf_dir, name)
     # A glob, since a stream source takes a folder or a glob but no single file.
-    return table_stream(spark, f"{sf_dir}/[{name[0]}]{name[1:]}.parquet", schema, PER_TRIGGER)
+    path = f"{sf_dir}/[{name[0]}]{name[1:]}.parquet"
+    if len(rows.inputFiles()) < DELIVERIES:
+        path = fresh_path(spark, f"deliveries-{name}")
+        rows.repartition(DELIVERIES).write.parquet(path)
+    each = max(1, -(-size_of(spark, path) // DELIVERIES))
+    return table_stream(spark, path, rows.schema, min(PER_TRIGGER, each))
 
 
 # ---- calls (events) and their codes (nation) ---------------------------------------
@@ -249,6 +255,18 @@ def board_messages(events: DataFrame) -> DataFrame:
     )
 
 
+def transit_messages(events: DataFrame) -> DataFrame:
+    """The same arrivals and entries as JSON messages of their topics."""
+    rows = board_messages(events)
+    arrival = [c for c in rows.columns if c not in ("entry", "timestamp", "offset")]
+    return rows.select(
+        emit_json("timestamp").cast("binary").alias("key"),
+        F.when(F.col("entry"), emit_json("station_id")).otherwise(emit_json(*arrival)).cast("binary").alias("value"),
+        F.when(F.col("entry"), "turnstiles").otherwise("station.arrivals.all").alias("topic"),
+        F.lit(0).alias("partition"), F.col("offset").cast("bigint").alias("offset"),
+        F.lit("2024-01-01").cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"))
+
+
 def turnstile_entries(events: DataFrame) -> DataFrame:
     """Error events as turnstile entries of the user's station."""
     return events.filter(F.col("event_type") == "error").select(

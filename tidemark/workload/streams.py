@@ -12,6 +12,7 @@ from ..session import fresh_path
 from ..sinks import tables
 from ..sources import topics
 from ..streaming import jobs, sinks
+from ..streaming.upserts import LatestCounts, to_latest_counts
 from . import inputs
 from .batch import (CALLS_STATISTICS_SQL, CUSTOMERS_DECODED_SQL, DIM_LATEST_SQL, RISK_SQL,
                     SLIDING_SQL, SLOT_BOARD_SQL, STATION_TABLE_SQL, board_events, board_stations,
@@ -233,3 +234,49 @@ def progress(spark, sf_dir):
     finally:
         spark.conf.set(retained, kept)
         spark.streams.removeListener(log)
+
+
+@register("stream_count_latest", """
+SELECT event_type, count(*) AS count FROM (
+  SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id)
+GROUP BY event_type""")
+def count_latest(spark, sf_dir):
+    """The upsert table's counts, kept up by a stream over three deliveries with a restart after each.
+
+    Users change their event type between deliveries, and some of the later messages are older than the known.
+    """
+    events = table(spark, sf_dir, "events")
+    base, source = fresh_path(spark, "upsert-counts"), fresh_path(spark, "upsert-source")
+    for part in range(3):
+        events.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(source)
+        counts = LatestCounts(spark, base, events.schema, "event_type", ["user_id"], ["ts", "event_id"])
+        messages = topics.table_stream(spark, source, events.schema)
+        to_latest_counts(messages, counts, f"{base}/checkpoint").awaitTermination()
+    return counts.read()
+
+
+#: Every fourth station appears only after the first half of the messages.
+_LATE = "(m.station_id % 4 <> 0 OR {} % 2 = 1)"
+_LATE_BOARD_SQL = inputs.BOARD_SQL.replace(
+    "AND m.station_id = v.station_id", "AND m.station_id = v.station_id AND " + _LATE.format("o")).replace(
+    "WHERE e.event_type = 'error'", "WHERE e.event_type = 'error' AND " + _LATE.format("event_id"))
+
+
+@register("stream_transit_status", f"""
+WITH {inputs.STOPS_SQL}, {_LATE_BOARD_SQL}
+SELECT line, station_id, a.train AS train_a, a.status AS status_a, b.train AS train_b,
+  b.status AS status_b, entries FROM board""")
+def transit_status(spark, sf_dir):
+    """The transit job over two deliveries, between which stations are added; they take part from then on."""
+    base, source, stations = (fresh_path(spark, f"transit-{x}") for x in ("job", "messages", "stops"))
+    events, stops = table(spark, sf_dir, "events"), inputs.stops(table(spark, sf_dir, "part"))
+    late = F.col("station_id") % 4 == 0
+    for part in range(2):
+        stops.filter(late if part else ~late).write.mode("append").parquet(stations)
+        messages = inputs.transit_messages(events.filter(F.col("event_id") % 2 == part))
+        messages.write.mode("append").parquet(source)
+        queries = jobs.transit_status(topics.file_topics(spark, source),
+                                      lambda: spark.read.schema(stops.schema).parquet(stations), base)
+        for query in queries.values():
+            query.awaitTermination()
+    return transit.board_rows(jobs.board_table(spark, base).read())
