@@ -202,3 +202,74 @@ def test_rejected_records_keep_text_and_file(spark, tmp_path, rows):
     assert files.stage_json(spark, str(tmp_path / "in"), spec).count() == 5
     star.stage_table(spark, spec, "rejecting", str(tmp_path), "in", rejects=str(tmp_path / "lost"))
     assert files.read_rejects(spark, str(tmp_path / "lost/r")).count() == 2
+
+
+def test_late_years_leave_the_state(spark, tmp_path):
+    """A row too late for its join partner's watermark is lost, though its partner was there."""
+    from tidemark.plans import risk
+    from tidemark.streaming import sinks
+    from tidemark.sources.topics import table_stream
+    people = "email string, birthYear string, timestamp timestamp"
+    scores = "customer string, score float, timestamp timestamp"
+    base = str(tmp_path)
+    for part, rows_of in enumerate([
+            ([("a", "1990", "2024-01-01"), ("b", "1991", "2024-06-01")], [("a", 1.0, "2024-01-02"), ("b", 2.0, "2024-06-02")]),
+            ([("c", "1992", "2024-01-01")], [("a", 3.0, "2024-01-02"), ("b", 4.0, "2024-06-01"), ("c", 5.0, "2024-06-03")])]):
+        for name, rows, schema in (("p", rows_of[0], people), ("s", rows_of[1], scores)):
+            frame = spark.createDataFrame(rows, schema.replace(" timestamp,", " string,").replace("timestamp timestamp", "timestamp string"))
+            frame.withColumn("timestamp", F.col("timestamp").cast("timestamp")).write.mode("append").parquet(f"{base}/{name}")
+        joined = risk.customer_risk_bounded(table_stream(spark, f"{base}/p", people), table_stream(spark, f"{base}/s", scores),
+                                            "10 DAYS", lateness="1 day")
+        sinks.to_files(joined, f"{base}/out", f"{base}/check").awaitTermination()
+    assert sorted(r["score"] for r in spark.read.parquet(f"{base}/out").collect()) == [1.0, 2.0, 4.0]
+    report = {r["name"]: (r["operator"], r["rows"]) for r in sinks.state_report(spark, f"{base}/check").collect()}
+    assert list(report) == ["symmetricHashJoin"] and report["symmetricHashJoin"][1] < 7
+
+
+def test_bloom_filters_skip_row_groups(spark, tmp_path):
+    from tidemark.sinks.tables import with_blooms
+    import pyarrow.parquet as pq
+    # Values too many for a dictionary, spread over all row groups' ranges.
+    rows = spark.range(0, 400_000, 1, 4).select("id", F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("other"))
+    wanted = rows.filter("id = 7").first()["other"]
+    read = {}
+    for name, blooms in (("plain", {}), ("bloom", {"other": 50_000})):
+        with_blooms(rows.write.option("parquet.block.size", 200_000).option(
+            "parquet.enable.dictionary", "false").option("parquet.block.size.row.check.min", 1000), blooms).parquet(str(tmp_path / name))
+        frame = spark.read.schema(rows.schema).parquet(str(tmp_path / name)).filter(F.col("other") == wanted)
+        assert [r["id"] for r in frame.collect()] == [7]
+        metrics = frame._jdf.queryExecution().executedPlan().collectLeaves().head().metrics()
+        read[name] = metrics.apply("numOutputRows").value()
+        assert pq.ParquetFile(next((tmp_path / name).glob("part-00000*"))).num_row_groups > 2
+    assert read["bloom"] < read["plain"] / 3
+
+
+def test_violations_are_counted_while_loading(spark):
+    from tidemark.operators.quality import check_table
+    from tidemark.sinks import tables as sink
+    for sort in ((), ("n",)):
+        spec = schemas.Table(f"loaded{len(sort)}", (schemas.Field("n", "int", required=True),
+                                                     schemas.Field("t", "string", allowed=("a", "b"))), sort=sort)
+        sink.create_tables(spark, [spec], "violating")
+        rows = spark.range(4000).select(F.when(F.col("id") % 5 > 0, F.col("id")).alias("n"),
+                                        F.when(F.col("id") % 3 > 0, "a").otherwise("c").alias("t"))
+        found = {}
+        loaded = sink.load_table(rows, spec, "violating", violations=found)
+        assert found == {r["rule"]: r["violations"] for r in check_table(loaded, spec).collect()}
+        assert found == {"not_null:n": 800, "domain:t": 1334}
+
+
+def test_scripts_keep_semicolons_in_quotes():
+    from tidemark.sinks.tables import statements
+    assert statements("SELECT ';' AS a; -- not; here\nSELECT \"x;\" /* nor; here */ - 1;;\n `c;d`/2") == [
+        "SELECT ';' AS a", "SELECT \"x;\"  - 1", "`c;d`/2"]
+
+
+def test_colocated_join_has_no_exchange(spark, raw, plan, rows):
+    rules = star.VARIANTS["lake"]
+    spark.sql("CREATE DATABASE IF NOT EXISTS alike")
+    plain = [star.staged(raw[0], rules.staged_logs), star.staged(raw[1], rules.staged_songs)]
+    sides = star.colocated(*plain, rules, "alike", 4)
+    fact = star.songplays(*sides, rules)
+    assert "SortMergeJoin" in plan(fact) and "Exchange" not in plan(fact)
+    assert rows(fact.drop("songplay_id")) == rows(star.songplays(*plain, rules).drop("songplay_id")) != []

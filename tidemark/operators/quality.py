@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import Table
@@ -66,16 +66,20 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -
     return values.join(known, "value", "left_anti")
 
 
+def rules_of(table: Table) -> dict[str, Column]:
+    """Declared NOT NULL and domain rules of a table, each as what breaks it."""
+    rules = {f"not_null:{f.name}": F.col(f"`{f.name}`").isNull() for f in table.fields if f.required}
+    return rules | {f"domain:{f.name}": ~F.col(f"`{f.name}`").isin(*f.allowed)
+                    for f in table.fields if f.allowed}
+
+
 def check_table(df: DataFrame, table: Table) -> DataFrame:
-    """Declared NOT NULL and domain rules of a table: rule, column and violations."""
-    rules = [(f"not_null:{f.name}", F.col(f"`{f.name}`").isNull())
-             for f in table.fields if f.required]
-    rules += [(f"domain:{f.name}", ~F.col(f"`{f.name}`").isin(*f.allowed))
-              for f in table.fields if f.allowed]
+    """Declared NOT NULL and domain rules of a table: rule and violations."""
+    rules = rules_of(table)
     if not rules:
         return df.sparkSession.createDataFrame([], "rule string, violations bigint")
-    counts = df.agg(*[F.count_if(broken).alias(name) for name, broken in rules])
-    return _tall(counts, [name for name, _ in rules], "rule", "violations")
+    counts = df.agg(*[F.count_if(broken).alias(name) for name, broken in rules.items()])
+    return _tall(counts, list(rules), "rule", "violations")
 
 
 def check_star(tables: dict[str, DataFrame], specs: dict[str, Table]) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keyed import last_per_key
+from ..operators.quality import rules_of
 from ..schemas import Table
 from ..session import stage, staging
 
@@ -58,9 +60,21 @@ def clustered(df: DataFrame, sort: list[str]) -> DataFrame:
     return ranged.sortWithinPartitions(*sort).drop("_row", "_task")
 
 
-def write_sorted(df: DataFrame, path: str, sort: list[str], mode: str = "overwrite") -> None:
-    """Write Parquet clustered by a sort key."""
-    clustered(df, sort).write.mode(mode).parquet(path)
+def write_sorted(df: DataFrame, path: str, sort: list[str], mode: str = "overwrite",
+                 blooms: dict[str, int] | None = None) -> None:
+    """Write Parquet clustered by a sort key.
+
+    ``blooms`` names columns of other lookups, with how many different values a file of them may hold: each row group
+    then says by a Bloom filter which values it has not got, and a lookup by equality skips it.
+    """
+    with_blooms(clustered(df, sort).write.mode(mode), blooms).parquet(path)
+
+
+def with_blooms(writer: DataFrameWriter, blooms: dict[str, int] | None) -> DataFrameWriter:
+    for column, values in (blooms or {}).items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(
+            f"parquet.bloom.filter.expected.ndv#{column}", values)
+    return writer
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: list[str],
@@ -102,24 +116,42 @@ def drop_tables(spark: SparkSession, tables: Iterable[Table], database: str) ->
         spark.sql(f"DROP TABLE IF EXISTS {_qualified(table, database)}")
 
 
+#: What a script consists of: texts and names in quotes, comments, the ends of statements, and the rest.
+_PIECES = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/|;|[^'"`;/-]+|.""", re.DOTALL)
+
+
+def statements(script: str) -> list[str]:
+    """The statements of a ``;``-separated script without blank ones; in quotes and comments ``;`` ends none."""
+    found = [""]
+    for piece in _PIECES.findall(script):
+        if piece == ";":
+            found.append("")
+        elif not piece.startswith(("--", "/*")):
+            found[-1] += piece
+    return [s.strip() for s in found if s.strip()]
+
+
 def run_script(spark: SparkSession, script: str) -> int:
-    """Run the statements of a ``;``-separated script, skipping blank ones."""
-    statements = [s.strip() for s in script.split(";") if s.strip()]
-    for statement in statements:
+    """Run the statements of a script; returns their number."""
+    found = statements(script)
+    for statement in found:
         spark.sql(statement)
-    return len(statements)
+    return len(found)
 
 
 def read_table(spark: SparkSession, table: Table, database: str) -> DataFrame:
     return spark.table(_qualified(table, database))
 
 
-def load_table(df: DataFrame, table: Table, database: str, truncate: bool = False) -> DataFrame:
+def load_table(df: DataFrame, table: Table, database: str, truncate: bool = False,
+               violations: dict[str, int] | None = None) -> DataFrame:
     """Insert into a declared table, by column name, after emptying it if asked.
 
     Missing or surplus columns are an error. Rows are clustered by the table's sort key, and where
     that is absent gathered by its distribution key, so that a file holds few of its values.
     A distribution key with a hot value is split over several files. Returns the loaded table.
+    ``violations`` is filled with the numbers of rows that break the table's not-null and domain rules,
+    counted as they are written.
     """
     missing, surplus = set(table.names) - set(df.columns), set(df.columns) - set(table.names)
     if missing or surplus:
@@ -130,7 +162,14 @@ def load_table(df: DataFrame, table: Table, database: str, truncate: bool = Fals
         rows = clustered(rows, list(table.sort))
     elif table.distribution:
         rows = rows.hint("rebalance", *table.distribution)
+    rules = rules_of(table) if violations is not None else {}
+    if rules:
+        # Above the clustering, whose look at a sample of the rows would count these twice.
+        seen = Observation()
+        rows = rows.observe(seen, *[F.count_if(broken).alias(rule) for rule, broken in rules.items()])
     rows.write.insertInto(name, overwrite=truncate)
+    if rules:
+        violations.update(seen.get)
     return read_table(df.sparkSession, table, database)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import threading
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -200,6 +201,32 @@ def drain(df: DataFrame, mode: str, label: str, keys: list[str] | None = None) -
     return read_complete(spark, out) if mode == "complete" else read_updates(spark, out, keys)
 
 
+def state_rows(spark: SparkSession, checkpoint: str, operator: int = 0, **options) -> DataFrame:
+    """What a stream keeps in the state of one of its operators after its last micro-batch: key, value, partition.
+
+    Read from the checkpoint, so neither the stream nor a count kept by it is needed. ``options`` are those of Spark's
+    reader, such as ``batchId`` or ``joinSide``.
+    """
+    return spark.read.format("statestore").options(operatorId=operator, **options).load(checkpoint).select(
+        "key", "value", F.col("partition_id").alias("partition"))
+
+
+def state_report(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Per operator with state: its number, its name, partitions and rows. Joins keep four stores; one is counted of each side."""
+    kept = spark.read.format("state-metadata").load(checkpoint).select(
+        "operatorId", "operatorName").distinct().collect()       # as many as the query has operators
+    parts = []
+    for number, name in kept:
+        sides = [{"joinSide": s} for s in ("left", "right")] if "Join" in name else [{}]
+        rows = [state_rows(spark, checkpoint, number, **side).select("partition") for side in sides]
+        both = rows[0].union(rows[1]) if len(rows) == 2 else rows[0]
+        parts.append(both.agg(F.lit(number).alias("operator"), F.lit(name).alias("name"),
+                              F.count_distinct("partition").alias("partitions"), F.count(F.lit(1)).alias("rows")))
+    if not parts:
+        return spark.createDataFrame([], "operator bigint, name string, partitions bigint, rows bigint")
+    return reduce(DataFrame.union, parts)
+
+
 PROGRESS = (
     "batch_id bigint, started string, input_rows bigint, input_rate double, "
     "processed_rate double, state_rows bigint, state_bytes bigint, rows_dropped_late bigint, "

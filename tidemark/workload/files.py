@@ -337,3 +337,32 @@ def bucketed(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     sink.write_bucketed(orders, f"{database}.orders", 8, ["o_orderkey"])
     return spark.table(f"{database}.orders")
+
+
+@register("lookup_bloom", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_custkey = (SELECT max(o_custkey) FROM orders)""")
+def lookup_bloom(spark, sf_dir):
+    """Orders of a customer, from a table sorted by order key with Bloom filters on the customer."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    customer = orders.agg(F.max("o_custkey")).first()[0]
+    path = fresh_path(spark, "orders-bloom")
+    sink.write_sorted(orders, path, ["o_orderkey"], blooms={"o_custkey": 100_000})
+    return spark.read.schema(orders.schema).parquet(path).filter(F.col("o_custkey") == customer)
+
+
+@register("dq_while_loading", """
+SELECT 'not_null:event_id' AS rule, count(*) FILTER (WHERE event_id % 97 = 3) AS violations
+FROM events UNION ALL
+SELECT 'domain:event_type', count(*) FILTER (WHERE event_type IN ('signup', 'view')) FROM events""")
+def dq_while_loading(spark, sf_dir):
+    """Violations of a table's rules, counted while its rows are loaded and sorted."""
+    spec = Table("checked_events", (
+        Field("event_id", "bigint", required=True),
+        Field("event_type", "string", allowed=("click", "error", "purchase"))), sort=("event_id",))
+    events = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 97 != 3, F.col("event_id")).alias("event_id"), "event_type")
+    database, violations = _own_database(spark, "checked"), {}
+    sink.create_tables(spark, [spec], database)
+    sink.load_table(events, spec, database, violations=violations)
+    return spark.createDataFrame(list(violations.items()), "rule string, violations bigint")

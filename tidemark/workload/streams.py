@@ -280,3 +280,57 @@ def transit_status(spark, sf_dir):
         for query in queries.values():
             query.awaitTermination()
     return transit.board_rows(jobs.board_table(spark, base).read())
+
+
+@register("stream_state", """
+SELECT user_id AS station_id, count(*) AS count FROM events WHERE event_type = 'error'
+GROUP BY user_id""")
+def state(spark, sf_dir):
+    """The same counts as ``stream_count_by_key``, read from the state of the stream that has ended."""
+    entries = inputs.turnstile_entries(stream(spark, sf_dir, "events"))
+    out = fresh_path(spark, "state")
+    sinks.to_batches(count_per_key(entries, "station_id"), out, f"{out}-checkpoint", "update").awaitTermination()
+    kept = sinks.state_rows(spark, f"{out}-checkpoint")
+    return kept.select(F.col("key.station_id").cast("bigint").alias("station_id"), F.col("value.count").alias("count"))
+
+
+#: Customers' records and scores by time, delivered before or after the turn of a year; every tenth comes late.
+_FORGETFUL_SQL = f"""
+WITH {inputs.CUSTOMERS_SQL},
+people AS (
+  SELECT email, "birthYear", TIMESTAMP '1995-01-01' + to_days(CAST(c_custkey % 600 AS INTEGER)) AS t, c_custkey AS k
+  FROM customers),
+scores AS (
+  SELECT 'customer' || o_custkey || '@test.com' AS customer, CAST(o_totalprice AS FLOAT) AS score,
+    CAST(o_orderdate AS TIMESTAMP) AS t, o_orderkey AS k FROM orders),
+upto AS (
+  SELECT least((SELECT max(t) FROM people WHERE t < TIMESTAMP '1996-01-01' AND k % 10 <> 7),
+    (SELECT max(t) FROM scores WHERE t < TIMESTAMP '1996-01-01' AND k % 10 <> 7)) - INTERVAL 30 DAYS AS w)
+SELECT customer, score, email, "birthYear" FROM scores s JOIN people p ON customer = email, upto
+WHERE abs(epoch(s.t) - epoch(p.t)) <= 200 * 86400
+  AND (s.t > w OR (s.t < TIMESTAMP '1996-01-01' AND s.k % 10 <> 7))
+  AND (p.t > w OR (p.t < TIMESTAMP '1996-01-01' AND p.k % 10 <> 7))"""
+
+
+@register("stream_risk_forgets", _FORGETFUL_SQL)
+def risk_forgets(spark, sf_dir):
+    """Scores near their customer's record in time, over two deliveries and a restart. What comes after the watermark of
+    the first delivery has passed it is lost, and the state forgets what can't match any more."""
+    base = fresh_path(spark, "risk-forgets")
+    customers = table(spark, sf_dir, "customer").withColumn(
+        "timestamp", F.expr("timestamp'1995-01-01' + make_dt_interval(cast(c_custkey % 600 as int))"))
+    orders = table(spark, sf_dir, "orders").withColumn("timestamp", F.col("o_orderdate").cast("timestamp"))
+    sources = {"people": (customers, "c_custkey", inputs.customer_messages),
+               "scores": (orders, "o_orderkey", inputs.risk_messages)}
+    for part in range(2):
+        streams = {}
+        for name, (rows, key, messages) in sources.items():
+            early = (F.col("timestamp") < "1996-01-01") & (F.col(key) % 10 != 7)
+            sent = messages(rows.filter(~early if part else early), ("timestamp",))
+            sent.write.mode("append").parquet(f"{base}/{name}")
+            streams[name] = topics.table_stream(spark, f"{base}/{name}", sent.schema)
+        joined = risk.customer_risk_bounded(
+            risk.customers_from(streams["people"], ("timestamp",)), risk.risks_from(streams["scores"], ("timestamp",)),
+            "200 DAYS", lateness="30 days")
+        sinks.to_files(joined, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.schema(joined.schema).parquet(f"{base}/out")
