@@ -112,7 +112,9 @@ def test_mix_of_documents(docs, corpus, nothing):
     again = mixing.taken_words(mixing.mix(docs, **options)).collect()
     assert Counter(map(tuple, again)) == Counter(map(tuple, rows))
     spans = mixed.spans.collect()
-    assert len({(s.shard, s.slot) for s in spans}) <= -(-2 * sum(totals) // 16)
+    least = [max(1, min(16, int(wanted[t]) // mixing.LEAST_BLOCKS)) for t in totals]
+    assert len({(s.shard, s.slot) for s in spans}) <= sum(-(-2 * t // n) for t, n in zip(totals, least))
+    assert all(abs(taken[t] - wanted[t]) <= max(1, 0.01 * wanted[t]) for t in totals)
     assert mixing.taken_words(mixing.mix(nothing)).count() == 0
 
 
@@ -130,3 +132,24 @@ def test_mixed_documents_hold_the_taken_words(docs, nothing):
             part = stretch.split()
             assert any(part == t[i:i + len(part)] for t in known[r.doc_id] for i in range(len(t))), r.doc_id
     assert mixing.mixed_documents(nothing).count() == 0
+
+
+def test_many_small_sources_meet_their_targets(spark):
+    rows = [(i, " ".join(["w"] * (20 + i % 3)), f"s{i % 60:02d}") for i in range(300)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), seed=1)
+    totals = defaultdict(int)
+    for _, text, source in rows:
+        totals[source] += sizes(text)
+    names = sorted(totals)
+    wanted = dict(zip(names, mixing.targets([totals[n] for n in names])))
+    by_id, taken = {r[0]: r for r in rows}, Counter()
+    found = mixing.taken_words(mixed).collect()
+    for r in found:
+        taken[by_id[r.doc_id][2]] += r.taken
+    assert all(abs(taken[n] - wanted[n]) <= 1 for n in names)
+    # What each document gives, from the spans by brute force; no word more than twice.
+    words = defaultdict(Counter)
+    for s in mixed.spans.join(mixed.documents.select("key", "doc_id"), "key").collect():
+        words[s.doc_id].update(range(s["first"], s["first"] + s.words))
+    assert {r.doc_id: r.taken for r in found} == {i: sum(words[i].values()) for i in by_id}
+    assert all(n <= 2 and w < sizes(by_id[i][1]) for i, c in words.items() for w, n in c.items())

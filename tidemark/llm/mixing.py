@@ -1,7 +1,7 @@
 """Mixing sources to target weights, by blocks of tokens.
 
 The words of each source, in a fixed pseudorandom order of its documents, are cut into blocks of
-equal length. For every output shard the number of blocks from each source is drawn; a slot's running
+equal length, shorter ones where a source is to give few words. For every output shard the number of blocks from each source is drawn; a slot's running
 number within its source goes through the source's pseudorandom permutation of block numbers, and
 the block of that number fills the slot. When the running number passes the last block, a new
 permutation begins, so each block is taken equally often, give or take one.
@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from .common import running_total, staged
 
-#: Words of a block, blocks of an output shard.
+#: Words of a block at most, blocks of an output shard.
 BLOCK, SHARD_BLOCKS = 128, 4096
+#: Blocks that a source's target comes to at least, unless a block is a word: half a block is all that rounding costs.
+LEAST_BLOCKS = 200
 #: Weights of the sources in order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Slots from which numpy's hypergeometric sampler refuses; slots that are drawn one by one.
@@ -177,14 +179,15 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
     found.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
     sizes = [r["size"] for r in found]
     wanted = targets(sizes, weights, share, most)
-    blocks = [-(-s // block) for s in sizes]
+    words = [max(1, min(block, int(w) // LEAST_BLOCKS)) for w in wanted]
+    blocks = [-(-s // n) for s, n in zip(sizes, words)]
     taken = [min(int(most * n), round(w * n / s)) if s else 0 for w, n, s in zip(wanted, blocks, sizes)]
     shards = max(1, -(-sum(taken) // shard_blocks))
 
     spark = docs.sparkSession
     sources = spark.createDataFrame(
-        [(i, r["source"], r["size"], w) for i, (r, w) in enumerate(zip(found, wanted))],
-        "source_no long, name string, source_size long, target double")
+        [(i, r["source"], r["size"], w, n) for i, (r, w, n) in enumerate(zip(found, wanted, words))],
+        "source_no long, name string, source_size long, target double, block_words long")
     known = sized.join(sources, sized["source"].eqNullSafe(sources["name"])).drop("name")
     placed = running_total(known, ["source_no"], ["tie"], F.col("size"), "begin")
     documents = staged(placed.drop("tie"), "mix-places")
@@ -192,11 +195,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
     slots = spark.range(0, shards, 1, min(shards, 10_000)).select(F.col("id").alias("shard")).mapInArrow(
         _slots(taken, blocks, shards, shard_blocks, seed),
         "shard long, slot long, source_no long, epoch long, block long")
-    first, last = F.expr(f"begin div {block}"), F.expr(f"(begin + size - 1) div {block}")
+    first, last = F.expr("begin div block_words"), F.expr("(begin + size - 1) div block_words")
     pieces = documents.filter("size > 0").select(
-        "source_no", "key", "begin", "size", F.explode(F.sequence(first, last)).alias("block"))
-    low = F.greatest("begin", F.col("block") * block)
-    high = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * block)
+        "source_no", "key", "begin", "size", "block_words", F.explode(F.sequence(first, last)).alias("block"))
+    low = F.greatest("begin", F.col("block") * F.col("block_words"))
+    high = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * F.col("block_words"))
     # Spark takes the slots for as small as the range they are made from; both sides are large.
     spans = slots.hint("merge").join(pieces, ["source_no", "block"]).select(
         "shard", "slot", "key", "epoch", (low - F.col("begin")).alias("first"), (high - low).alias("words"))
