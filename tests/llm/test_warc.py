@@ -4,6 +4,8 @@ import base64
 import gzip
 import hashlib
 import io
+import random
+import time
 from collections import Counter
 
 import pytest
@@ -95,3 +97,16 @@ def test_empty_table(spark, pages, tmp_path):
     path = str(tmp_path / "none")
     warc.write_archives(warc.planned_records(pages.filter("false")), path)
     assert warc.read_archives(spark, path).count() == 0
+
+
+def test_a_large_payload_is_read_in_linear_time():
+    taken = []
+    for size in (4 << 20, 64 << 20):
+        body = random.Random(size).randbytes(1 << 20) * (size >> 20)
+        packed = warc.member(warc.record(1, "u", body, None, False, "2024-01-01T00:00:00Z"))
+        start = time.perf_counter()
+        (row,) = warc.records(io.BytesIO(packed), len(packed), lambda _: True, True, True)
+        taken.append(time.perf_counter() - start)
+        assert row["payload"] == body
+    # Sixteen times the bytes; a quadratic reader takes 256 times as long.
+    assert taken[1] < 64 * taken[0]

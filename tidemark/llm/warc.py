@@ -115,9 +115,14 @@ class _Stream:
         return found
 
     def take(self, n: int) -> bytes:
-        while len(self.buffer) < n and self._more(1 << 16):
-            pass
-        found, self.buffer = self.buffer[:n], self.buffer[n:]
+        pieces, have = [self.buffer], len(self.buffer)
+        self.buffer = b""
+        while have < n and self._more(1 << 16):
+            pieces.append(self.buffer)
+            have += len(self.buffer)
+            self.buffer = b""
+        whole = b"".join(pieces)
+        found, self.buffer = whole[:n], whole[n:]
         return found
 
     def end(self, unread: int) -> int:
