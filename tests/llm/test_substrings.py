@@ -126,3 +126,10 @@ def test_equal_strings_name_the_same_place():
             place, hashes, left, right = sub.anchors(data, np.array([len(data)]), LENGTH)
         found.append({int(p) - len(before): int(h) for p, h in zip(place, hashes) if 61 <= p - len(before) < 200})
     assert found[0] == found[1] and found[0]
+
+
+def test_runs_merge_touching_stretches_within_a_document():
+    spans = np.array([[0, 5], [5, 9], [12, 20], [3, 7], [20, 24], [30, 31]])
+    found = sub._runs(spans[:, 0], spans[:, 1], np.array([0, 20, 20, 40]))
+    assert [x.tolist() for x in found] == [[0, 0, 2, 2], [0, 12, 20, 30], [9, 20, 24, 31]]
+    assert [x.tolist() for x in sub._runs(spans[:0, 0], spans[:0, 1], np.array([0, 3]))] == [[], [], []]

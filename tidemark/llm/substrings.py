@@ -489,25 +489,36 @@ def _merger(length: int):
 
 # ---- cutting -----------------------------------------------------------------------------
 
+def _runs(starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray):
+    """Stretches of a chunk as maximal runs: number of the document, start, end. Runs end with their document."""
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order].astype(np.int64), np.maximum.accumulate(ends[order].astype(np.int64))
+    document = np.searchsorted(bounds, starts, "right") - 1
+    first = np.r_[True, (starts[1:] > ends[:-1]) | (document[1:] != document[:-1])][:len(starts)]
+    last = np.r_[first[1:], True][:len(starts)]
+    return document[first], starts[first], ends[last]
+
+
 def _cutter(keep_text: bool):
     def cut(batches):
         for batch in batches:
             for i in range(len(batch)):
                 ids, sizes, data, removed = (batch[c][i].as_py() for c in ("ids", "sizes", "data", "removed"))
                 whole = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-                spans = np.concatenate([np.frombuffer(r, "<u4") for r in removed or []] or [[]]).astype(np.int64)
-                change = np.bincount(spans[::2], minlength=len(whole) + 1) - np.bincount(
-                    spans[1::2], minlength=len(whole) + 1)
-                gone = np.cumsum(change)[:len(whole)] > 0
-                rows, start = [], 0
-                for doc_id, size in zip(ids, sizes):
-                    mine = gone[start:start + size]
-                    edges = np.flatnonzero(np.diff(np.r_[False, mine, False]))
-                    text = whole[start:start + size][~mine].tobytes()
-                    rows.append((doc_id, size, int(mine.sum()), len(edges) // 2,
-                                 hashlib.sha256(text).hexdigest(), text if keep_text else None,
-                                 edges.tolist()))
-                    start += size
+                spans = np.concatenate([np.frombuffer(r, "<u4") for r in removed or []] or [np.zeros(0, "<u4")])
+                bounds = np.r_[0, np.cumsum(sizes)].astype(np.int64)
+                mine, starts, ends = _runs(spans[::2], spans[1::2], bounds)
+                rows = []
+                for k, (doc_id, size, first) in enumerate(zip(ids, sizes, bounds.tolist())):
+                    low, high = np.searchsorted(mine, [k, k + 1])
+                    edges = np.stack([starts[low:high], ends[low:high]], 1).ravel() - first
+                    cuts = [0, *edges.tolist(), size]
+                    kept = [whole[first + cuts[j]:first + cuts[j + 1]] for j in range(0, len(cuts), 2)]
+                    digest = hashlib.sha256()
+                    for piece in kept:
+                        digest.update(piece)
+                    rows.append((doc_id, size, size - sum(map(len, kept)), len(edges) // 2, digest.hexdigest(),
+                                 b"".join(x.tobytes() for x in kept) if keep_text else None, edges.tolist()))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
@@ -523,7 +534,8 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     of a smaller id, or earlier in the same one. ``kept`` are the other bytes, ``spans`` the
     removed stretches as start, end, start, end. Strings are judged on the input and never cross
     documents; a null text is an empty one. Rows without id come first; rows that share an id
-    come in the order in which they are stored, as documents of their own.
+    come in the order in which they are stored, as documents of their own. Other columns are ignored. A text longer
+    than a chunk is a chunk of its own; cutting it takes memory for its bytes and its stretches.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
