@@ -77,3 +77,16 @@ def test_query_equals_sql(spark):
     names = [d[0] for d in cursor.description]
     assert sorted(names) == sorted(frame.columns)
     assert Counter(map(tuple, frame.select(*names).collect())) == Counter(map(tuple, cursor.fetchall()))
+
+
+def test_a_table_of_short_contents_keeps_its_bound():
+    import tracemalloc
+    rng = random.Random(2)
+    records = [(b"%012d" % rng.randrange(10 ** 12), i, i, 12, 1) for i in range(60_000)]
+    tracemalloc.start()
+    seen = 0
+    for _ in ed.grace(iter(records), table_bytes=4 << 20):
+        seen += 1
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == len({r[0] for r in records}) and peak < 10 << 20

@@ -1,8 +1,8 @@
 """Exact deduplication of texts by Grace hashing.
 
-Each input task first folds the copies among its own rows, so a text that fills a third of the
-table travels once per task. The remaining rows are shuffled by digest, and every task
-deduplicates its share in an open-addressing table that compares complete content. What does
+Each input task first folds the copies among its own rows in an open-addressing table that compares complete
+content, so a text that fills a third of the table travels once per task. The remaining rows are shuffled by
+digest, and every task deduplicates its share in a table of the same kind. What does
 not fit the table's memory goes to spill files by a seeded hash, and each file is treated
 the same way with the next seed until it fits.
 """
@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from .common import BLANKS, staged
 
-#: Bytes of text that an input task folds at a time, and of distinct content in a table.
+#: Bytes of text that an input task folds at a time, and of a table.
 FOLD_BYTES, TABLE_BYTES = 48 << 20, 64 << 20
+#: What an entry costs besides its content, and a row besides its entry (measured on short contents).
+ENTRY_BYTES, KEY_BYTES = 480, 40
 FAN_OUT = 16
 
 
@@ -62,7 +64,7 @@ class ContentTable:
         self.hashes.append(h)
         self.contents.append(content)
         self.groups.append(group)
-        self.bytes += len(content)
+        self.bytes += len(content) + ENTRY_BYTES
         if 2 * len(self.groups) > len(self.slots):
             self.slots = [-1] * (2 * len(self.slots))
             mask = len(self.slots) - 1
@@ -101,6 +103,7 @@ def grace(records: Iterator[tuple], table_bytes: int, level: int = 0) -> Iterato
         group.best = max(group.best, rank(points, doc_id, key))
         group.size += copies
         group.keys.append(key)
+        table.bytes += KEY_BYTES
     yield from zip(table.contents, table.groups)
     del table
 
@@ -119,30 +122,36 @@ def grace(records: Iterator[tuple], table_bytes: int, level: int = 0) -> Iterato
 
 def _folded(batches: list[pa.RecordBatch], first_key: int) -> Iterator[pa.RecordBatch]:
     """Rows of the batches with their keys; only the best row of each content keeps its columns."""
-    found: dict[bytes, list] = {}
+    table, shas = ContentTable(), []
     rows, key = [], first_key
     for batch in batches:
         lengths = pc.fill_null(pc.utf8_length(batch["_text"]), 0).to_pylist()
         for text, doc_id, points in zip(batch["_text"].to_pylist(), batch["_id"].to_pylist(), lengths):
-            sha = hashlib.sha256(normalised(text)).digest()
-            mine = rank(points, doc_id, key)
-            best = found.setdefault(sha, [mine, 0])
-            best[0], best[1] = max(best[0], mine), best[1] + 1
-            rows.append((sha, points))
+            content, mine = normalised(text), rank(points, doc_id, key)
+            h = xxhash.xxh64_intdigest(content)
+            at = table.find(h, content)
+            if at < 0:
+                table.insert(~at, h, content, Group(mine))
+                shas.append(hashlib.sha256(content).digest())
+                at = len(shas) - 1
+            group = table.groups[at]
+            group.best = max(group.best, mine)
+            group.size += 1
+            rows.append((at, points))
             key += 1
     key = first_key
     for batch in batches:
         mine = rows[key - first_key:key - first_key + len(batch)]
         keys = range(key, key + len(batch))
-        reps = [-found[sha][0][3] for sha, _ in mine]
+        reps = [-table.groups[at].best[3] for at, _ in mine]
         row = batch["_row"]
         other = pa.array([k != r for k, r in zip(keys, reps)])
         row = pa.StructArray.from_arrays(row.flatten(), fields=list(row.type), mask=other)
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys, pa.int64()), pa.array(reps, pa.int64()), batch["_id"],
              pa.array([p for _, p in mine], pa.int64()),
-             pa.array([found[sha][1] for sha, _ in mine], pa.int64()),
-             pa.array([sha for sha, _ in mine], pa.binary()), row],
+             pa.array([table.groups[at].size for at, _ in mine], pa.int64()),
+             pa.array([shas[at] for at, _ in mine], pa.binary()), row],
             ["key", "rep", "id", "points", "copies", "sha", "row"])
         key += len(batch)
 
