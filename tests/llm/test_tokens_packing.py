@@ -1,5 +1,6 @@
 """Token counts, token ids and packing."""
 
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 from tidemark.llm import packing, tokens, wordpiece
 from tidemark.llm.common import staged
 
+SF = "/root/testdata/sf0.01"
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -63,6 +65,16 @@ def test_ids_equal_the_tokenizer_file():
         assert np.frombuffer(encode(text), "<u4").tolist() == want, text
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_ids_equal_the_tokenizer_file_on_all_documents():
+    import pyarrow.parquet as pq
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = tokens.BytePairs(RANKS, public_tokenizers.PATTERN).encode
+    texts = [t or "" for t in pq.read_table(f"{SF}/documents.parquet")["text"].to_pylist()]
+    for text, found in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(encode(text), "<u4").tolist() == found.ids
+
+
 def test_pieces_and_places(docs, corpus, nothing):
     capacity = 64
     pieces = staged(packing.token_pieces(docs, RANKS, public_tokenizers.PATTERN, capacity), "t")
