@@ -122,16 +122,19 @@ def test_giant_conversation_spills(spark, monkeypatch):
     monkeypatch.setattr(conv, "TURNS_HELD", 100)
     rows = [(7, i, "user" if i % 3 else "assistant", f"turn {i}." if i % 10 else "x" * 100_000) for i in range(4000)]
     (found,) = conv.audits(frame(spark, rows)).collect()
-    judged = [(r, t, False, not t.endswith(".")) for _, _, r, t in rows]
+    seen, judged = set(), []
+    for _, _, role, text in rows:
+        judged.append((role, text, (role, text) in seen, not text.endswith(".")))
+        seen.add((role, text))
     least = [0, None, None, None]
-    for role, _, _, cut in judged:
+    for role, _, gone, cut in judged:
         after = [None] * 4
-        for before, state, cost, _, _ in conv._moves(role[0], False, cut):
+        for before, state, cost, _, _ in conv._moves(role[0], gone, cut):
             if least[before] is not None and (after[state] is None or least[before] + cost < after[state]):
                 after[state] = least[before] + cost
         least = after
     assert found.cost == min(least[0], least[3], least[2] + 5)
-    assert len(found.audit.replace("I", "")) == 4000 and found.truncated == 1
+    assert len(found.audit.replace("I", "")) == 4000 and (found.truncated, found.duplicate) == (2, 398)
 
 
 def test_long_text_and_empty_table(spark):
