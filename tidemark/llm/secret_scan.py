@@ -207,7 +207,8 @@ def scanned(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc
     if indexed:
         index = staged(postings(docs, set().union(*(trigrams_of(trigram_condition(r.pattern)) for r in indexed)),
                                 doc_id, text), "trigram-postings")
-        rows = rows.join(candidates(index, indexed), F.col("row")[doc_id] == F.col("_id"), "left")
+        # Candidates have no size bound: they are merged with the rows at every size.
+        rows = rows.join(candidates(index, indexed).hint("merge"), F.col("row")[doc_id] == F.col("_id"), "left")
         kinds = F.when(F.col("row")[doc_id].isNull(), F.lit([r.kind for r in indexed])).otherwise(F.col("kinds"))
     whole = F.coalesce(F.col("row")[text], F.lit(""))
     nothing = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")
