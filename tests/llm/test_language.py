@@ -1,4 +1,4 @@
-"""Language identification: held-out accuracy, odd texts, and the network's gradient."""
+"""Language identification: held-out accuracy, odd texts, predictions by brute force."""
 
 import os
 import zlib
@@ -64,3 +64,32 @@ def test_training_is_repeatable():
     assert (first.filters == second.filters).all() and (first.embedding == second.embedding).all()
     p = language.probabilities(first, np.concatenate([language.windows(t) for t in texts[:2]]))
     assert p[0, 0] > 0.8 and p[1, 1] > 0.8
+
+
+def test_predictions_equal_brute_force(spark):
+    """Every filter at every place of every window, one number at a time."""
+    rng = np.random.default_rng(4)
+    texts = ["kurz", "a" * 300 + "é" * 100 + "xyz " * 80, "".join(map(chr, rng.integers(97, 123, 700))), "12 ab"]
+    net = language.train([t.encode() for t in texts] * 4, ["p", "q", "r", "q"] * 4, epochs=2)
+    step = language.WINDOW - language.REACH + 1
+
+    def score(data):
+        total, weights = np.zeros(len(net.languages)), 0
+        n = max(1, -(-(len(data) - language.REACH + 1) // step))
+        for w in range(n):
+            window = data[w * step:w * step + language.WINDOW].ljust(language.WINDOW, b"\0")
+            pooled = []
+            for f in range(net.filters.shape[1]):
+                best = max(sum(float(net.embedding[window[place + i]] @ net.filters[i * language.EMBEDDING:(i + 1) * language.EMBEDDING, f])
+                               for i in range(language.REACH)) for place in range(step))
+                pooled.append(max(best + net.bias[f], 0))
+            z = np.array(pooled) @ net.out + net.out_bias
+            p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+            weight = language.WINDOW if w < n - 1 else max(1, len(data) - (n - 1) * step)
+            total, weights = total + weight * p, weights + weight
+        return total / weights
+
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "row long, text string")
+    for r in language.predicted(frame, net).collect():
+        want = score(texts[r.row].encode())
+        assert r.lang_pred == net.languages[want.argmax()] and abs(r.score - want.max()) < 1e-4

@@ -128,7 +128,9 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", doc_id: st
 
     From each text come ``per_text`` windows at places chosen by the hash. Every language is learned; where
     there are so many that this would be more than ``most_texts`` texts, each gives fewer, one at
-    least. Rows without label, id or letters are not used; without any row there is no network.
+    least. Rows without label, id or letters are not used; without any row there is no network. Rows that share
+    an id are taken or left together. Of a very long text only its windows reach the driver; other columns,
+    whatever their names, are not read. The driver and a broadcast hold a row for each label, as the network itself does.
     """
     known = labelled.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull()
                             & has_letter(F.col(text))).select(
@@ -210,7 +212,9 @@ def predicted(rows: DataFrame, net: Network | None, text: str = "text", keep: st
     """``keep`` (a column), lang_pred and score (the mean probability over the text's windows).
 
     A text that is null or has no letter is ``und`` with score 0, as is every text where there was
-    nothing to learn from. Bytes weigh alike, however long the text is.
+    nothing to learn from. Bytes weigh alike, however long the text is. Of equal scores the first label by
+    code point is named. Repeated rows are predicted each for itself. ``keep`` may be a struct of all columns of a table, so
+    that none of their names clashes. An empty table gives no rows.
     """
     source = rows.select(F.col(keep), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
                          has_letter(F.col(text)).alias("letters"))
@@ -219,7 +223,7 @@ def predicted(rows: DataFrame, net: Network | None, text: str = "text", keep: st
 
 
 def accepted(docs: DataFrame, net: Network | None, min_score: float = 0.4, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language the network names with at least this score."""
+    """The rows of ``docs``, with all their columns, whose language the network names with at least this score."""
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text).alias("text"))
     named = predicted(rows, net, keep="row")
     return named.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")

@@ -381,6 +381,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     Candidates that agree in a band are missed with probability (1 - s^4)^32 at similarity s: one in
     190,000 at 0.75, and less above.
+
+    Texts may be of any length: a text's words and set are in memory while it is read, and a unit's blocks follow the
+    sizes of their sets. Equal words are one vertex for all comparisons, however many rows have them. Other
+    columns, whatever their names, are ignored. An empty table gives no rows.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = staged(source.mapInArrow(
@@ -416,7 +420,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 
 def deduplicated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps."""
+    """The rows of ``docs``, with all their columns, that ``near_duplicates`` keeps."""
     gone = near_duplicates(docs, text, doc_id, percent).filter("not kept").select(
         F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")

@@ -52,7 +52,8 @@ def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, capacity: int =
 
     Columns: doc_id, piece, start, length, ids (little-endian 32-bit). Only a longer document is
     cut: all its pieces are full but the first, which takes the rest. A null text is an empty one
-    and gives a piece of one token.
+    and gives a piece of one token. Repeated rows, rows that share an id and rows without one are documents of their
+    own. A text's ids are in memory while it is cut. Other columns, whatever their names, are ignored; an empty table gives no piece.
     """
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         _cutter(ranks_path, pattern, capacity, end_id),

@@ -125,7 +125,9 @@ def token_counts(docs: DataFrame, ranks_path: str, text: str = "text", doc_id: s
 
     Words are what stands between white space; each is matched with a space before it, so pieces of
     the vocabulary that begin with a space begin words and the others go on. A word that
-    can't be matched to its end counts as one token. Null and empty texts have no words.
+    can't be matched to its end counts as one token. Null and empty texts have no words. A text may be of any
+    length: it passes word by word. Repeated rows, rows that share an id and rows without one are counted each for
+    itself; other columns, whatever their names, are ignored. An empty table gives no rows.
     """
     return docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
