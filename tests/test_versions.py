@@ -273,3 +273,27 @@ def test_colocated_join_has_no_exchange(spark, raw, plan, rows):
     fact = star.songplays(*sides, rules)
     assert "SortMergeJoin" in plan(fact) and "Exchange" not in plan(fact)
     assert rows(fact.drop("songplay_id")) == rows(star.songplays(*plain, rules).drop("songplay_id")) != []
+
+
+def test_reports_are_folded(spark, tmp_path):
+    from tidemark.streaming import sinks
+    path = str(tmp_path / "log")
+
+    def report(*numbers):
+        for n in numbers:
+            spark.createDataFrame([(n, "t", n, 1.0, 1.0, None, 0, 0, None, 1)], sinks.PROGRESS).coalesce(1).write.mode(
+                "append").parquet(path)
+
+    def seen():
+        return sorted(r["batch_id"] for r in sinks.read_reports(spark, path).collect())
+
+    def files():
+        return len(list((tmp_path / "log").glob("part-*.parquet")))
+
+    report(0, 1, 2)
+    assert sinks.fold_reports(spark, path) == 3 and seen() == [0, 1, 2] and files() == 3
+    report(3)
+    assert seen() == [0, 1, 2, 3] and sinks.fold_reports(spark, path) == 4 and files() == 1
+    assert sinks.fold_reports(spark, path) == 4 and seen() == [0, 1, 2, 3]
+    report(4)
+    assert seen() == [0, 1, 2, 3, 4]

@@ -297,4 +297,33 @@ class ProgressLog(StreamingQueryListener):
         """All reports of a query that has ended; it waits until the last one has come in."""
         if not self.ended.wait(wait_seconds):
             raise TimeoutError(f"no end of query {self.name!r} was reported")
-        return self.spark.read.schema(PROGRESS).parquet(self.path)
+        return read_reports(self.spark, self.path)
+
+
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """The reports of a ``ProgressLog``, those that were folded and those since."""
+    folded = _numbers(spark, f"{path}/{BASE}", BATCH)
+    last = folded[-1] if folded else -1
+    rows = spark.read.schema(PROGRESS).parquet(path).filter(F.col("batch_id") > last)
+    return rows.union(spark.read.schema(PROGRESS).parquet(f"{path}/{BASE}/{BATCH}={last}")) if folded else rows
+
+
+def fold_reports(spark: SparkSession, path: str) -> int:
+    """Gather the reports so far, of which each has a file, in one; returns how many there are.
+
+    They count from where the fold says it ends, so one that breaks off changes nothing. The files of folded reports
+    go with the next fold, which readers of the log may outlast.
+    """
+    rows = read_reports(spark, path)
+    found = rows.agg(F.max("batch_id"), F.count(F.lit(1))).first()
+    folded = _numbers(spark, f"{path}/{BASE}", BATCH)
+    if found[0] is None or folded and found[0] <= folded[-1]:
+        return found[1]
+    counted = spark.read.schema(PROGRESS).parquet(path).filter(F.col("batch_id") <= (folded[-1] if folded else -1))
+    old = [r[0] for r in counted.select("_metadata.file_name").distinct().collect()]    # of one fold's reports
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/{BASE}/{BATCH}={found[0]}")
+    for name in old:
+        remove(spark, f"{path}/{name}")
+    for number in folded[:-1]:
+        remove(spark, f"{path}/{BASE}/{BATCH}={number}")
+    return found[1]
