@@ -1,5 +1,6 @@
 """Near duplicates of texts and vectors, and components, against brute force."""
 
+import math
 import random
 import re
 from collections import defaultdict
@@ -224,6 +225,26 @@ def test_vectors_equal_brute_force(spark, seed, options):
         assert (r.n_links, r.component_id, r.kept) == (degree[r.vec_id], label[r.vec_id], label[r.vec_id] == r.vec_id)
 
 
+@pytest.mark.parametrize("centres", [256, 4])
+def test_recall_near_the_threshold(spark, monkeypatch, centres):
+    """Pairs just above the threshold among scattered vectors, over one level of centres and over several."""
+    monkeypatch.setattr(vectors, "CENTRES", centres)
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((6000, 64))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    side = rng.standard_normal((1500, 64))
+    side -= (side * x[:1500]).sum(1, keepdims=True) * x[:1500]
+    side /= np.sqrt((side * side).sum(1, keepdims=True))
+    x[4500:] = 0.952 * x[:1500] + math.sqrt(1 - 0.952 ** 2) * side
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vectors.linked_vectors(frame).collect()}
+    true = ((x @ x.T) >= 0.95).sum(1) - 1
+    found = np.array([got[i] for i in range(6000)])
+    assert true.sum() >= 3000 and (found <= true).all() and found.sum() >= 0.9 * true.sum()
+    # A link counts for both of its ends.
+    assert (found[:1500] == found[4500:]).all()
+
+
 def test_vectors_without_id_or_rows(spark):
     frame = spark.createDataFrame([(None, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])],
                                   "vec_id long, embedding array<double>")

@@ -1,10 +1,13 @@
 """Near duplicates among vectors by product quantisation.
 
 An index of coarse cells holds a short code per vector: its residual from the cell's centre, cut into
-parts and rounded to the nearest of 256 codewords each. A query visits every cell that can hold
-a vector within the threshold, ranks the cell's codes by table look-up, and computes the exact
-cosine for those that the codes' known errors do not rule out. Centres and codewords are fitted on a
-bounded sample; all vectors are indexed, and the bounds hold whatever the fit.
+parts and rounded to the nearest of 256 codewords each. A vector visits the few cells whose centres are nearest,
+ranks their codes by table look-up, and computes the exact cosine for those that the codes' known
+errors do not rule out. A pair is found if either vector visits the other's cell, and then counts for both.
+
+Cells hold about equally many vectors at every size, so the work for a vector doesn't grow with their number. As many levels of
+centres as that takes are laid over one another, each level the residuals of the one before. All of it is
+fitted on a bounded sample, and all vectors are indexed.
 """
 
 from __future__ import annotations
@@ -19,8 +22,10 @@ from pyspark.sql import functions as F
 from .common import staged
 from .components import components
 
-#: Vectors the fit takes at most; cells at most.
-SAMPLE_ROWS, MOST_CELLS = 25_000, 4096
+#: Vectors the fit takes at most. Vectors of a cell on average; centres of a level at most.
+SAMPLE_ROWS, MEMBERS, CENTRES = 25_000, 256, 256
+#: Cells that a vector visits. Of vectors with a cosine of 0.95 or more 0.9 must be found; README has the share.
+PROBES = 8
 CODEWORDS, PART = 256, 8
 #: Members or queries of a cell that meet in one task.
 BLOCK = 4096
@@ -59,34 +64,44 @@ def distances2(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Coarse centres and, for each part of the residual, its codewords."""
+    """Levels of coarse centres and, for each part of the residual, its codewords."""
 
     def __init__(self, sample: np.ndarray, cells: int, seed: int = 0):
         rng = np.random.default_rng(seed)
-        self.centres = kmeans(sample, min(cells, len(sample)), rng)
-        rest = sample - self.centres[nearest(sample, self.centres)]
+        depth = max(1, math.ceil(math.log(max(2, cells)) / math.log(CENTRES) - 1e-9))
+        self.levels, rest = [], sample
+        for _ in range(depth):
+            centres = kmeans(rest, min(math.ceil(cells ** (1 / depth)), len(rest)), rng)
+            rest = rest - centres[nearest(rest, centres)]
+            self.levels.append(centres)
         self.parts = rest.shape[1] // PART
         self.words = [kmeans(rest[:, PART * p:PART * (p + 1)], min(CODEWORDS, len(rest)), rng, 5)
                       for p in range(self.parts)]
 
+    def centre(self, cell: np.ndarray) -> np.ndarray:
+        """Cells are numbered by their centres of all levels."""
+        total = 0
+        for centres in reversed(self.levels):
+            total, cell = total + centres[cell % len(centres)], cell // len(centres)
+        return total
+
     def encode(self, x: np.ndarray, cell: np.ndarray):
         """Codes, and each vector's distance from what its code stands for."""
-        rest = x - self.centres[cell]
+        rest = (x - self.centre(cell)).astype(np.float32)
         codes = np.stack([nearest(rest[:, PART * p:PART * (p + 1)], w) for p, w in enumerate(self.words)], 1)
         stands = np.concatenate([w[codes[:, p]] for p, w in enumerate(self.words)], 1)
         return codes.astype(np.uint8), np.sqrt(((rest - stands) ** 2).sum(1))
 
-    def probes(self, x: np.ndarray, radius: float):
-        """Own cell of each vector, and all cells that can hold a vector within ``radius`` of it.
-
-        A vector of cell c lies on c's side of the plane halfway between c's centre and the
-        query's own, so c is needed only if the query is within ``radius`` of that plane.
-        """
-        d2 = distances2(x, self.centres)
-        own = d2.argmin(1)
-        apart = np.sqrt(distances2(self.centres, self.centres))[own]
-        needed = d2 - d2[np.arange(len(x)), own][:, None] <= 2 * (radius + SLACK) * apart + SLACK
-        return own, needed
+    def probes(self, x: np.ndarray, n: int) -> np.ndarray:
+        """The ``n`` cells whose centres are nearest, nearest first; level by level only as many go on."""
+        cell, rest = np.zeros((len(x), 1), np.int64), x[:, None, :]
+        for centres in self.levels:
+            d2 = distances2(rest.reshape(-1, x.shape[1]), centres).reshape(len(x), -1)
+            best = np.argsort(d2, 1, kind="stable")[:, :n]
+            before, here = best // len(centres), best % len(centres)
+            cell = np.take_along_axis(cell, before, 1) * len(centres) + here
+            rest = np.take_along_axis(rest, before[:, :, None], 1) - centres[here]
+        return cell
 
 
 def padded(vectors: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,52 +117,54 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _indexer(index: Index, width: int, radius: float):
+def _indexer(index: Index, width: int, probes: int):
     def assign(batches):
         for batch in batches:
-            for at in range(0, len(batch), 2048):
-                some = batch.slice(at, 2048)
+            for at in range(0, len(batch), 1024):
+                some = batch.slice(at, 1024)
                 x = padded(some["vector"], width)[0].astype(np.float32)
-                own, needed = index.probes(x, radius)
-                codes, errors = index.encode(x, own)
+                cells = index.probes(x, probes)
+                codes, errors = index.encode(x, cells[:, 0])
                 yield pa.RecordBatch.from_arrays(
-                    [some["rep"], some["copies"], some["vector"], pa.array(own, pa.int64()),
-                     pa.array([c.tobytes() for c in codes], pa.binary()),
-                     pa.array(errors.astype(np.float64)),
-                     pa.array([np.flatnonzero(row).tolist() for row in needed], pa.list_(pa.int64()))],
+                    [some["rep"], some["copies"], some["vector"], pa.array(cells[:, 0]),
+                     pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(errors.astype(np.float64)),
+                     pa.FixedSizeListArray.from_arrays(pa.array(cells.ravel()), cells.shape[1]).cast(
+                         pa.list_(pa.int64()))],
                     ["rep", "copies", "vector", "own", "code", "error", "probes"])
     return assign
 
 
 def _compare(index: Index, width: int, threshold: float):
-    """Units of (cell, query block, member block): link counts of the queries, and links that keep
-    all of the unit's linked vectors connected."""
+    """Units of (cell, query block, member block): link counts of the queries, and of members that don't
+    visit the query's cell in return; and links that keep all of the unit's linked vectors connected."""
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
 
     def compared(cell: int, rows: dict):
         member = rows["member"]
-        reps, copies, x, lengths = (rows[c][member] for c in ("rep", "copies", "x", "length"))
+        reps, copies, x, lengths, visits = (rows[c][member] for c in ("rep", "copies", "x", "length", "probes"))
         codes, limit = rows["code"][member], radius + rows["error"][member] + SLACK
         asked = np.flatnonzero(~member)
         links, counts = [], []
+        returned = np.zeros(len(reps), np.int64)
         label = np.arange(len(reps) + len(asked))
         block = max(1, min(256, (1 << 20) // max(1, len(reps))))
         for at in range(0, len(asked), block):
             some = asked[at:at + block]
             q, mine = rows["x"][some], rows["rep"][some]
-            rest = (q - index.centres[cell]).astype(np.float32)
+            rest = (q - index.centre(np.array([cell]))).astype(np.float32)
             d2 = np.zeros((len(some), len(reps)), np.float32)
             for p, words in enumerate(index.words):
                 table = distances2(rest[:, PART * p:PART * (p + 1)], words)
                 d2 += np.take(table, codes[:, p], axis=1)
             maybe = (np.sqrt(d2) <= limit) & (mine[:, None] != reps) & (rows["length"][some, None] == lengths)
             i, j = np.nonzero(maybe)
-            if 8 * len(i) > maybe.size:             # so many that the whole product costs less
-                sure = maybe & (q @ x.T >= threshold)
-            else:
-                near = np.einsum("ij,ij->i", q[i], x[j]) >= threshold
-                sure = np.zeros_like(maybe)
-                sure[i[near], j[near]] = True
+            sure = np.zeros_like(maybe)
+            for some_of in range(0, len(i), 1 << 15):
+                at_i, at_j = i[some_of:some_of + (1 << 15)], j[some_of:some_of + (1 << 15)]
+                sure[at_i, at_j] = np.einsum("ij,ij->i", q[at_i], x[at_j]) >= threshold
+            i, j = np.nonzero(sure)
+            alone = (visits[j] != rows["own"][some][i, None]).all(1)
+            np.add.at(returned, j[alone], rows["copies"][some][i[alone]])
             linked = sure @ copies
             for k in np.flatnonzero(linked):
                 counts.append((int(mine[k]), int(linked[k])))
@@ -159,6 +176,7 @@ def _compare(index: Index, width: int, threshold: float):
                 if len(seen) > 1:
                     label[np.isin(label, seen)] = lowest
                 label[me] = lowest
+        counts += [(int(reps[j]), int(returned[j])) for j in np.flatnonzero(returned)]
         return counts, links
 
     def compare(batches):
@@ -179,9 +197,11 @@ def _compare(index: Index, width: int, threshold: float):
             codes = np.zeros((len(batch), index.parts), np.uint8)
             codes[member] = np.frombuffer(b"".join(batch["code"].drop_null().to_pylist()), np.uint8).reshape(
                 -1, index.parts)
+            visits = batch["probes"].flatten().to_numpy().reshape(len(batch), -1)
             rows = {"x": x, "length": lengths, "member": member, "code": codes,
                     "error": batch["error"].fill_null(0).to_numpy(zero_copy_only=False),
-                    "rep": batch["rep"].to_numpy(), "copies": batch["copies"].to_numpy()}
+                    "rep": batch["rep"].to_numpy(), "copies": batch["copies"].to_numpy(),
+                    "own": batch["own"].to_numpy(), "probes": visits}
             keys = np.stack([batch[c].to_numpy() for c in ("cell", "qb", "mb")], 1)
             cuts = np.flatnonzero((np.diff(keys, axis=0) != 0).any(1)) + 1
             for start, stop in zip([0, *cuts], [*cuts, len(batch)]):
@@ -197,8 +217,8 @@ def _compare(index: Index, width: int, threshold: float):
 
 
 def linked_vectors(table: DataFrame, threshold: float = 0.95, vector: str = "embedding",
-                   vec_id: str = "vec_id", cells: int | None = None, sample_rows: int = SAMPLE_ROWS,
-                   block: int = BLOCK) -> DataFrame:
+                   vec_id: str = "vec_id", cells: int | None = None, probes: int = PROBES,
+                   sample_rows: int = SAMPLE_ROWS, block: int = BLOCK) -> DataFrame:
     """One row per row of ``table``: vec_id, n_links, component_id, kept.
 
     Vectors link when their cosine in double precision is at least ``threshold`` (above 0) and they have
@@ -206,8 +226,10 @@ def linked_vectors(table: DataFrame, threshold: float = 0.95, vector: str = "emb
     they occur. A vector that is null, empty, zero or has a component that is null or not finite
     links with nothing, as does a row without id (its component is null, and it is kept). Rows that
     share an id are one vertex. An empty table gives no rows.
+
+    No pair below the threshold is linked. Of those above it one is missed where neither vector's ``probes``
+    nearest cells hold the other.
     """
-    spark = table.sparkSession
     v, i = F.col(vector), F.col(vec_id)
     # Single precision travels as such; all arithmetic on it is in double precision.
     single = table.schema[vector].dataType.simpleString() == "array<float>"
@@ -226,7 +248,7 @@ def linked_vectors(table: DataFrame, threshold: float = 0.95, vector: str = "emb
                                F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
 
     width = -(-size["width"] // PART) * PART
-    cells = cells or max(1, min(MOST_CELLS, round(math.sqrt(size["n"]) / 2)))
+    cells = cells or -(-size["n"] // MEMBERS)
     chance = sample_rows / size["n"]
     sample = distinct.select("rep", "vector")
     if chance < 1:
@@ -234,18 +256,16 @@ def linked_vectors(table: DataFrame, threshold: float = 0.95, vector: str = "emb
     sample = sorted(sample.collect())
     vectors = pa.array([r["vector"] for r in sample], pa.list_(pa.float64()))
     index = Index(padded(vectors, width)[0].astype(np.float32), cells)
-    radius = math.sqrt(max(0.0, 2 - 2 * threshold))
     indexed = staged(distinct.drop("name").mapInArrow(
-        _indexer(index, width, radius),
+        _indexer(index, width, probes),
         f"rep long, copies long, vector {kind}, own long, code binary, error double, "
         "probes array<long>"), "indexed-vectors")
 
-    # Blocks of large cells: as many rows as there are cells come to the driver.
-    members = dict(map(tuple, indexed.groupBy("own").count().collect()))
-    visits = dict(map(tuple, indexed.select(F.explode("probes").alias("c")).groupBy("c").count().collect()))
-    sizes = spark.createDataFrame(
-        [(c, -(-visits.get(c, 0) // block), -(-n // block)) for c, n in members.items() if visits.get(c)],
-        "cell long, qbs long, mbs long")
+    # Large cells are dealt into blocks of members and of visitors.
+    members = indexed.groupBy(F.col("own").alias("cell")).agg(F.ceil(F.count(F.lit(1)) / block).alias("mbs"))
+    visits = indexed.select(F.explode("probes").alias("cell")).groupBy("cell").agg(
+        F.ceil(F.count(F.lit(1)) / block).alias("qbs"))
+    sizes = staged(members.join(visits, "cell"), "cell-sizes")
 
     def dealt(own, many):
         return F.pmod(F.xxhash64("rep", F.lit(own)), F.col(many))
@@ -253,13 +273,12 @@ def linked_vectors(table: DataFrame, threshold: float = 0.95, vector: str = "emb
     def every(many):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(many) - 1))
 
-    stored = (indexed.join(F.broadcast(sizes), F.col("own") == F.col("cell"))
-              .withColumn("mb", dealt(1, "mbs")).withColumn("qb", every("qbs"))
-              .select("cell", "qb", "mb", "rep", "copies", "vector", "code", "error"))
-    asked = (indexed.withColumn("cell", F.explode("probes")).join(F.broadcast(sizes), "cell")
+    columns = ["cell", "qb", "mb", "rep", "copies", "vector", "own", "probes"]
+    stored = (indexed.join(sizes, F.col("own") == F.col("cell"))
+              .withColumn("mb", dealt(1, "mbs")).withColumn("qb", every("qbs")).select(*columns, "code", "error"))
+    asked = (indexed.withColumn("cell", F.explode("probes")).join(sizes, "cell")
              .withColumn("qb", dealt(2, "qbs")).withColumn("mb", every("mbs"))
-             .select("cell", "qb", "mb", "rep", "copies", "vector", F.lit(None).cast("binary").alias("code"),
-                     F.lit(None).cast("double").alias("error")))
+             .select(*columns, F.lit(None).cast("binary").alias("code"), F.lit(None).cast("double").alias("error")))
     units = stored.union(asked).repartition("cell", "qb", "mb").sortWithinPartitions("cell", "qb", "mb")
     found = staged(units.mapInArrow(_compare(index, width, threshold), "a long, b long, n long"), "vector-links")
 
