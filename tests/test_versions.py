@@ -44,6 +44,12 @@ def test_merges_split_buckets_and_keep_the_last_row(spark, tmp_path, rows):
     assert max(b.depth for b in buckets) >= 3
 
 
+def test_a_hot_key_splits_no_bucket(spark, tmp_path, rows):
+    table = keyed(spark, tmp_path / "t", bucket_rows=10)
+    table.merge(spark.range(5000).select(F.lit(1).alias("k"), F.col("id").cast("int").alias("at"), F.lit("x").alias("v")))
+    assert len(table.version().buckets) == 1 and rows(table.read()) == [(1, 4999, "x")]
+
+
 def test_readers_see_a_whole_version(spark, tmp_path, rows):
     table = keyed(spark, tmp_path / "t").create(frame(spark, [(1, 1, "a"), (2, 1, "b")]))
     before = table.read()
