@@ -20,6 +20,7 @@ from ..functions import emit_json
 from ..operators.keyed import last_per_key
 from ..session import fresh_path, remove
 from ..sinks.tables import merged_folders, replace_folders
+from ..sinks.versions import KeyedTable
 
 BATCH = "batch_id"
 
@@ -62,6 +63,12 @@ def to_each(df: DataFrame, take: Callable[[DataFrame, int], None], checkpoint: s
     return triggered(_writer(df, "append", checkpoint, name).foreachBatch(take), every).start()
 
 
+def to_keyed(df: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = None,
+             name: str | None = None) -> StreamingQuery:
+    """Merge each micro-batch by key into a table of versions; a replay of one that is published changes nothing."""
+    return to_each(df, table.merge, checkpoint, every, name)
+
+
 def to_merged(df: DataFrame, path: str, checkpoint: str, key: list[str], order: list[str], buckets: int,
               mode: str = "append", every: str | None = None, name: str | None = None) -> StreamingQuery:
     """Merge each micro-batch by key into a table of ``write_mergeable``.

@@ -134,7 +134,7 @@ def json_arrays(spark, sf_dir):
     """The elements of many JSON-array files, as many as the table is large, as messages."""
     path = fresh_path(spark, "customers-json")
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint"), "c_name")
-    _as_arrays(customers, "c_custkey").write.partitionBy("keys").text(path)
+    _as_arrays(customers, "c_custkey").hint("rebalance", "keys").write.partitionBy("keys").text(path)
     messages = files.explode_to_messages(spark, f"{path}/*", "c_custkey bigint, c_name string", "customers")
     return messages.select("topic", F.col("value").cast("string").alias("value"))
 

@@ -9,7 +9,9 @@ from ..operators.joins import lookup_join
 from ..operators.keyed import count_per_key, last_per_key
 from ..plans import calls, risk, transit
 from ..session import fresh_path
+from .. import schemas
 from ..sinks import tables
+from ..sinks.versions import KeyedTable
 from ..sources import topics
 from ..streaming import jobs, sinks
 from ..streaming.upserts import LatestCounts, to_latest_counts
@@ -334,3 +336,39 @@ def risk_forgets(spark, sf_dir):
             "200 DAYS", lateness="30 days")
         sinks.to_files(joined, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.schema(joined.schema).parquet(f"{base}/out")
+
+
+@register("stream_keyed_versions", """
+SELECT user_id, max(event_id) AS event_id,
+  arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id""")
+def keyed_versions(spark, sf_dir):
+    """Events merged by a stream into a table of versions, in micro-batches of several deliveries."""
+    events = stream(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    path = fresh_path(spark, "stream-versions")
+    keyed = KeyedTable(spark, path, events.schema, ["user_id"], ["event_id"])
+    sinks.to_keyed(events, keyed, f"{path}-checkpoint").awaitTermination()
+    return keyed.read()
+
+
+@register("stream_every", "SELECT event_id, user_id FROM events WHERE event_type = 'purchase'")
+def every(spark, sf_dir):
+    """Purchases appended by a stream that looks for new files at an interval, until it has taken all there are."""
+    rows = stream(spark, sf_dir, "events").filter("event_type = 'purchase'").select("event_id", "user_id")
+    out = fresh_path(spark, "every")
+    query = sinks.to_files(rows, out, f"{out}-checkpoint", every="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.schema(rows.schema).parquet(out)
+
+
+@register("src_decoded", """
+SELECT epoch_us(ts) // 1000 AS timestamp, CAST(user_id AS INTEGER) AS station_id, event_id AS offset
+FROM events WHERE event_type = 'error'""")
+def decoded(spark, sf_dir):
+    """Keys and values of a topic's messages decoded by their schemas (as JSON, for want of the Avro module)."""
+    messages = inputs.transit_messages(table(spark, sf_dir, "events"))
+    entries = topics.decoded(topics.on_topic(messages, "turnstiles"), schemas.TURNSTILE, schemas.MESSAGE_KEY,
+                             keep=("offset",))
+    return entries.select("timestamp", "station_id", "offset")
