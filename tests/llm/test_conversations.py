@@ -137,6 +137,14 @@ def test_giant_conversation_spills(spark, monkeypatch):
     assert len(found.audit.replace("I", "")) == 4000 and (found.truncated, found.duplicate) == (2, 398)
 
 
+def test_few_states_are_worked_out():
+    """However long a conversation, the pairs of costs and ranks are few."""
+    rng, steps, state = random.Random(8), conv._Steps(), conv._Steps.START
+    for _ in range(60_000):
+        state = steps[state, (rng.choice(["s", "u", "a", ""]), rng.random() < 0.2, rng.random() < 0.3)][0]
+    assert len(steps) < 5000
+
+
 def test_long_text_and_empty_table(spark):
     rows = [(1, 0, "user", "y" * 3_000_000 + "."), (1, 1, "assistant", "Z" * 3_000_000)]
     (found,) = conv.audits(frame(spark, rows)).collect()

@@ -31,6 +31,9 @@ NEXT = {(NOTHING, "s"): SYSTEM, (NOTHING, "u"): USER, (SYSTEM, "u"): USER, (USER
 WANTED = {NOTHING: "u", SYSTEM: "u", USER: "a", ASSISTANT: "u"}
 FULL = {"u": "user", "a": "assistant"}
 LEGAL = {"su", "ua", "au"}
+#: From any state, whatever another can still write can be written for this much more, by two insertions and a
+#: deletion at most. A state that costs more than the cheapest by more than this is on no cheapest path.
+BEYOND = 2 * INSERT + DELETE
 #: Edits of one turn: insertions before it, and its own letter. Two insertions reach every state there is.
 STEPS = ["I" * n + x for n in range(3) for x in "DKR"]
 #: Bytes of back-pointers and of turns that stay in memory.
@@ -76,7 +79,8 @@ def _moves(initial: str, gone: bool, cut: bool) -> list[tuple[int, int, int, str
 
 class _Steps(dict):
     """(costs and ranks of the states, kind of turn) -> costs and ranks after it, what all of them rose by,
-    and back-pointers. Costs count from the least, so there are few such pairs, and each is worked out once.
+    and back-pointers. Costs count from the least, and states beyond hope go, so there are few such pairs, and
+    each is worked out once.
 
     Edits of as many turns that don't end with an insertion can't begin with one another, so the rank of
     two such texts also orders whatever is added to them.
@@ -92,6 +96,7 @@ class _Steps(dict):
                 if after not in best or one < best[after]:
                     best[after] = one
         least = min(x[0] for x in best.values())
+        best = {s: x for s, x in best.items() if x[0] <= least + BEYOND}
         order = sorted(best, key=lambda s: best[s][1:3])
         self[key] = (
             (tuple(best[s][0] - least if s in best else None for s in range(4)),
