@@ -50,7 +50,16 @@ def op2_token_counts(spark, sf_dir):
                                   public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-@register("op3_warc")
+@register("op3_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+last AS (SELECT html, max(page_id) AS last FROM p GROUP BY html)
+SELECT page_id, strlen(p.html) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+    (('0x' || substr(hex, 1 + 5 * (i // 4)::INTEGER, 5))::BIGINT >> (15 - 5 * (i % 4))::INTEGER) & 31)::INTEGER, 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM p JOIN last ON p.html = last.html""")
 def op3_warc(spark, sf_dir):
     """Archives every page, then reads the archives back, unpacking and verifying each payload."""
     path = fresh_path(spark, "warc")
@@ -75,7 +84,28 @@ def op5_language(spark, sf_dir):
     return language.predicted(rows, net).select("row.*", "lang_pred", "score")
 
 
-@register("op6_near_dedup")
+@register("op6_near_dedup", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT a, b FROM ways UNION SELECT r.a, v.b FROM reached r JOIN ways v ON r.b = v.a),
+least AS (SELECT a, min(b) AS low FROM reached GROUP BY a)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(low, w.doc_id)) AS component_id,
+  w.doc_id <= coalesce(low, w.doc_id) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN least ON a = w.doc_id""")
 def op6_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -107,7 +137,23 @@ def op9_source_mix(spark, sf_dir):
     return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents"), seed=9))
 
 
-@register("op10_vector_links")
+#: Every pair; on larger tables than the oracle's the index may miss some.
+@register("op10_vector_links", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+ok AS (
+  SELECT vec_id, x FROM v WHERE x IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda y: y IS NULL OR NOT isfinite(y))) = 0
+    AND len(list_filter(x, lambda y: y <> 0)) > 0),
+ways AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+reached AS (
+  SELECT a, b FROM ways UNION SELECT r.a, w.b FROM reached r JOIN ways w ON r.b = w.a),
+least AS (SELECT a, min(b) AS low FROM reached GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM ways GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+  vec_id <= coalesce(low, vec_id) AS kept
+FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN least ON least.a = vec_id""")
 def op10_vector_links(spark, sf_dir):
     return vectors.linked_vectors(table(spark, sf_dir, "embeddings"))
 
