@@ -68,7 +68,33 @@ def op3_warc(spark, sf_dir):
     return warc.read_archives(spark, path, columns, verify=True)
 
 
-@register("op4_repeated_passages")
+#: Over bytes as pairs of hexadecimal digits; windows are cut from short pieces, as places in a long text are found by counting.
+@register("op4_repeated_passages", """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+pieces AS (
+  SELECT doc_id, base, substr(h, 2 * base + 1, 1198) AS p
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(strlen(h) // 2 - 99, 0), 500)) AS base FROM d)),
+w AS (
+  SELECT doc_id, base + i AS i, substr(p, 2 * i + 1, 200) AS g
+  FROM (SELECT doc_id, base, p, unnest(range(0, strlen(p) // 2 - 99)) AS i FROM pieces)),
+again AS (SELECT g, min({'d': doc_id, 'i': i}) AS first FROM w GROUP BY g HAVING count(*) > 1),
+covered AS (
+  SELECT doc_id, i, i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 AS fresh
+  FROM w JOIN again ON w.g = again.g WHERE first <> {'d': doc_id, 'i': i}),
+runs AS (
+  SELECT doc_id, min(i) AS low, max(i) + 100 AS high FROM (
+    SELECT doc_id, i, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM covered)
+  GROUP BY doc_id, run),
+cuts AS (
+  SELECT doc_id, lag(high, 1, 0) OVER (PARTITION BY doc_id ORDER BY low) AS low, low AS high FROM runs
+  UNION ALL SELECT d.doc_id, coalesce(max(r.high), 0), any_value(strlen(d.h)) // 2
+  FROM d LEFT JOIN runs r ON r.doc_id = d.doc_id GROUP BY d.doc_id),
+kept AS (
+  SELECT d.doc_id, string_agg(substr(d.h, 2 * c.low + 1, 2 * (c.high - c.low)), '' ORDER BY c.low) AS h, count(*) - 1 AS n
+  FROM d JOIN cuts c ON c.doc_id = d.doc_id GROUP BY d.doc_id)
+SELECT d.doc_id, strlen(d.h) // 2 AS n_bytes, strlen(d.h) // 2 - strlen(k.h) // 2 AS n_removed, k.n AS n_spans,
+  sha256(unhex(k.h)) AS kept_sha256
+FROM d JOIN kept k ON k.doc_id = d.doc_id""")
 def op4_repeated_passages(spark, sf_dir):
     cut = substrings.without_repeats(table(spark, sf_dir, "documents"), keep_text=False)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
