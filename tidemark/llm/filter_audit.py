@@ -1,37 +1,35 @@
 """How filters interact: what each removes alone, after others, and on average over all orders.
 
 Documents come as available-now micro-batches. Each one's failing filters are a mask of bits. Four bits depend on
-its own text; the fifth says that a smaller id has the same text, which later files can change. So a keyed
-state holds, for each text, the least id so far and how many rows have it, by part and labels. Where a
-smaller id arrives, the rows counted without the fifth bit are retracted from the counters of their
-parts and counted with it. Each micro-batch adds its sums of changes to the counters as a folder of its own,
-which a replay replaces.
-
-All figures of all orders follow from the counters, 32 masks for each part.
+its own text; the fifth says that a smaller id has the same text, which later files can change. So a state
+keyed by text holds the least id so far and how many rows have it, by part and labels. Where a
+micro-batch brings a smaller id, the rows counted without the fifth bit are retracted from the counters of
+their parts and counted with it.
+
+Each micro-batch adds one folder to a log: its texts with their numbers, and what it retracts. The log up to then is the
+state, and the counters are the sums of its changes. A replay replaces the folder, and reads only
+those before it, so a run that breaks off counts nothing twice. All figures of all orders follow from the
+counters, 32 masks for each part.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
 from itertools import permutations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..session import fresh_path
+from .common import staged
 
 FILTERS = "ABCDE"
 DUPLICATE = 1 << FILTERS.index("E")
 WORD_BREAK = r"[\x20\x09-\x0D]+"
-#: Different texts that a task folds before it passes them on.
-FOLDED = 50_000
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_DELTAS = "part string, good boolean, toxic boolean, mask int, n long"
-_FOLDS = "key binary, mask int, part string, good boolean, toxic boolean, least string, n_least long, n long"
+_WHO = ["part", "good", "toxic"]
+#: One row for a text's rows of a part and labels. ``uncopied`` and ``copied`` are what it adds to the counters;
+#: ``first`` says that its ``low`` is the least id so far, which ``n_low`` of its rows have.
+_LOG = ("key binary, mask int, part string, good boolean, toxic boolean, low long, n_low long, first boolean, "
+        "uncopied long, copied long")
 
 
 def own_mask(text: Column) -> Column:
@@ -45,65 +43,45 @@ def own_mask(text: Column) -> Column:
     return bits[0] + bits[1] + bits[2] + bits[3]
 
 
-def _fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Copies within a task become one row for each part and labels: its least id, rows with it, all rows."""
-    names = [x.split()[0] for x in _FOLDS.split(", ")]
-    held: dict[tuple, list] = {}
-
-    def folded():
-        return pd.DataFrame([(*k, None if v[0] is None else str(v[0]), *v[1:]) for k, v in held.items()], columns=names)
-
-    for frame in frames:
-        for key, mask, part, good, toxic, doc_id in zip(*(frame[c].tolist() for c in names[:5]), frame["doc_id"].tolist()):
-            doc_id = None if doc_id is None else int(doc_id)
-            one = held.setdefault((key, mask, part, good, toxic), [None, 0, 0])
-            one[2] += 1
-            if doc_id is not None and (one[0] is None or doc_id < one[0]):
-                one[0], one[1] = doc_id, 1
-            elif doc_id is not None and doc_id == one[0]:
-                one[1] += 1
-            if len(held) >= FOLDED:
-                yield folded()
-                held = {}
-    if held:
-        yield folded()
+def _folded(rows: DataFrame) -> DataFrame:
+    """Copies in a micro-batch as one row for each part and labels: the least id, the rows with it, the rows with
+    any id and those without. Each step sums within the tasks first, so copies may be any number."""
+    by_id = rows.groupBy("key", "mask", *_WHO, "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("doc_id").isNotNull()
+    return by_id.groupBy("key", "mask", *_WHO).agg(
+        F.min(F.when(known, F.struct("doc_id", "n"))).alias("first"),
+        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("n"),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("n_without")).select(
+        "key", "mask", *_WHO, F.col("first.doc_id").alias("low"), F.col("first.n").alias("n_low"), "n", "n_without")
 
 
-def _keep_least(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One text's folded rows of a micro-batch -> changes of the counters.
+def _judged(new: DataFrame, before: DataFrame) -> DataFrame:
+    """The log of a micro-batch from its folded rows and the log before it.
 
-    State: the least id, and parts, labels and numbers of the rows that have it, which count as no copies.
+    A text's rows meet by one window; they are as many as parts and labels that have it.
     """
-    _, mask = key
-    least, first = None, Counter()
-    if state.exists:
-        least, *columns = state.get
-        first = Counter(dict(zip(zip(*columns[:3]), columns[3])))
-    changes: Counter = Counter()
-    for frame in frames:
-        for part, good, toxic, low, n_low, n in zip(*(frame[c].tolist() for c in ("part", "good", "toxic", "least", "n_least", "n"))):
-            who, n_low, n = (part, bool(good), bool(toxic)), int(n_low), int(n)
-            if low is None:
-                # Rows without an id are copies of none, as no id is smaller than theirs.
-                changes[who, False] += n
-                continue
-            low = int(low)
-            if least is None or low < least:
-                for other, count in first.items():
-                    changes[other, False] -= count
-                    changes[other, True] += count
-                least, first = low, Counter()
-            if low == least:
-                first[who] += n_low
-            else:
-                n_low = 0
-            changes[who, False] += n_low
-            changes[who, True] += n - n_low
-    if first:
-        who, counts = zip(*sorted(first.items()))
-        state.update((least, *(list(c) for c in zip(*who)), list(counts)))
-    rows = [(*who, mask | DUPLICATE * copy, n) for (who, copy), n in changes.items() if n]
-    yield pd.DataFrame(rows, columns=["part", "good", "toxic", "mask", "n"])
+    held = before.filter("first").select("key", "mask", *_WHO, "low", "n_low", F.lit(None).cast("long").alias("n"),
+                                         F.lit(None).cast("long").alias("n_without"))
+    text, known = Window.partitionBy("key"), F.col("n").isNull()
+    both = new.unionByName(held).withColumns({
+        "held": F.min(F.when(known, F.col("low"))).over(text),
+        "arrived": F.min(F.when(~known, F.col("low"))).over(text)})
+    first = ~known & F.coalesce(F.col("low") == F.least("arrived", "held"), F.lit(False))
+    n_first = F.when(first, F.col("n_low")).otherwise(F.lit(0))
+    retracted = known & (F.col("low") == F.col("held")) & (F.col("arrived") < F.col("held"))
+    return both.filter(~known | retracted).select(
+        "key", "mask", *_WHO, "low", "n_low", first.alias("first"),
+        F.when(known, -F.col("n_low")).otherwise(n_first + F.col("n_without")).alias("uncopied"),
+        F.when(known, F.col("n_low")).otherwise(F.col("n") - n_first).alias("copied"))
+
+
+def changes(spark: SparkSession, folder: str) -> DataFrame:
+    """By how much each micro-batch changes the counters: batch, part, good, toxic, mask, n."""
+    log = spark.read.schema(f"{_LOG}, batch long").parquet(f"{folder}/log")
+    return log.select("batch", *_WHO, F.explode(F.array(
+        F.struct(F.col("mask"), F.col("uncopied").alias("n")),
+        F.struct(F.col("mask").bitwiseOR(F.lit(DUPLICATE)).alias("mask"), F.col("copied").alias("n")))).alias("c")).select(
+        "batch", *_WHO, "c.*").groupBy("batch", *_WHO, "mask").agg(F.sum("n").alias("n")).filter("n <> 0")
 
 
 def _labelled(labels: DataFrame) -> DataFrame:
@@ -118,35 +96,27 @@ def _labelled(labels: DataFrame) -> DataFrame:
 def count_masks(docs: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     """Counters of a stream of documents (doc_id, text, source), run to its end: part, good, toxic, mask, n.
 
-    ``folder`` gets the checkpoint and the changes of each micro-batch. Run again with the same
-    folder after a failure or when files have been added: what has been counted stays so.
+    ``folder`` gets the checkpoint and the log. Run again with the same folder after a failure or when
+    files have been added: what has been counted stays so.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source"), F.lit("")).alias("part"),
         F.unhex(F.sha2(text.cast("binary"), 256)).alias("key"), own_mask(text).alias("mask"))
-    found = narrow.join(_labelled(labels), F.col("doc_id") == F.col("_id"), "left").select(
+    known = staged(_labelled(labels), "labelled")
+    found = narrow.join(known, F.col("doc_id") == F.col("_id"), "left").select(
         "key", "mask", "part", F.coalesce("quality", F.lit(False)).alias("good"),
-        F.coalesce("toxic", F.lit(False)).alias("toxic"), F.col("doc_id").cast("string").alias("doc_id"))
-    changes = found.mapInPandas(_fold, _FOLDS).groupBy("key", "mask").applyInPandasWithState(
-        _keep_least, _DELTAS, "least long, part array<string>, good array<boolean>, toxic array<boolean>, n array<long>",
-        "append", GroupStateTimeout.NoTimeout)
+        F.coalesce("toxic", F.lit(False)).alias("toxic"), "doc_id")
 
     def add(batch: DataFrame, number: int) -> None:
-        batch.groupBy("part", "good", "toxic", "mask").agg(F.sum("n").alias("n")).filter("n <> 0").write.mode(
-            "overwrite").parquet(f"{folder}/changes/batch={number}")
+        before = spark.read.schema(f"{_LOG}, batch long").parquet(f"{folder}/log").filter(F.col("batch") < number)
+        _judged(_folded(batch), before).write.mode("overwrite").parquet(f"{folder}/log/batch={number}")
 
-    spark.createDataFrame([], _DELTAS).write.mode("overwrite").parquet(f"{folder}/changes/batch=-1")
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
-        changes.writeStream.foreachBatch(add).outputMode("append").trigger(availableNow=True).option(
-            "checkpointLocation", f"{folder}/checkpoint").start().awaitTermination()
-    finally:
-        spark.conf.set(_PROVIDER, before)
-    return spark.read.schema(_DELTAS).parquet(f"{folder}/changes").groupBy("part", "good", "toxic", "mask").agg(
-        F.sum("n").alias("n")).filter("n <> 0")
+    spark.createDataFrame([], _LOG).write.mode("overwrite").parquet(f"{folder}/log/batch=-1")
+    found.writeStream.foreachBatch(add).trigger(availableNow=True).option(
+        "checkpointLocation", f"{folder}/checkpoint").start().awaitTermination()
+    return changes(spark, folder).groupBy(*_WHO, "mask").agg(F.sum("n").alias("n")).filter("n <> 0")
 
 
 def orders_report(counts: DataFrame) -> DataFrame:
@@ -200,14 +170,13 @@ def audit(docs: DataFrame, labels: DataFrame, folder: str | None = None) -> Data
     A null text is empty, a null source the part "". Filters: A under 50 words; B distinct words under
     65 percent; C capital letters over 5 percent; D any of ``#$%&*|``; E the text of a smaller id. Rows that share an id and a
     text are no copies of one another; rows without an id are copies of none, and none of theirs. Several
-    labels of an id count if one of them says so. Texts may be of any length, and copies of a text as
-    many as they like: each task passes on one row of them for each part and labels. Other
-    columns are ignored. Without documents there are no rows.
+    labels of an id count if one of them says so. Texts may be of any length, and copies of a text any number: they are
+    summed within the tasks for each part and labels. Other columns are ignored. Without documents there are no rows.
     """
     return orders_report(count_masks(docs, labels, folder or fresh_path(docs.sparkSession, "filter-audit")))
 
 
-def stream_of(spark: SparkSession, path: str, per_core: int = 1) -> DataFrame:
+def stream_of(spark: SparkSession, path: str, per_core: int = 4) -> DataFrame:
     """Parquet files as a stream whose micro-batches give each core ``per_core`` read partitions.
 
     A stream source takes a folder or a glob but no single file, so the path becomes a glob for itself.
