@@ -43,7 +43,7 @@ class Candidates:
         self.database = f"{database}_candidate_{run[:12]}"
         spark.sql(f"CREATE DATABASE `{self.database}` LOCATION '{self.root}/_catalog'")
         for table in self.tables:
-            spark.sql(f"CREATE TABLE `{self.database}`.`{self._new(table).name}` ({table.ddl}) USING parquet "
+            spark.sql(f"CREATE TABLE `{self.database}`.`{self._new(table).name}` ({table.ddl}) {sink.STORED} "
                       f"LOCATION '{self.root}/{table.name}'")
             if not truncate:
                 columns = ", ".join(f"`{n}`" for n in table.names)

@@ -12,7 +12,7 @@ from ..operators.joins import join_on
 from ..operators.quality import QualityError, check_star
 from ..plans import query_tables, star
 from ..session import fresh_path, stage
-from ..sinks.tables import write_keyed
+from ..sinks.tables import write_keyed, write_lines
 from .inputs import LOGS_SQL, SONGS_SQL, logs, songs
 from .registry import register, table
 
@@ -287,8 +287,8 @@ def lookup_users(spark, sf_dir):
 def pipeline_published(spark, sf_dir):
     """The pipeline job from files to published tables. A run whose gate fails in between leaves them as they were."""
     root = fresh_path(spark, "pipeline-files")
-    logs(spark, sf_dir).write.json(f"{root}/log_data/2018/11")
-    songs(spark, sf_dir).write.json(f"{root}/song_data/A/B")
+    write_lines(logs(spark, sf_dir), f"{root}/log_data/2018/11")
+    write_lines(songs(spark, sf_dir), f"{root}/song_data/A/B")
     database = "tidemark_" + root.rsplit("/", 1)[1].replace("-", "_")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}-tables'")
     star.run_pipeline(spark, root, database)
