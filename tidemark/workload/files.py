@@ -29,7 +29,7 @@ def json_lines(spark, sf_dir):
     """Activity logs written as nested folders of JSON lines and read from their root."""
     root = fresh_path(spark, "logs-json")
     logs = inputs.logs(spark, sf_dir).withColumn("day", F.dayofmonth(F.timestamp_millis("ts")))
-    logs.write.partitionBy("level", "page").json(root)
+    sink.write_lines(logs, root, ["level", "page"])
     # Partition columns are in the folder names here, not in the records.
     back = files.read_json_lines(
         spark, root, ", ".join(
