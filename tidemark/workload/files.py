@@ -47,8 +47,7 @@ def json_staged(spark, sf_dir):
     """Nested JSON records staged into a declared table by a path mapping."""
     path = fresh_path(spark, "staging-json")
     user = F.struct(F.col("firstName").alias("first"), F.col("userId").alias("id"))
-    inputs.logs(spark, sf_dir).withColumn("user", user).drop("firstName", "userId") \
-        .write.json(path)
+    sink.write_lines(inputs.logs(spark, sf_dir).withColumn("user", user).drop("firstName", "userId"), path)
     staged = files.stage_json(spark, path, STAGED_LOGS,
                               {"firstName": "$.user.first", "userId": "$.user.id"})
     return _naive(staged.select("artist", "firstName", "length", "level", "location", "sessionId",
