@@ -31,7 +31,7 @@ def _records(spark) -> set[str]:
     return {f for f in found if ".json" in os.path.basename(f) or ".txt" in os.path.basename(f)}
 
 
-@pytest.mark.parametrize("name", ["src_json_lines", "src_json_staged", "star_pipeline_published"])
+@pytest.mark.parametrize("name", ["src_json_lines", "src_json_staged", "src_json_rejects", "star_pipeline_published"])
 def test_records_are_written_compressed(spark, sf, name):
     before = _records(spark)
     rows = QUERIES[name].run(spark, sf).count()

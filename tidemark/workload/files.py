@@ -65,8 +65,8 @@ def json_rejects(spark, sf_dir):
     place = F.concat_ws(" ", "sessionId", "itemInSession")
     bad = F.concat(F.lit('{"artist": "cut off '), place)
     logs = inputs.logs(spark, sf_dir)
-    logs.select(F.when(F.col("itemInSession") == 3, bad).otherwise(F.to_json(F.struct(*logs.columns))).alias(
-        "value")).write.text(path)
+    sink.write_lines(logs.select(F.when(F.col("itemInSession") == 3, bad).otherwise(
+        F.to_json(F.struct(*logs.columns))).alias("value")), path, file_format="text")
     rows = files.stage_json(spark, path, STAGED_LOGS, rejects=rejects)
     lost = files.read_rejects(spark, rejects).select(
         "record", F.lit(True).alias("rejected"), F.col("file").contains("rejects-json").alias("has_file"))
