@@ -235,6 +235,21 @@ def test_stream_join_pairs_all_history(spark, tmp_path, salts):
     assert {r["topic"] for r in messages} == {"customer-risk"}
 
 
+def test_deliveries_keep_all_cores_busy(spark, rows, tmp_path):
+    """A table of one file streams in three micro-batches, each read by as many tasks as there are cores."""
+    from tidemark.workload import inputs
+
+    orders = spark.range(6000).selectExpr("if(id % 7 = 0, null, id % 500) AS o_custkey", "id % 3 AS n").coalesce(1)
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    taken = inputs.stream(spark, str(tmp_path), "orders").withColumn("task", F.spark_partition_id())
+    query = sinks.to_batches(taken, str(tmp_path / "out"), str(tmp_path / "checkpoint"), "append")
+    query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    tasks = got.groupBy(sinks.BATCH).agg(F.count_distinct("task").alias("n")).collect()
+    assert [r["n"] for r in tasks] == [spark.sparkContext.defaultParallelism] * inputs.DELIVERIES
+    assert rows(got, "o_custkey", "n") == rows(orders)
+
+
 def test_bounded_join_forgets(spark, tmp_path):
     people, scores = str(tmp_path / "people"), str(tmp_path / "scores")
     day = dt.datetime(2024, 1, 1)

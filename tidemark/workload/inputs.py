@@ -106,14 +106,20 @@ PER_TRIGGER, DELIVERIES = 512 * 1024**3, 3
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a stream of its files in several micro-batches; one of too few files is first written as more."""
+    """A given table as a stream of its files in several micro-batches.
+
+    One of too few files is first written as more: each micro-batch reads whole files, so it needs one for every core.
+    """
     rows = table(spark, sf_dir, name)
     # A glob, since a stream source takes a folder or a glob but no single file.
     path = f"{sf_dir}/[{name[0]}]{name[1:]}.parquet"
-    if len(rows.inputFiles()) < DELIVERIES:
+    files, spare = DELIVERIES * spark.sparkContext.defaultParallelism, 0
+    if len(rows.inputFiles()) < files:
         path = fresh_path(spark, f"deliveries-{name}")
-        rows.repartition(DELIVERIES).write.parquet(path)
-    each = max(1, -(-size_of(spark, path) // DELIVERIES))
+        rows.repartition(files).write.parquet(path)
+        # Half a file on top, since files that differ by a few bytes would leave one to a fourth micro-batch.
+        spare = size_of(spark, path) // (2 * files)
+    each = max(1, -(-size_of(spark, path) // DELIVERIES) + spare)
     return table_stream(spark, path, rows.schema, min(PER_TRIGGER, each))
 
 
